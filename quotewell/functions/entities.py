@@ -1,0 +1,118 @@
+"""Decoding of HTML character references with built-in functions.
+
+The text is split at every ``&`` and each piece is decoded once, so an escaped
+escape (``&amp;lt;``) is not decoded twice.  Names come from the HTML5 table in
+Python's standard library.
+"""
+
+from __future__ import annotations
+
+import json
+import zlib
+from functools import cache
+from html.entities import html5
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+_BUCKETS = 512
+_REPLACEMENT = "�"
+
+
+def _codepoint_exceptions() -> dict[int, str]:
+    """Code points HTML reads as something else: Windows-1252 for the C1 range, U+FFFD for zero."""
+    exceptions = {0: _REPLACEMENT}
+    for code in range(0x80, 0xA0):
+        exceptions[code] = bytes([code]).decode("cp1252", errors="ignore") or chr(code)
+    return exceptions
+
+
+def _is_noncharacter(code: Column) -> Column:
+    """Control and reserved code points, which HTML drops."""
+    return (
+        code.between(0x1, 0x8)
+        | code.between(0xE, 0x1F)
+        | (code == 0xB)
+        | code.between(0x7F, 0x7F)
+        | code.between(0xFDD0, 0xFDEF)
+        | ((code % 0x10000) >= 0xFFFE)
+    )
+
+
+@cache
+def _name_table() -> str:
+    """The HTML5 names spread over small maps by checksum, as JSON text."""
+    buckets: list[dict[str, str]] = [{} for _ in range(_BUCKETS)]
+    for name, value in html5.items():
+        buckets[zlib.crc32(name.encode()) % _BUCKETS][name] = value
+    return json.dumps(buckets, ensure_ascii=False)
+
+
+@cache
+def _unterminated_names() -> str:
+    """Names that also count without a semicolon, longest first, as alternatives."""
+    names = sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)
+    return "|".join(names)
+
+
+def _by_name(name: Column) -> Column:
+    """Characters of a named reference, or NULL.
+
+    A map is searched key by key, so the name first picks one small map.  The
+    table is a constant, which Spark parses once per query.
+    """
+    maps = F.from_json(F.lit(_name_table()), "array<map<string, string>>")
+    bucket = (F.crc32(F.encode(name, "utf-8")) % _BUCKETS).cast("int")
+    return F.element_at(F.get(maps, bucket), name)
+
+
+def _by_number(piece: Column) -> Column:
+    """Characters of a numeric reference at the start of the piece, or NULL."""
+    decimal = F.regexp_extract(piece, r"^#([0-9]+)", 1)
+    hexadecimal = F.regexp_extract(piece, r"^#[xX]([0-9a-fA-F]+)", 1)
+    # Nine digits are beyond the last code point already.
+    digits = F.ltrim(F.concat(decimal, hexadecimal), F.lit("0"))
+    number = (
+        F.when((decimal == "") & (hexadecimal == ""), F.lit(None))
+        .when(F.length(digits) > 9, 0x110000)
+        .when(digits == "", 0)
+        .when(decimal != "", digits.cast("bigint"))
+        .otherwise(F.conv(digits, 16, 10).cast("bigint"))
+    )
+    exceptions = F.create_map(*[F.lit(v) for item in _codepoint_exceptions().items() for v in item])
+    code = number.cast("int")
+    valid_code = F.when(code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), 0).otherwise(code)
+    character = F.decode(F.unhex(F.lpad(F.hex(valid_code), 8, "0")), "UTF-32")
+    return F.when(
+        number.isNotNull(),
+        F.coalesce(
+            F.element_at(exceptions, valid_code),
+            F.when(_is_noncharacter(valid_code), "").otherwise(character),
+        ),
+    )
+
+
+def _decode_piece(piece: Column) -> Column:
+    """A piece of text that followed an ``&``, with its leading reference decoded."""
+    name = F.regexp_extract(piece, r"^[^\t\n\f <&#;]{1,32};?", 0)
+    prefix = F.regexp_extract(name, f"^({_unterminated_names()})", 0)
+    reference = F.regexp_extract(piece, r"^#([0-9]+|[xX][0-9a-fA-F]+);?", 0)
+    return F.coalesce(
+        F.when(
+            F.startswith(piece, F.lit("#")),
+            F.concat(_by_number(piece), F.substr(piece, F.length(reference) + 1)),
+        ),
+        F.concat(_by_name(name), F.substr(piece, F.length(name) + 1)),
+        F.when(prefix != "", F.concat(_by_name(prefix), F.substr(piece, F.length(prefix) + 1))),
+        F.concat(F.lit("&"), piece),
+    )
+
+
+def unescape_html(text: Column) -> Column:
+    """The text with every character reference decoded."""
+    pieces = F.split(text, "&", -1)
+    decoded = F.concat(
+        F.get(pieces, F.lit(0)),
+        F.array_join(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), _decode_piece), ""),
+    )
+    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
