@@ -19,12 +19,16 @@ _BUCKETS = 512
 _REPLACEMENT = "�"
 
 
-def _codepoint_exceptions() -> dict[int, str]:
-    """Code points HTML reads as something else: Windows-1252 for the C1 range, U+FFFD for zero."""
-    exceptions = {0: _REPLACEMENT}
+def _codepoint_exceptions() -> str:
+    """Code points HTML reads as something else, as a JSON list by code point.
+
+    Zero becomes U+FFFD; the C1 range is Windows-1252 where that defines it.
+    """
+    exceptions: list[str | None] = [None] * 0xA0
+    exceptions[0] = _REPLACEMENT
     for code in range(0x80, 0xA0):
         exceptions[code] = bytes([code]).decode("cp1252", errors="ignore") or chr(code)
-    return exceptions
+    return json.dumps(exceptions)
 
 
 def _is_noncharacter(code: Column) -> Column:
@@ -66,53 +70,56 @@ def _by_name(name: Column) -> Column:
     return F.element_at(F.get(maps, bucket), name)
 
 
-def _by_number(piece: Column) -> Column:
-    """Characters of a numeric reference at the start of the piece, or NULL."""
-    decimal = F.regexp_extract(piece, r"^#([0-9]+)", 1)
-    hexadecimal = F.regexp_extract(piece, r"^#[xX]([0-9a-fA-F]+)", 1)
-    # Nine digits are beyond the last code point already.
-    digits = F.ltrim(F.concat(decimal, hexadecimal), F.lit("0"))
+def _by_number(reference: Column) -> Column:
+    """Characters of a numeric reference such as ``#38;`` or ``#x26``."""
+    is_hex = F.lower(F.substr(reference, F.lit(2), F.lit(1))) == "x"
+    digits = F.ltrim(F.rtrim(F.ltrim(reference, F.lit("#xX")), F.lit(";")), F.lit("0"))
     number = (
-        F.when((decimal == "") & (hexadecimal == ""), F.lit(None))
+        F.when(digits == "", 0)
+        # Nine digits are beyond the last code point already.
         .when(F.length(digits) > 9, 0x110000)
-        .when(digits == "", 0)
-        .when(decimal != "", digits.cast("bigint"))
-        .otherwise(F.conv(digits, 16, 10).cast("bigint"))
-    )
-    exceptions = F.create_map(*[F.lit(v) for item in _codepoint_exceptions().items() for v in item])
-    code = number.cast("int")
-    valid_code = F.when(code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), 0).otherwise(code)
-    character = F.decode(F.unhex(F.lpad(F.hex(valid_code), 8, "0")), "UTF-32")
-    return F.when(
-        number.isNotNull(),
-        F.coalesce(
-            F.element_at(exceptions, valid_code),
-            F.when(_is_noncharacter(valid_code), "").otherwise(character),
-        ),
+        .when(is_hex, F.conv(digits, 16, 10).cast("bigint"))
+        .otherwise(digits.cast("bigint"))
     )
+    code = F.when(number.between(0xD800, 0xDFFF) | (number > 0x10FFFF), 0).otherwise(number).cast("int")
+    exceptions = F.from_json(F.lit(_codepoint_exceptions()), "array<string>")
+    character = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return F.coalesce(F.get(exceptions, code), F.when(_is_noncharacter(code), "").otherwise(character))
+
+
+def _with_reference(piece: Column) -> Column:
+    """A piece of text that followed an ``&``, with the reference it may start with."""
+    number = F.regexp_extract(piece, r"^#([0-9]+|[xX][0-9a-fA-F]+);?", 0)
+    # A name has 32 characters at most, so only the start of the piece is searched for one.
+    name = F.regexp_extract(F.left(piece, F.lit(33)), r"^[^\t\n\f <&#;]{1,32};?", 0)
+    reference = F.when(F.startswith(piece, F.lit("#")), number).otherwise(name)
+    return F.struct(piece.alias("piece"), reference.alias("reference"))
 
 
-def _decode_piece(piece: Column) -> Column:
-    """A piece of text that followed an ``&``, with its leading reference decoded."""
-    name = F.regexp_extract(piece, r"^[^\t\n\f <&#;]{1,32};?", 0)
-    prefix = F.regexp_extract(name, f"^({_unterminated_names()})", 0)
-    reference = F.regexp_extract(piece, r"^#([0-9]+|[xX][0-9a-fA-F]+);?", 0)
-    return F.coalesce(
-        F.when(
-            F.startswith(piece, F.lit("#")),
-            F.concat(_by_number(piece), F.substr(piece, F.length(reference) + 1)),
-        ),
-        F.concat(_by_name(name), F.substr(piece, F.length(name) + 1)),
-        F.when(prefix != "", F.concat(_by_name(prefix), F.substr(piece, F.length(prefix) + 1))),
-        F.concat(F.lit("&"), piece),
+def _decode(item: Column) -> Column:
+    """The piece with its reference replaced, or the ``&`` put back."""
+    piece, reference = item["piece"], item["reference"]
+    prefix = F.regexp_extract(reference, f"^({_unterminated_names()})", 0)
+
+    def rest(known: Column) -> Column:
+        return F.substr(piece, F.length(known) + 1)
+
+    return (
+        F.when(reference == "", F.concat(F.lit("&"), piece))
+        .when(F.startswith(reference, F.lit("#")), F.concat(_by_number(reference), rest(reference)))
+        .otherwise(
+            F.coalesce(
+                F.concat(_by_name(reference), rest(reference)),
+                F.when(prefix != "", F.concat(_by_name(prefix), rest(prefix))),
+                F.concat(F.lit("&"), piece),
+            )
+        )
     )
 
 
 def unescape_html(text: Column) -> Column:
     """The text with every character reference decoded."""
     pieces = F.split(text, "&", -1)
-    decoded = F.concat(
-        F.get(pieces, F.lit(0)),
-        F.array_join(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), _decode_piece), ""),
-    )
+    followers = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), _with_reference)
+    decoded = F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(followers, _decode), ""))
     return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)

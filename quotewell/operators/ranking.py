@@ -1,4 +1,4 @@
-"""Ranking inside groups that may be arbitrarily large."""
+"""Ranking inside groups of any size."""
 
 from __future__ import annotations
 
@@ -7,12 +7,40 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# A sort of this many narrow rows is comfortable work for one task.
+ROWS_PER_TASK = 5_000_000
+
+
+def rank_within(
+    df: DataFrame, groups: Sequence[str], value: str, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Adds ``rank`` (falling value, ties share a rank, NULL last) and ``size`` of the group.
+
+    The largest group is counted first.  If it fits a task, one window does;
+    otherwise groups are cut up, with the same result.
+    """
+    sizes = df.groupBy(*groups).agg(F.count("*").alias("_rows"))
+    largest = sizes.agg(F.max("_rows")).first()[0] or 0
+    rank = rank_in_one_task if largest <= rows_per_task else rank_in_steps
+    return rank(df, groups, value)
+
+
+def rank_in_one_task(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
+    """The plain window: each group is sorted by one task."""
+    group = Window.partitionBy(*groups)
+    return df.withColumns(
+        {
+            "rank": F.rank().over(group.orderBy(F.desc_nulls_last(value))).cast("bigint"),
+            "size": F.count("*").over(group),
+        }
+    )
+
 
 def _step(value: Column) -> Column:
     """A coarse step that never falls as the value rises.
 
-    Eight steps per doubling of the magnitude, so a group spreads over some
-    hundred steps without looking at its distribution first.
+    Eight steps per doubling of the magnitude, so a large group spreads over
+    some hundred steps without a look at its distribution first.
     """
     magnitude = F.floor(F.log2(F.abs(value) * 1e6 + 1) * 8)
     return F.when(value < 0, -magnitude).otherwise(magnitude)
@@ -25,10 +53,10 @@ def _match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     return left.join(renamed, condition).drop(*[f"_right_{k}" for k in keys])
 
 
-def rank_within(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
-    """Adds ``rank`` (falling value, ties share a rank, NULL last) and ``size`` of the group.
+def rank_in_steps(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
+    """The same without any task holding a whole group.
 
-    No task ever holds a whole group.  Equal values are counted before the
+    Equal values are counted before the
     shuffle, so ties cost one row each; the distinct values of a group are then
     ranked step by step, and a short table of rows per (group, step) tells how
     many rows lie above a step.

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from quotewell.operators.ranking import rank_within
+from quotewell.operators.ranking import ROWS_PER_TASK, rank_within
 
 
 def by_symbol() -> WindowSpec:
@@ -76,9 +76,9 @@ def daily_change(bars: DataFrame, value: str = "day_close", name: str = "avg_cha
     return bars.withColumn(name, F.coalesce(change, F.lit(0.0)))
 
 
-def sector_rankings(bars: DataFrame) -> DataFrame:
+def sector_rankings(bars: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Rank, group size and percentile (best is 100) by change within sector and date."""
-    ranked = rank_within(bars, ("sector", "date"), "avg_change_pct")
+    ranked = rank_within(bars, ("sector", "date"), "avg_change_pct", rows_per_task)
     share = 1 - (F.col("rank") - 1) / F.col("size")
     return ranked.select(
         "symbol",

@@ -162,23 +162,24 @@ BAR = """symbol, date, sector, day_open, day_high, day_low, day_close, total_vol
 
 
 
-def _trailing(value: str, rows: int) -> str:
+def _trailing(values: str, rows: int) -> str:
     """Sum over the trailing rows, added up in date order."""
-    return f"list_sum(list({value}) OVER (w ROWS {rows - 1} PRECEDING))"
+    return f"list_sum({values}[pos - {rows - 2}:pos + 1])"
 
 
-def _mean(value: str, rows: int) -> str:
-    return f"CASE WHEN pos >= {rows - 1} THEN {_half_up(f'{_trailing(value, rows)} / {rows}', 4)} END"
+def _mean(values: str, rows: int) -> str:
+    return f"CASE WHEN pos >= {rows - 1} THEN {_half_up(f'{_trailing(values, rows)} / {rows}', 4)} END"
 
 
 AVERAGES = f"""
+series AS (
+  SELECT symbol, list(day_close ORDER BY date) AS closes, list(day_close * total_volume ORDER BY date) AS traded,
+         list(total_volume ORDER BY date) AS volumes FROM bars GROUP BY symbol),
 averages AS (
   SELECT symbol, sector, date, day_close, total_volume,
-         {_mean('day_close', 5)} AS sma_5, {_mean('day_close', 20)} AS sma_20, {_mean('day_close', 50)} AS sma_50,
-         CASE WHEN pos >= 19 THEN {_half_up(
-             f"{_trailing('day_close * total_volume', 20)} / {_trailing('total_volume', 20)}", 4
-         )} END AS vwap_20
-  FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY date))"""
+         {_mean('closes', 5)} AS sma_5, {_mean('closes', 20)} AS sma_20, {_mean('closes', 50)} AS sma_50,
+         CASE WHEN pos >= 19 THEN {_half_up(f"{_trailing('traded', 20)} / {_trailing('volumes', 20)}", 4)} END AS vwap_20
+  FROM bars JOIN series USING (symbol))"""
 SPIKES = f"""
 preceding AS (
   SELECT symbol, sector, date, total_volume,

@@ -41,3 +41,14 @@ def news_stream(spark: SparkSession, path: str, schema: str | StructType = schem
 def news_table_stream(spark: SparkSession, table: str) -> DataFrame:
     """News articles appended to a catalogued staging table."""
     return spark.readStream.table(table)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a table that arrives in fewer pieces than there are cores.
+
+    A small file with one row group is otherwise worked on by a single core.
+    A table with enough pieces stays as it is; the count comes from the scan's
+    plan, without running it.  Choose keys that identify rows.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
