@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from quotewell.fixed_values import BOOST_PHRASES, DAMPENING_PHRASES, LEXICON
 from quotewell.functions.signals import sentiment_label
 from quotewell.functions.text import (
-    WORD_BREAK,
     clamp,
     clean_text,
     dampen,
@@ -18,6 +17,7 @@ from quotewell.functions.text import (
     lexicon_stats,
     tone_score,
     valence_score,
+    words,
 )
 from quotewell.operators.silver import ARTICLE_RULES, valid
 
@@ -41,25 +41,28 @@ def polarity(
     )
 
 
-def polarity_by_table(docs: DataFrame, lexicon: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def polarity_by_table(
+    docs: DataFrame,
+    lexicon: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    broadcast_words: int = 500_000,
+) -> DataFrame:
     """The same scores for a lexicon kept in a table (``word, valence, tone``) of any size.
 
-    Words are counted per text before the join, so a word repeated in a text, or
-    common to all texts, is joined once per text.
+    A lexicon of up to ``broadcast_words`` goes to every task, so only sums per
+    text are shuffled.  A larger one is joined by shuffle, after words have been
+    counted per text: a word common to all texts then costs one row per text.
     """
-    counted = (
-        docs.select(key, F.explode(F.split(F.lower(text), WORD_BREAK)).alias("word"))
-        .groupBy(key, "word")
-        .agg(F.count("*").alias("_times"))
-    )
-    stats = (
-        counted.join(lexicon, "word")
-        .groupBy(key)
-        .agg(
-            F.sum("_times").alias("hits"),
-            F.sum(F.col("_times") * F.col("valence")).alias("valence"),
-            F.sum(F.col("_times") * F.col("tone")).alias("tone"),
-        )
+    found = docs.select(key, F.explode(words(F.col(text))).alias("word"))
+    if lexicon.count() <= broadcast_words:
+        hits = found.join(F.broadcast(lexicon), "word").withColumn("_times", F.lit(1))
+    else:
+        hits = found.groupBy(key, "word").agg(F.count("*").alias("_times")).join(lexicon, "word")
+    stats = hits.groupBy(key).agg(
+        F.sum("_times").alias("hits"),
+        F.sum(F.col("_times") * F.col("valence")).alias("valence"),
+        F.sum(F.col("_times") * F.col("tone")).alias("tone"),
     )
     return (
         docs.select(key)

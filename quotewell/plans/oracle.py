@@ -92,7 +92,7 @@ DAILY = """SELECT symbol, CAST(trade_time AS DATE) AS date, sector,
   arg_min(open, trade_time) AS day_open, max(high) AS day_high,
   min(low) AS day_low, arg_max(price, trade_time) AS day_close,
   CAST(sum(volume) AS BIGINT) AS total_volume, count(*) AS trade_count,
-  round(avg(price_change_pct), 6) AS avg_change_pct
+  round(avg(price_change_pct), 12) AS avg_change_pct
   FROM silver GROUP BY ALL"""
 ORACLE_SQL["daily_ohlcv"] = _sql(DAILY, RAW, ENRICHED)
 ORACLE_SQL["sink_partitioned"] = _sql(DAILY, RAW, ENRICHED)
@@ -112,13 +112,13 @@ ORACLE_SQL["stream_candles"] = _sql(
     CANDLES,
 )
 ORACLE_SQL["sector_daily"] = _sql(
-    """SELECT sector, CAST(trade_time AS DATE) AS date, round(avg(price_change_pct), 6) AS avg_change_pct,
+    """SELECT sector, CAST(trade_time AS DATE) AS date, round(avg(price_change_pct), 12) AS avg_change_pct,
     CAST(sum(volume) AS BIGINT) AS total_volume, count(*) AS stock_count FROM silver GROUP BY ALL""",
     RAW,
     ENRICHED,
 )
 ORACLE_SQL["sector_extremes"] = _sql(
-    """SELECT sector, round(avg(price_change_pct), 6) AS avg_change_pct,
+    """SELECT sector, round(avg(price_change_pct), 12) AS avg_change_pct,
     CAST(sum(volume) AS BIGINT) AS total_volume, count(*) AS stock_count,
     arg_max(symbol, row(price_change_pct, symbol)) FILTER (price_change_pct IS NOT NULL) AS top_gainer,
     arg_min(symbol, row(price_change_pct, symbol)) FILTER (price_change_pct IS NOT NULL) AS top_loser
@@ -266,12 +266,12 @@ macd AS (
   FROM bars LEFT JOIN lines USING (symbol, pos) LEFT JOIN smooth USING (symbol, pos) WHERE pos = len - 1)""",
     ]
 )
-BANDS = """
+BANDS = f"""
 recent AS (
   SELECT symbol, avg(day_close) AS mean, 2.0 * stddev_pop(day_close) AS reach
   FROM bars WHERE pos >= len - 20 AND len >= 20 GROUP BY symbol),
 bands AS (
-  SELECT symbol, round(mean + reach, 4) AS bb_upper, round(mean, 4) AS bb_middle, round(mean - reach, 4) AS bb_lower
+  SELECT symbol, {_half_up('mean + reach', 4)} AS bb_upper, {_half_up('mean', 4)} AS bb_middle, {_half_up('mean - reach', 4)} AS bb_lower
   FROM (SELECT DISTINCT symbol FROM bars) LEFT JOIN recent USING (symbol))"""
 SIGNALS = """
 indicators AS (
@@ -408,7 +408,7 @@ ORACLE_SQL["clean_text"] = f"SELECT page_id, {_clean('html')} AS clean FROM page
 ORACLE_SQL["keyword_boost"] = f"SELECT doc_id, round({_boost('text')}, 4) AS boost FROM documents"
 ORACLE_SQL["dampen"] = f"""SELECT doc_id, round(CASE WHEN {_dampened('text')} THEN n_chars / 1000.0 * 0.3::DOUBLE
   ELSE n_chars / 1000.0 END, 6) AS score FROM documents"""
-POLARITY = f"""SELECT documents.doc_id, round({_a('stats')}, 6) AS model_a, round({_b('stats')}, 6) AS model_b
+POLARITY = f"""SELECT documents.doc_id, round({_a('stats')}, 12) AS model_a, round({_b('stats')}, 12) AS model_b
   FROM documents LEFT JOIN stats USING (doc_id)"""
 ORACLE_SQL["polarity"] = _sql(POLARITY, LEXICON_TABLE, _stats("stats", "documents", "text"))
 ORACLE_SQL["polarity_by_table"] = _sql(
@@ -465,7 +465,7 @@ for name in ("news_silver", "stream_news"):
 
 SENTIMENT = """
 sentiment AS (
-  SELECT symbol, avg(sentiment_score) AS avg_sentiment, count(*) AS article_count,
+  SELECT symbol, round(avg(sentiment_score), 12) AS avg_sentiment, count(*) AS article_count,
          max(sentiment_score) AS max_sentiment, min(sentiment_score) AS min_sentiment,
          arg_max(headline, row(sentiment_score, published_at, doc_id)) AS most_positive,
          arg_min(headline, row(sentiment_score, published_at, doc_id)) AS most_negative
@@ -473,55 +473,55 @@ sentiment AS (
 MOOD = """
 mood AS (
   SELECT CASE WHEN avg_score > 0.02 THEN 'bullish' WHEN avg_score < -0.02 THEN 'bearish' ELSE 'neutral' END AS mood, *
-  FROM (SELECT coalesce(avg(sentiment_score), 0) AS avg_score, count(*) AS article_count,
+  FROM (SELECT round(coalesce(avg(sentiment_score), 0), 12) AS avg_score, count(*) AS article_count,
                count(*) FILTER (sentiment_label = 'positive') AS positive_count,
                count(*) FILTER (sentiment_label = 'negative') AS negative_count,
                count(*) FILTER (sentiment_label = 'neutral') AS neutral_count FROM valid_scored))"""
 ORACLE_SQL["symbol_sentiment"] = _sql(
-    "SELECT * REPLACE (round(avg_sentiment, 6) AS avg_sentiment) FROM sentiment", *GOOD_NEWS, SENTIMENT
+    "SELECT * FROM sentiment", *GOOD_NEWS, SENTIMENT
 )
-ORACLE_SQL["market_mood"] = _sql("SELECT * REPLACE (round(avg_score, 6) AS avg_score) FROM mood", *GOOD_NEWS, MOOD)
+ORACLE_SQL["market_mood"] = _sql("SELECT * FROM mood", *GOOD_NEWS, MOOD)
 
 # --- Serving ----------------------------------------------------------------
 
 ORACLE_SQL["sentiment_lookup"] = _sql(
-    """SELECT symbol, round(avg_sentiment, 3) AS avg_sentiment,
+    f"""SELECT symbol, {_half_up('avg_sentiment', 3)} AS avg_sentiment,
     CASE WHEN avg_sentiment > 0.05 THEN 'bullish' WHEN avg_sentiment < -0.05 THEN 'bearish' ELSE 'neutral' END AS label,
     article_count, most_positive, most_negative FROM sentiment""",
     *GOOD_NEWS,
     SENTIMENT,
 )
-ORACLE_SQL["mood_lookup"] = _sql("SELECT * REPLACE (round(avg_score, 3) AS avg_score) FROM mood", *GOOD_NEWS, MOOD)
+ORACLE_SQL["mood_lookup"] = _sql(f"SELECT * REPLACE ({_half_up('avg_score', 3)} AS avg_score) FROM mood", *GOOD_NEWS, MOOD)
 
 LATEST = "latest AS (SELECT * FROM bars WHERE date = (SELECT max(date) FROM bars))"
 ORACLE_SQL["latest_slice"] = _sql(f"SELECT {BAR} FROM latest", BARS, LATEST)
 ORACLE_SQL["latest_quote"] = _sql(
-    """SELECT symbol, date, round(day_close, 2) AS price, round(day_open, 2) AS open, round(day_high, 2) AS high,
-    round(day_low, 2) AS low, total_volume AS volume, round(avg_change_pct, 2) AS change_pct, sector
+    f"""SELECT symbol, date, {_half_up('day_close', 2)} AS price, {_half_up('day_open', 2)} AS open, {_half_up('day_high', 2)} AS high,
+    {_half_up('day_low', 2)} AS low, total_volume AS volume, {_half_up('avg_change_pct', 2)} AS change_pct, sector
     FROM bars WHERE pos = len - 1""",
     BARS,
 )
 ORACLE_SQL["sector_board"] = _sql(
-    """SELECT sector, date, count(*) OVER (PARTITION BY sector) AS stock_count,
+    f"""SELECT sector, date, count(*) OVER (PARTITION BY sector) AS stock_count,
     first_value(symbol) OVER (PARTITION BY sector ORDER BY sector_rank, symbol) AS top_gainer,
     first_value(symbol) OVER (PARTITION BY sector ORDER BY sector_rank DESC, symbol DESC) AS top_loser,
-    symbol, round(day_close, 2) AS price, round(avg_change_pct, 2) AS change_pct, sector_rank AS rank, percentile
+    symbol, {_half_up('day_close', 2)} AS price, {_half_up('avg_change_pct', 2)} AS change_pct, sector_rank AS rank, percentile
     FROM (SELECT l.*, r.sector_rank, r.percentile FROM latest AS l LEFT JOIN rankings AS r USING (symbol, date))""",
     BARS,
     RANKINGS,
     LATEST,
 )
 ORACLE_SQL["technical_snapshot"] = _sql(
-    """SELECT symbol, sector, latest_date AS date, round(latest_close, 2) AS price, round(rsi, 2) AS rsi,
-    macd_line, macd_signal, macd_histogram, round(bb_upper, 2) AS bollinger_upper,
-    round(bb_middle, 2) AS bollinger_middle, round(bb_lower, 2) AS bollinger_lower, signal FROM signals""",
+    f"""SELECT symbol, sector, latest_date AS date, {_half_up('latest_close', 2)} AS price, {_half_up('rsi', 2)} AS rsi,
+    macd_line, macd_signal, macd_histogram, {_half_up('bb_upper', 2)} AS bollinger_upper,
+    {_half_up('bb_middle', 2)} AS bollinger_middle, {_half_up('bb_lower', 2)} AS bollinger_lower, signal FROM signals""",
     BARS,
     *ALL_SIGNALS,
     recursive=True,
 )
 ORACLE_SQL["compare_symbols"] = _sql(
-    f"""SELECT symbol, s.sector, round(latest_close, 2) AS price, round(rsi, 2) AS rsi, macd_histogram, signal,
-    round(sma_5, 2) AS sma_5, round(sma_20, 2) AS sma_20, round(vwap_20, 2) AS vwap_20
+    f"""SELECT symbol, s.sector, {_half_up('latest_close', 2)} AS price, {_half_up('rsi', 2)} AS rsi, macd_histogram, signal,
+    {_half_up('sma_5', 2)} AS sma_5, {_half_up('sma_20', 2)} AS sma_20, {_half_up('vwap_20', 2)} AS vwap_20
     FROM signals AS s JOIN averages AS a USING (symbol)
     WHERE symbol IN ('{FIRST_SYMBOL.strip()}', '{SECOND_SYMBOL.strip()}') AND a.date = s.latest_date""",
     BARS,
@@ -542,11 +542,11 @@ def _movers(best_first: bool) -> str:
              row_number() OVER (ORDER BY avg_change_pct, symbol DESC) AS worst,
              row_number() OVER (ORDER BY total_volume DESC, symbol) AS active FROM latest),
     movers AS (
-      SELECT 'top_gainer' AS kind, CAST(best AS INTEGER) AS position, symbol, round(avg_change_pct, 2) AS value
+      SELECT 'top_gainer' AS kind, CAST(best AS INTEGER) AS position, symbol, {_half_up('avg_change_pct', 2)} AS value
       FROM places WHERE best <= 3
       UNION ALL
       SELECT 'top_loser', CAST(row_number() OVER (ORDER BY avg_change_pct {loser_order}, symbol {loser_tie}) AS INTEGER),
-             symbol, round(avg_change_pct, 2) FROM places WHERE worst <= 3
+             symbol, {_half_up('avg_change_pct', 2)} FROM places WHERE worst <= 3
       UNION ALL
       SELECT 'most_active', CAST(active AS INTEGER), symbol, CAST(total_volume AS DOUBLE) FROM places WHERE active <= 3)"""
 

@@ -36,7 +36,8 @@ def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return readers.read_table(spark, landing.write_overwrite(df, scratch_dir(spark, label)))
 
 
-def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+def rounded(df: DataFrame, *columns: str, digits: int = 12) -> DataFrame:
+    """Means rounded beyond what the order of adding up decides."""
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
@@ -384,12 +385,12 @@ def sector_board(spark, sf_dir):
 @query
 def sentiment_lookup(spark, sf_dir):
     sentiment = gold.symbol_sentiment(scored_news(spark, sf_dir), order=("published_at", "doc_id"))
-    return serving.sentiment_lookup(sentiment)
+    return serving.sentiment_lookup(rounded(sentiment, "avg_sentiment"))
 
 
 @query
 def mood_lookup(spark, sf_dir):
-    return serving.mood_lookup(gold.market_mood(scored_news(spark, sf_dir), threshold=0.02))
+    return serving.mood_lookup(rounded(gold.market_mood(scored_news(spark, sf_dir), threshold=0.02), "avg_score"))
 
 
 @query

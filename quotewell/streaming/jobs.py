@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quotewell.operators import bronze, gold, news, silver
 from quotewell.operators.silver import TICK_RULES, Rule
@@ -51,9 +52,19 @@ def run_news(stream: DataFrame, out: str, checkpoint: str, **scoring) -> str:
     return run_to_parquet(news.news_silver(bronze.bronze_news(stream), **scoring), out, checkpoint)
 
 
-def first_seen(stream: DataFrame, key: str = "headline", time: str = "pub_time", within: str = "1 day") -> DataFrame:
-    """Articles whose headline has not been seen in the last ``within``; state is bounded by it."""
-    return stream.withWatermark(time, within).dropDuplicatesWithinWatermark([key])
+def first_seen(
+    stream: DataFrame, key: str = "headline", time: str = "pub_time", within: str = "1 day", lanes: int = 8
+) -> DataFrame:
+    """Articles whose headline has not been seen in the last ``within``; state is bounded by it.
+
+    Copies of one headline are first thinned out in ``lanes`` by input task, so
+    that a headline with very many copies never goes to a single task whole.
+    """
+    timed = stream.withWatermark(time, within)
+    if lanes > 1:
+        lane = F.spark_partition_id() % lanes
+        timed = timed.withColumn("_lane", lane).dropDuplicatesWithinWatermark([key, "_lane"]).drop("_lane")
+    return timed.dropDuplicatesWithinWatermark([key])
 
 
 def run_dedupe(stream: DataFrame, out: str, checkpoint: str, within: str = "1 day") -> str:
