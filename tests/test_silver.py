@@ -1,0 +1,142 @@
+"""Bronze and silver: enrichment, rules, quarantine."""
+
+import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from quotewell import schemas
+from quotewell.operators import bronze, silver
+from quotewell.plans.queries import bronze_of
+
+RAW = schemas.PRICE_TICK.replace(" NOT NULL", "")
+NVDA = ("NVDA", 875.50, 870.0, 880.25, 868.1, 872.30, 45_230_100, 2_150_000_000_000, "2026-03-24T14:30:00Z")
+FIELDS = [f.split()[0] for f in RAW.split(", ")]
+
+
+def tick(**changed):
+    values = dict(zip(FIELDS, NVDA)) | changed
+    return tuple(values[f] for f in FIELDS)
+
+
+@pytest.fixture
+def ticks(spark):
+    return lambda *rows: spark.createDataFrame(list(rows), RAW)
+
+
+def test_bronze_keeps_columns_and_parses_time(ticks):
+    rows = bronze.bronze_prices(ticks(NVDA, tick(timestamp=None), tick(timestamp="soon"), tick(timestamp=""))).collect()
+    assert [r.trade_time is None for r in rows] == [False, True, True, True]
+    assert str(rows[0].trade_time) == "2026-03-24 14:30:00"
+    assert all(r.ingest_time is not None for r in rows)
+    assert tuple(rows[0])[:9] == NVDA
+
+
+def test_enrich_values(ticks):
+    row = silver.enrich(ticks(NVDA)).first()
+    assert row.price_change == pytest.approx(3.20)
+    assert row.price_change_pct == pytest.approx(0.3668, abs=1e-4)
+    assert row.sector == "Technology"
+
+
+def test_enrich_unknown_sector_and_no_previous_close(ticks, spark):
+    rows = silver.enrich(ticks(tick(symbol="ZZZ", prev_close=None), tick(prev_close=0.0))).collect()
+    assert rows[0].sector == "Unknown"
+    assert [r.price_change_pct for r in rows] == [None, None]
+    table = spark.createDataFrame([("NVDA", "Chips")], "symbol string, sector string")
+    assert silver.enrich(ticks(NVDA, tick(symbol=None)), table).orderBy("symbol").toPandas().sector.tolist() == [
+        "Unknown",
+        "Chips",
+    ]
+
+
+@pytest.mark.parametrize(
+    "volume, category",
+    [(100_000_000, "very_high"), (75_000_000, "very_high"), (50_000_000, "high"), (25_000_000, "high"),
+     (15_000_000, "medium"), (10_000_000, "medium"), (3_000_000, "low"), (None, "low")],
+)
+def test_volume_category(ticks, volume, category):
+    assert silver.enrich(ticks(tick(volume=volume))).first().volume_category == category
+
+
+@pytest.mark.parametrize(
+    "changed, reason",
+    [
+        ({"price": None}, "Invalid price"),
+        ({"price": -5.0}, "Invalid price"),
+        ({"price": 0.0}, "Invalid price"),
+        ({"symbol": None}, "Invalid symbol"),
+        ({"volume": None}, "Invalid volume"),
+        ({"volume": -100}, "Invalid volume"),
+        ({"timestamp": None}, "Invalid timestamp"),
+        ({"timestamp": None, "volume": None}, "Invalid volume"),
+        ({"price": None, "symbol": None}, "Invalid price"),
+    ],
+)
+def test_rejected_with_first_reason(ticks, changed, reason):
+    df = ticks(tick(**changed))
+    assert silver.valid(df).count() == 0
+    assert [r.quarantine_reason for r in silver.quarantine(df).collect()] == [reason]
+
+
+def test_zero_volume_is_valid(ticks):
+    assert silver.valid(ticks(tick(volume=0))).count() == 1
+
+
+def test_detail_names_the_value(ticks):
+    rows = silver.quarantine(ticks(tick(price=-5.0), tick(symbol=None)), detail=True).collect()
+    assert [r.quarantine_detail for r in rows] == ["price=-5.0", "symbol=null"]
+
+
+def test_split_is_exact(spark):
+    df = bronze_of(spark, "/root/testdata/sf0.001")
+    good, bad, split = silver.valid(df), silver.quarantine(df), silver.quality_split(df)
+    assert good.count() + bad.count() == df.count() == split.count()
+    assert good.count() and bad.count()
+    assert split.where("quality = 'silver'").drop("quality", "quarantine_reason").exceptAll(good).count() == 0
+    assert split.where("quality = 'quarantine'").drop("quality").exceptAll(bad).count() == 0
+
+
+def test_observed_counts_equal_report(spark):
+    df = bronze_of(spark, "/root/testdata/sf0.001")
+    seen = Observation("quality")
+    silver.observe_quality(df, seen).write.format("noop").mode("overwrite").save()
+    for row in silver.quality_report(df).collect():
+        assert seen.get[row.rule] == row.passed and seen.get["rows"] == row.passed + row.failed
+
+
+def test_quotes_without_price_are_dropped(ticks):
+    rows = bronze.priced_only(ticks(NVDA, tick(price=None))).collect()
+    assert len(rows) == 1 and rows[0].timestamp.startswith("20")
+
+
+NESTED = """{"id": "1", "content": {"id": "1", "contentType": "STORY", "title": "Börse — up", "summary": "s",
+ "pubDate": "2026-03-24T13:00:00Z", "provider": {"displayName": "Reuters", "sourceId": "r"},
+ "canonicalUrl": {"url": "https://example.com/1"}}}"""
+
+
+def test_normalize_news(spark):
+    feed = spark.createDataFrame(
+        [
+            ("NVDA", NESTED),
+            ("AAPL", '{"id": "2", "content": {"title": "T", "provider": null, "canonicalUrl": null}}'),
+            ("AAPL", '{"id": "3"}'),
+            ("AAPL", '{"id": "4", "content": {"summary": "no title"}}'),
+        ],
+        "symbol string, payload string",
+    )
+    full, bare = sorted(bronze.normalize_news(feed).collect(), key=lambda r: -len(r.headline))
+    assert tuple(full) == ("Börse — up", "s", "Reuters", "https://example.com/1", ["NVDA"], "2026-03-24T13:00:00Z")
+    assert tuple(bare) == ("T", "", "Unknown", "", ["AAPL"], "")
+
+
+def test_dedupe_keeps_first_in_order(spark):
+    rows = [("same", "NVDA", 1, 0), ("same", "AAPL", 0, 5), ("same", "AAPL", 0, 3), ("other", "AAPL", 0, 4)]
+    articles = spark.createDataFrame(rows, "headline string, symbol string, symbol_pos int, feed_pos int")
+    kept = bronze.dedupe_news(articles.repartition(4), ("symbol_pos", "feed_pos")).collect()
+    assert sorted(map(tuple, kept)) == [("other", "AAPL", 0, 4), ("same", "AAPL", 0, 3)]
+
+
+def test_article_rules(spark):
+    df = spark.createDataFrame([("h", ""), (None, "x"), ("h", None)], "headline string, published_at string")
+    assert [tuple(r) for r in silver.valid(df, silver.ARTICLE_RULES).collect()] == [("h", "")]
+    assert bronze.bronze_news(df.where("headline = 'h'")).where(F.col("pub_time").isNotNull()).count() == 0
