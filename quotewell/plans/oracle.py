@@ -610,3 +610,51 @@ SELECT count(*) AS total_queries, CAST(sum(length(q.text) % 5) AS BIGINT) AS tot
        round(avg(length(a.text) / 100.0), 2) AS avg_latency, round(avg(length(q.text) % 5), 1) AS avg_tools
 FROM conversations AS q JOIN conversations AS a ON a.conv_id = q.conv_id AND a.turn = q.turn + 1
 WHERE q.role = 'user' AND a.role = 'assistant'"""
+
+# --- Whole layers -----------------------------------------------------------
+
+
+def _counts(**tables: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, (SELECT count(*) FROM ({rows})) AS row_count" for name, rows in tables.items()
+    )
+
+
+CLOSED = "SELECT * FROM candles WHERE candle_end <= (SELECT max(trade_time) FROM silver) - INTERVAL '2 minutes'"
+DAYS = "days AS (SELECT DISTINCT symbol, CAST(trade_time AS DATE) AS date, sector FROM silver)"
+ORACLE_SQL["price_layers"] = _sql(
+    _counts(
+        stock_prices_bronze="SELECT * FROM raw",
+        stock_prices_silver="SELECT * FROM silver",
+        stock_prices_quarantine="SELECT * FROM enriched WHERE quarantine_reason IS NOT NULL",
+        stock_candles_1m=CLOSED,
+        stock_daily_summary="SELECT * FROM days",
+        sector_performance="SELECT DISTINCT sector, date FROM days",
+    ),
+    RAW,
+    ENRICHED,
+    CANDLES,
+    DAYS,
+)
+ORACLE_SQL["news_layers"] = _sql(
+    _counts(
+        stock_news_bronze="SELECT * FROM news",
+        news_sentiment_silver="SELECT * FROM good",
+        symbol_sentiment_agg="SELECT DISTINCT unnest(symbols) FROM good",
+        market_mood="SELECT 1",
+    ),
+    NEWS,
+    "good AS (SELECT * FROM news WHERE headline IS NOT NULL AND published_at IS NOT NULL)",
+)
+ORACLE_SQL["analytics_layers"] = _sql(
+    _counts(
+        technical_indicators="SELECT DISTINCT symbol FROM days",
+        market_signals="SELECT DISTINCT symbol FROM days",
+        moving_averages="SELECT * FROM days",
+        sector_rankings="SELECT * FROM days",
+        volume_spikes="SELECT * FROM days QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date) > 1",
+    ),
+    RAW,
+    ENRICHED,
+    DAYS,
+)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quotewell.functions import text
 from quotewell.functions.signals import volume_category
 from quotewell.operators import bronze, gold, indicators, news, serving, silver, windows
+from quotewell.plans import layers
 from quotewell.plans.parameters import BOOSTS, DAMPENERS, FIRST_SYMBOL, LEXICON, SECOND_SYMBOL
 from quotewell.session import scratch_dir
 from quotewell.sources import driver_tables as src
@@ -451,6 +452,39 @@ def query_log_stats(spark, sf_dir):
     return serving.query_log_stats(src.query_log(spark, sf_dir))
 
 
+# --- Whole layers -----------------------------------------------------------
+
+
+def _price_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    landed = landing.write_ndjson(src.raw_ticks(spark, sf_dir), scratch_dir(spark, "landed-prices"))
+    root = scratch_dir(spark, "price-layers")
+    return layers.price_layers(spark, landed, root, src.sectors(spark, sf_dir), files_per_trigger=None)
+
+
+@query
+def price_layers(spark, sf_dir):
+    """Rows per table after running all price layers on landed ticks."""
+    return landing.table_profile(_price_tables(spark, sf_dir))
+
+
+@query
+def news_layers(spark, sf_dir):
+    """Rows per table after running all news layers on landed articles."""
+    landed = landing.write_overwrite(src.raw_news(spark, sf_dir), scratch_dir(spark, "landed-news"))
+    root = scratch_dir(spark, "news-layers")
+    scoring = {"lexicon": LEXICON, "boosts": BOOSTS, "dampeners": DAMPENERS}
+    return landing.table_profile(layers.news_layers(spark, landed, root, **scoring))
+
+
+@query
+def analytics_layers(spark, sf_dir):
+    """Rows per table after running the analytics on the daily bars of the ticks."""
+    daily = gold.daily_ohlcv(silver_of(spark, sf_dir))
+    bars = landing.write_partitioned(daily, scratch_dir(spark, "daily-summary"))
+    tables = layers.analytics_layers(spark, readers.read_table(spark, bars), scratch_dir(spark, "analytics-layers"))
+    return landing.table_profile(tables)
+
+
 # --- Streams ----------------------------------------------------------------
 
 
