@@ -36,6 +36,9 @@ HEADLINE = (
     "market_summary",
     "stream_candles",
     "stream_quality",
+    "price_layers",
+    "news_layers",
+    "analytics_layers",
 )
 
 

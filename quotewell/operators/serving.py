@@ -63,7 +63,7 @@ def sector_board(latest: DataFrame, rankings: DataFrame, sector: str | None = No
     board = members.join(
         rankings.select("symbol", "date", "sector_rank", "percentile"), ["symbol", "date"], "left"
     )
-    place = F.struct(F.coalesce("sector_rank", F.lit(999)), "symbol")
+    place = F.struct(F.col("sector_rank").isNull(), "sector_rank", "symbol")
     totals = board.groupBy("sector").agg(
         F.count("*").alias("stock_count"),
         F.min_by("symbol", place).alias("top_gainer"),
