@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewell.llm import packing, toxicity
+from quotewell.llm import html_text, packing, secrets, toxicity
 from quotewell.llm.common import fold
 
 
@@ -31,5 +31,21 @@ def op2_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_hierarchical_packing, op2_toxicity_grammar)}
+def op8_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op9_multipart_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.span_digest(secrets.find(secrets.numbered(table(spark, sf_dir, "documents"))))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_hierarchical_packing,
+        op2_toxicity_grammar,
+        op8_site_templates,
+        op9_multipart_secrets,
+    )
+}
 ORACLE_SQL: dict[str, str] = {}
