@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewell.llm import html_text, packing, secrets, toxicity
+from quotewell.llm import decontamination, html_text, packing, secrets, sentence_spans, sharding, toxicity
 from quotewell.llm.common import fold
 
 
@@ -31,6 +31,14 @@ def op2_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.without_repeats(table(spark, sf_dir, "documents"))
+
+
+def op4_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_digest(sharding.shard(table(spark, sf_dir, "documents"), shards=24))
+
+
 def op8_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
 
@@ -39,13 +47,20 @@ def op9_multipart_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.span_digest(secrets.find(secrets.numbered(table(spark, sf_dir, "documents"))))
 
 
+def op10_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("doc_hash")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_hierarchical_packing,
         op2_toxicity_grammar,
+        op3_sentence_spans,
+        op4_best_fit_shards,
         op8_site_templates,
         op9_multipart_secrets,
+        op10_simhash_decontamination,
     )
 }
 ORACLE_SQL: dict[str, str] = {}
