@@ -13,8 +13,7 @@ from quotewell.llm.common import stored
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the grammar, learnt from the labels of the documents at hand, doesn't find toxic."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = toxicity.learn(toxicity.labelled_texts(docs, labels))
-    return toxicity.flagged(docs, model).where("score < 0.5").select(docs.columns)
+    return toxicity.score(docs, toxicity.learn(docs, labels), "#toxicity").where("`#toxicity` < 0.5").select(docs.columns)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotewell.llm import decontamination, html_text, packing, secrets, sentence_spans, sharding, toxicity
-from quotewell.llm.common import fold
+from quotewell.llm.common import fold, texts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,9 +21,8 @@ def op1_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    labelled = toxicity.labelled_texts(docs, table(spark, sf_dir, "labels"))
-    model = toxicity.learn(labelled.where(fold() != 0))
-    return toxicity.score(docs, model).select(
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels").where(fold() != 0))
+    return toxicity.score(texts(docs), model).select(
         "doc_id",
         (fold() == 0).alias("held_out"),
         "score",

@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quotewell.llm.common import in_slices, texts
+from quotewell.llm.common import in_slices, stored, texts
 
 WORDS = re.compile(r"[^\W\d_]+")
 #: A clause ends at a mark of punctuation or at a line's end; the apostrophe and the hyphen are inside words.
@@ -132,14 +133,21 @@ BEGINNINGS = (4, 5, 6, 7)
 MAX_SEEN = 300_000
 
 
+def word_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) to (doc_id, distinct words): all that counting needs, and less to shuffle than the text."""
+    for batch in in_slices(batches):
+        bags = [" ".join(set(WORDS.findall(text.lower()))) for text in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bags, pa.string())], names=["doc_id", "words"])
+
+
 def term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial document counts of words and beginnings ("abcd*") by label, for (text, toxic) rows."""
+    """Partial document counts of words and beginnings ("abcd*") by label, for (words, toxic) rows."""
     counts: tuple[Counter, Counter] = (Counter(), Counter())
     for batch in in_slices(batches):
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = set(WORDS.findall(text.lower()))
-            counts[toxic].update(words)
-            counts[toxic].update({f"{w[:n]}*" for w in words for n in BEGINNINGS if len(w) > n})
+        for words, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            terms = words.split()
+            counts[toxic].update(terms)
+            counts[toxic].update({f"{w[:n]}*" for w in terms for n in BEGINNINGS if len(w) > n})
         if len(counts[0]) + len(counts[1]) > MAX_SEEN:
             yield from flush(counts)
     yield from flush(counts)
@@ -157,25 +165,40 @@ def flush(counts: tuple[Counter, Counter]) -> Iterator[pa.RecordBatch]:
         c.clear()
 
 
+def known_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of the ids that have exactly one distinct toxic label of 0 or 1."""
+    return (
+        labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL")
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+        .agg(F.min("toxic").cast("int").alias("toxic"), F.max("toxic").alias("most"))
+        .where("toxic = most")
+        .select("doc_id", "toxic")
+    )
+
+
 def learn(
-    labelled: DataFrame, max_terms: int = 20_000, min_toxic: int = 5, min_odds: float = 20.0, sample: int = 20_000
+    docs: DataFrame, labels: DataFrame, max_terms: int = 20_000, min_toxic: int = 5, min_odds: float = 20.0, sample: int = 20_000
 ) -> ToxicityModel:
-    """Grammar and coefficients from rows of (doc_id, text, toxic).
-
-    Term counts cover every labelled row.  A term is kept if at least
-    ``min_toxic`` toxic documents hold it and its odds there are ``min_odds``
-    times those elsewhere; at most ``max_terms``, the strongest first, bound what
-    reaches the driver.  The four coefficients are fitted on a sample of at most
-    ``sample`` rows of each label, by the smallest hash of the id.
+    """Grammar and coefficients from the documents that ``labels`` (doc_id, toxic) names.
+
+    Term counts cover every labelled document; only its distinct words are
+    shuffled to its label.  A term is kept if at least ``min_toxic`` toxic
+    documents hold it and its odds there are ``min_odds`` times those elsewhere;
+    at most ``max_terms``, the strongest first, bound what reaches the driver.
+    The four coefficients are fitted on a sample of at most ``sample`` documents
+    of each label, by the smallest hash of the id.
     """
-    rows = labelled.select("doc_id", "text", "toxic").where("toxic IN (0, 1)")
-    totals = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    rows = texts(docs)
+    known = stored(known_labels(labels).join(rows.select("doc_id").distinct(), "doc_id"), "toxic-labels")
+    totals = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     clean, toxic = totals.get(0, 0), totals.get(1, 0)
     if not toxic or not clean:  # one label only: its share, which is 0 or 1, or a half for no rows at all
         return ToxicityModel(Grammar({}, {}), (4.0 if toxic else -4.0 if clean else 0.0, 0.0, 0.0, 0.0))
     odds = ((F.col("toxic") + 0.5) / (toxic + 1)) / ((F.col("clean") + 0.5) / (clean + 1))
     terms = (
-        rows.select("text", F.col("toxic").cast("int").alias("toxic"))
+        rows.mapInArrow(word_sets, "doc_id long, words string")
+        .join(known, "doc_id")
+        .select("words", "toxic")
         .mapInArrow(term_counts, "term string, clean long, toxic long")
         .groupBy("term")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
@@ -190,9 +213,12 @@ def learn(
     grammar = Grammar(
         {t: w for t, w in found.items() if not t.endswith("*")}, beginnings, tuple(sorted({len(b) for b in beginnings}))
     )
-    size = F.xxhash64("doc_id", "text")
-    picked = rows.where("toxic = 1").orderBy(size).limit(sample).unionAll(rows.where("toxic = 0").orderBy(size).limit(sample))
-    measured = picked.mapInArrow(Measure(grammar), "toxic int, x array<double>")
+    picked = [known.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for t in (0, 1)]
+    measured = (
+        rows.join(F.broadcast(picked[0].unionAll(picked[1])), "doc_id")  # at most 2 x sample rows
+        .select("doc_id", "text", "toxic")
+        .mapInArrow(Measure(grammar), "toxic int, x array<double>")
+    )
     fitted = measured.collect()
     return ToxicityModel(grammar, fit([r["x"] for r in fitted], [r["toxic"] for r in fitted]))
 
@@ -228,36 +254,30 @@ def fit(rows: list[list[float]], labels: list[int], ridge: float = 1.0, steps: i
 
 @dataclass(frozen=True)
 class Score:
+    """Appends the score of the text in column ``at``."""
+
     model: ToxicityModel
+    at: int
+    name: str
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, float] = {}
         for batch in in_slices(batches):
             if len(seen) > MAX_SEEN:
                 seen.clear()
-            scores = [self.model.score(t, seen) for t in batch.column(1).to_pylist()]
+            scores = [self.model.score(t or "", seen) for t in batch.column(self.at).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"]
+                [*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, self.name]
             )
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic) of the documents that have exactly one distinct toxic label of 0 or 1."""
-    known = (
-        labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL")
-        .groupBy("doc_id")
-        .agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most"))
-        .where("toxic = most")
-        .select("doc_id", "toxic")
-    )
-    return texts(docs).join(known, "doc_id")
-
-
-def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """(doc_id, text, score), a row for each of ``docs``.
+def score(docs: DataFrame, model: ToxicityModel, name: str = "score", text_column: str = "text") -> DataFrame:
+    """``docs`` with the column ``name``, from 0 to 1, appended; the caller picks a name that ``docs`` has not.
 
     Null and empty texts score as documents without a match.  Every row is
-    scored alone, so repeated rows and ids get equal scores.  Other columns are
-    left behind.  A text of any length is read whole.
+    scored alone, so repeated rows and ids get equal scores; an empty table
+    stays empty.  A text of any length is read whole.  Without labels of both
+    kinds the score is 0.98, 0.02 or a half for all.
     """
-    return texts(docs).mapInArrow(Score(model), "doc_id long, text string, score double")
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
+    return docs.mapInArrow(Score(model, docs.columns.index(text_column), name), schema)
