@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewell.llm import decontamination, html_text, packing, secrets, sentence_spans, sharding, toxicity
+from quotewell.llm import decontamination, html_text, lattice, packing, secrets, sentence_spans, sharding, toxicity, vectors
 from quotewell.llm.common import fold, texts
 
 
@@ -38,6 +38,15 @@ def op4_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(sharding.shard(table(spark, sf_dir, "documents"), shards=24))
 
 
+def op5_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = "crc32(coalesce(cast(doc_id AS string), '')) % 5 = 1"
+    return lattice.score(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), held_out, "lang")
+
+
+def op7_pca_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
 
@@ -57,6 +66,8 @@ QUERIES = {
         op2_toxicity_grammar,
         op3_sentence_spans,
         op4_best_fit_shards,
+        op5_subword_lattice,
+        op7_pca_tiles,
         op8_site_templates,
         op9_multipart_secrets,
         op10_simhash_decontamination,

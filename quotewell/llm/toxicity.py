@@ -197,7 +197,7 @@ def learn(
     odds = ((F.col("toxic") + 0.5) / (toxic + 1)) / ((F.col("clean") + 0.5) / (clean + 1))
     terms = (
         rows.mapInArrow(word_sets, "doc_id long, words string")
-        .join(known, "doc_id")
+        .join(known.hint("merge"), "doc_id")  # labels grow with the corpus: the same plan at every size
         .select("words", "toxic")
         .mapInArrow(term_counts, "term string, clean long, toxic long")
         .groupBy("term")
