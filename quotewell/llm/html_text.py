@@ -18,6 +18,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from zstandard import ZstdCompressor, ZstdDecompressor
 
 from quotewell.llm.common import in_slices, stored
 
@@ -211,29 +212,33 @@ def walk(html: str, templates: frozenset[int] | set[int], hashes: dict[int, bool
     return blocks
 
 
-@dataclass(frozen=True)
-class Subtrees:
-    """(uid, host, html) to (uid, host, main-text hash, hashes of block elements, whether each is in an article)."""
-
-    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_slices(batches, 256):
-            mains, lists, inside = [], [], []
-            for html in batch.column(2).to_pylist():
-                found: dict[int, bool] = {}
-                mains.append(digest(*walk(html, frozenset(), found)))
-                lists.append(list(found))
-                inside.append(list(found.values()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(mains, pa.int64()), pa.array(lists, pa.list_(pa.int64())), pa.array(inside, pa.list_(pa.bool_()))],
-                names=["uid", "host", "main", "hashes", "inside"],
-            )
+def subtrees_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, host, html) to (key, host, main-text hash, hashes of block elements, whether each is in an article)."""
+    for batch in in_slices(batches, 256):
+        mains, lists, inside = [], [], []
+        for html in batch.column(2).to_pylist():
+            found: dict[int, bool] = {}
+            mains.append(digest(*walk(html, frozenset(), found)))
+            lists.append(list(found))
+            inside.append(list(found.values()))
+        columns = [pa.array(mains, pa.int64()), pa.array(lists, pa.list_(pa.int64())), pa.array(inside, pa.list_(pa.bool_()))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["key", "host", "main", "hashes", "inside"])
+
+
+def squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, page_id, url, html) with the html compressed, for the shuffle."""
+    packer = ZstdCompressor(level=6)
+    for batch in in_slices(batches, 256):
+        packed = [packer.compress(html.encode("utf-8", "surrogatepass")) for html in batch.column(3).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(packed, pa.binary())], names=["key", "page_id", "url", "packed"])
 
 
 def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(page_id, url, html, templates) to (page_id, url, text)."""
+    """(page_id, url, packed html, templates) to (page_id, url, text)."""
+    unpacker = ZstdDecompressor()
     for batch in in_slices(batches, 256):
         rows = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-        out = [" ".join(walk(html, frozenset(gone or ()), None)) for html, gone in rows]
+        out = [" ".join(walk(unpacker.decompress(html).decode("utf-8", "surrogatepass"), frozenset(gone or ()), None)) for html, gone in rows]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=["page_id", "url", "text"])
 
 
@@ -267,34 +272,30 @@ def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) for each row of ``pages`` (page_id, url, html).
 
     Null and empty html give an empty text; a null url belongs to the host
-    without a name; repeated rows are extracted alike; tags that are not closed
+    without a name; repeated rows are one page and extracted alike; tags that are not closed
     or not opened are closed or passed over as browsers do.  Other columns are
     left behind.
     """
-    rows = stored(
-        pages.select(
-            F.monotonically_increasing_id().alias("uid"),
-            F.col("page_id").cast("long").alias("page_id"),
-            "url",
-            host_of(F.col("url")).alias("host"),
-            F.coalesce("html", F.lit("")).alias("html"),
-        ),
-        "pages",
+    rows = pages.select(
+        F.col("page_id").cast("long").alias("page_id"), "url", host_of(F.col("url")).alias("host"), F.coalesce("html", F.lit("")).alias("html")
     )
+    rows = rows.withColumn("key", F.md5(F.concat_ws("\x00", F.coalesce(F.col("page_id").cast("string"), F.lit("")), "url", "html").cast("binary")))
+    rows = rows.withColumn("key", F.unhex("key"))
     subtrees = stored(
-        rows.select("uid", "host", "html").mapInArrow(
-            Subtrees(), "uid long, host string, main long, hashes array<long>, inside array<boolean>"
+        rows.select("key", "host", "html").mapInArrow(
+            subtrees_of, "key binary, host string, main long, hashes array<long>, inside array<boolean>"
         ),
         "subtrees",
     )
     gone = (
-        subtrees.select("uid", "host", F.explode("hashes").alias("hash"))
+        subtrees.select("key", "host", F.explode("hashes").alias("hash"))
         .join(site_templates(subtrees), ["host", "hash"])
-        .groupBy("uid")
+        .groupBy("key")
         .agg(F.collect_set("hash").alias("templates"))
     )
+    packed = rows.select("key", "page_id", "url", "html").mapInArrow(squeezed, "key binary, page_id long, url string, packed binary")
     return (
-        rows.join(gone, "uid", "left")
-        .select("page_id", "url", "html", "templates")
+        packed.join(gone.hint("merge"), "key", "left")
+        .select("page_id", "url", "packed", "templates")
         .mapInArrow(extracted, "page_id long, url string, text string")
     )
