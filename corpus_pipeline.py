@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.window import Window
+
 import public_tokenizers
-from quotewell.llm import packing, toxicity
+from quotewell.llm import decontamination, jaccard, packing, secrets, toxicity
 from quotewell.llm.common import stored
 
 
@@ -16,12 +18,58 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.learn(docs, labels), "#toxicity").where("`#toxicity` < 0.5").select(docs.columns)
 
 
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the group's smallest id.
+
+    A group is linked by a similarity of 0.8 on shingles of five words.  Rows
+    without shingles stay as they are; of repeated rows one stays.
+    """
+    groups = jaccard.similarity_components(docs, size=5, percent=80)
+    kept = (
+        groups.where("n_shingles > 0")
+        .groupBy("component_id")
+        .agg(F.min(F.struct("doc_id", "doc_hash")).alias("doc"))
+        .select(F.col("doc.doc_id").alias("#id"), F.col("doc.doc_hash").alias("#hash"))
+    )
+    ids = groups.where("n_shingles = 0").select(F.col("doc_id").alias("#id"), F.col("doc_hash").alias("#hash")).distinct()
+    text = F.coalesce(docs["text"], F.lit(""))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("#id")) & (F.xxhash64(text) == F.col("#hash"))
+    first = F.row_number().over(Window.partitionBy("#id", "#hash").orderBy(*docs.columns))
+    unique = docs.join(kept, same).withColumn("#row", first).where("`#row` = 1").select(docs.columns)
+    return unique.unionAll(docs.join(ids, same, "left_semi"))
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item was found."""
+    return decontamination.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts replaced by a mark; ``n_chars`` follows where the text changed."""
+    numbered = docs.withColumn("#uid", F.md5(F.concat_ws("\x00", F.col("doc_id").cast("string"), F.col("text")).cast("binary")))
+    found = secrets.find(secrets.texts(docs).withColumn("uid", F.md5(F.concat_ws("\x00", F.col("doc_id").cast("string"), F.col("text")).cast("binary"))))
+    spans = found.where(F.size("spans") > 0).select(F.col("uid").alias("#uid"), F.col("spans").alias("#spans"))
+    changed = F.col("#spans").isNotNull()
+    new_text = F.when(changed, secrets.redacted(F.col("text"), F.col("#spans"))).otherwise(F.col("text"))
+    joined = numbered.join(spans.dropDuplicates(["#uid"]), "#uid", "left").withColumn("text", new_text)
+    if "n_chars" in docs.columns:
+        count = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        joined = joined.withColumn("n_chars", F.when(changed, count).otherwise(F.col("n_chars")))
+    return joined.select(docs.columns)
+
+
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in packed windows."""
     return packing.piece_digest(packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
-STAGES = [("toxicity", drop_toxic), ("packing", pack_windows)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", one_of_each_group),
+    ("decontamination", drop_benchmark_leaks),
+    ("secrets", mask_secrets),
+    ("packing", pack_windows),
+]
 
 #: No SQL states a tokenizer or learnt weights; the stages are tested against brute force.
 ORACLE_SQL = None

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewell.llm import decontamination, html_text, lattice, packing, secrets, sentence_spans, sharding, toxicity, vectors
+from quotewell.llm import decontamination, html_text, jaccard, lattice, packing, secrets, sentence_spans, sharding, toxicity, vectors
 from quotewell.llm.common import fold, texts
 
 
@@ -43,6 +43,10 @@ def op5_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.score(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), held_out, "lang")
 
 
+def op6_adaptive_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_components(table(spark, sf_dir, "documents"), size=4, percent=85).drop("doc_hash")
+
+
 def op7_pca_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -67,6 +71,7 @@ QUERIES = {
         op3_sentence_spans,
         op4_best_fit_shards,
         op5_subword_lattice,
+        op6_adaptive_prefixes,
         op7_pca_tiles,
         op8_site_templates,
         op9_multipart_secrets,
