@@ -46,8 +46,11 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts replaced by a mark; ``n_chars`` follows where the text changed."""
-    numbered = docs.withColumn("#uid", F.md5(F.concat_ws("\x00", F.col("doc_id").cast("string"), F.col("text")).cast("binary")))
-    found = secrets.find(secrets.texts(docs).withColumn("uid", F.md5(F.concat_ws("\x00", F.col("doc_id").cast("string"), F.col("text")).cast("binary"))))
+    rows = secrets.texts(docs)
+    id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    uid = F.md5(F.concat_ws("\x00", id_text, F.coalesce("text", F.lit(""))).cast("binary"))  # equal rows have equal spans
+    numbered = docs.withColumn("#uid", uid)
+    found = secrets.find(rows.withColumn("uid", uid))
     spans = found.where(F.size("spans") > 0).select(F.col("uid").alias("#uid"), F.col("spans").alias("#spans"))
     changed = F.col("#spans").isNotNull()
     new_text = F.when(changed, secrets.redacted(F.col("text"), F.col("#spans"))).otherwise(F.col("text"))

@@ -45,7 +45,7 @@ HINT = re.compile(r"[:=]")
 
 SPAN = "struct<kind:string,start:int,end:int>"
 PART = "struct<scope:int,part:string,strong:boolean,start:int,end:int>"
-SCAN = f"uid long, doc_id long, base array<{SPAN}>, parts array<{PART}>"
+SCAN = f"doc_id long, base array<{SPAN}>, parts array<{PART}>"
 ARROW_SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 ARROW_PART = pa.list_(
     pa.struct([("scope", pa.int32()), ("part", pa.string()), ("strong", pa.bool_()), ("start", pa.int32()), ("end", pa.int32())])
@@ -131,7 +131,8 @@ def find(docs: DataFrame, reach: int = 200) -> DataFrame:
     Null and empty texts have no spans.  Repeated rows and ids are told apart by
     ``uid``, which must name a row.  Texts are read whole.
     """
-    scan = stored(docs.select("uid", "doc_id", "text").mapInArrow(scanned, SCAN), "secrets")
+    uid = docs.schema["uid"].dataType.simpleString()
+    scan = stored(docs.select("uid", "doc_id", "text").mapInArrow(scanned, f"uid {uid}, {SCAN}"), "secrets")
     ranks = F.create_map(*[F.lit(x) for k in enumerate(KINDS) for x in reversed(k)])
     order = lambda s: F.struct(s["start"], F.element_at(ranks, s["kind"]).alias("rank"), s["end"], s["kind"])
     every = F.concat("base", F.coalesce("linked", F.array().cast(f"array<{SPAN}>")))
