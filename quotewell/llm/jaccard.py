@@ -13,21 +13,21 @@ frequency.  A cheap document is probed against all documents of its level, so
 each pair is found at the level of the cheaper one, and no key that is probed
 has more than ``COST`` + 1 documents.
 
-What is dear to the end belongs to large families of near copies.  There every
-key's documents are compared with one document of another component until no
-comparison joins two components; only pairs across the components that are left
-are then compared one by one.
+What is dear to the end belongs to families of near copies.  There every key's
+documents are first compared with one document of another component, twice; only
+pairs across the components that are left are then compared one by one.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -40,6 +40,9 @@ COST = 8
 #: Shingles to be shared at each level, as parts of the set; 1.0 stands for the whole set.
 LEVELS = (0.2, 1.0)
 SKETCH_BITS = 1024
+#: Rounds in which large families are joined before pairs are compared.
+STAR_ROUNDS = 2
+SET = ("sid", "n", "m")
 
 
 @dataclass(frozen=True)
@@ -168,7 +171,10 @@ class Linked:
 
 
 def keys_of(prefixes: DataFrame) -> DataFrame:
-    """(sid, n, token, df) of the keys that more than one set has, for (sid, n, p, k, prefix): the k rarest of the p shingles."""
+    """(sid, n, m, token, df) of the keys that more than one set has, for (sid, n, p, k, prefix): the k rarest of the p shingles.
+
+    m is how many of the set's n shingles another set may have at all.
+    """
     tokens = prefixes.select("sid", "n", "p", "k", F.explode("prefix").alias("token"))
     common = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     # shingles that no other set has come first in the order, and meet nobody
@@ -178,17 +184,25 @@ def keys_of(prefixes: DataFrame) -> DataFrame:
         .withColumn("rank", F.row_number().over(mine.orderBy("df", "token")))
         .withColumn("shared", F.count("*").over(mine))
     )
-    return ranked.where(F.col("rank") <= F.col("k") - F.col("p") + F.col("shared")).select("sid", "n", "token", "df")
+    return ranked.where(F.col("rank") <= F.col("k") - F.col("p") + F.col("shared")).select(
+        "sid", "n", (F.col("n") - F.col("p") + F.col("shared")).alias("m"), "token", "df"
+    )
 
 
-def similar_sizes(rule: Rule, a: str, b: str) -> F.Column:
-    return (100 * F.least(a, b) >= rule.percent * F.greatest(a, b)) & (F.col("sid_a") != F.col("sid_b"))
+def may_link(rule: Rule) -> Column:
+    """Whether sizes and shingles that others may have allow columns a and b (sid, n, m) to link."""
+    sizes = 100 * F.least("a.n", "b.n") >= rule.percent * F.greatest("a.n", "b.n")
+    enough = (100 + rule.percent) * F.least("a.m", "b.m") >= rule.percent * (F.col("a.n") + F.col("b.n"))
+    return sizes & enough & (F.col("a.sid") != F.col("b.sid"))
 
 
-def pairs_of(left: DataFrame, right: DataFrame, rule: Rule, on: list[str]) -> DataFrame:
-    a = left.select(*on, F.col("sid").alias("sid_a"), F.col("n").alias("n_a"))
-    b = right.select(*on, F.col("sid").alias("sid_b"), F.col("n").alias("n_b"))
-    return a.join(b, on).where(similar_sizes(rule, "n_a", "n_b")).select(F.least("sid_a", "sid_b").alias("a"), F.greatest("sid_a", "sid_b").alias("b"))
+def as_pairs(met: DataFrame, rule: Rule) -> DataFrame:
+    """(a, b), the smaller first, of the rows with structs a and b that may link."""
+    return met.where(may_link(rule)).select(F.least("a.sid", "b.sid").alias("a"), F.greatest("a.sid", "b.sid").alias("b"))
+
+
+def set_of(name: str, *more: str) -> Column:
+    return F.struct("sid", "n", "m", *more).alias(name)
 
 
 def probed(keys: DataFrame, rule: Rule, cost: int) -> tuple[DataFrame, DataFrame]:
@@ -196,7 +210,8 @@ def probed(keys: DataFrame, rule: Rule, cost: int) -> tuple[DataFrame, DataFrame
     costs = keys.groupBy("sid").agg(F.sum(F.col("df") - 1).alias("cost"))
     few = keys.where(F.col("df") <= cost + 1)
     cheap = few.join(costs.where(F.col("cost") <= cost).select("sid"), "sid", "left_semi")
-    return pairs_of(cheap, few, rule, ["token"]).distinct(), costs.where(F.col("cost") > cost).select("sid")
+    met = cheap.select("token", set_of("a")).join(few.select("token", set_of("b")), "token")
+    return as_pairs(met, rule).distinct(), costs.where(F.col("cost") > cost).select("sid")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -217,43 +232,45 @@ def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 
 
 def families(keys: DataFrame, sets: DataFrame, edges: DataFrame, rule: Rule) -> DataFrame:
-    """All edges, with links among the sets of ``keys`` added until none is missing between two components."""
+    """All edges, with the links among the sets of ``keys`` (token, sid, n, m) that join two components.
+
+    A few rounds compare every set with one of another component for each of its
+    keys, which is linear in the keys and joins what is alike.  What is left are
+    pairs across components that share a key; they are compared one by one.
+    """
     tried = None
-    while True:
+    for last in (*[False] * STAR_ROUNDS, True):
         of = components(edges).withColumnRenamed("node", "sid")
         labelled = stored(keys.join(of, "sid", "left").withColumn("component", F.coalesce("component", "sid")), "labelled")
-        place = F.struct("component", "sid", "n")
-        ends = (
-            labelled.groupBy("token")
-            .agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
-            .where("lo.component <> hi.component")
-        )
-        open_rows = labelled.join(ends, "token")
-        other = F.when(F.col("component") == F.col("lo.component"), F.col("hi")).otherwise(F.col("lo"))
-        met = open_rows.withColumn("other", other).select(
-            F.col("sid").alias("sid_a"), F.col("n").alias("n_a"), F.col("other.sid").alias("sid_b"), F.col("other.n").alias("n_b")
-        )
-        met = met.where(similar_sizes(rule, "n_a", "n_b")).select(F.least("sid_a", "sid_b").alias("a"), F.greatest("sid_a", "sid_b").alias("b")).distinct()
+        # the two most typical sets of a key, in two components: those whose shingles others have most
+        best = F.max(F.struct((F.col("m") / F.col("n")).alias("typical"), *SET, "component"))
+        first = labelled.groupBy("token").agg(best.alias("first"))
+        others = labelled.join(first, "token")
+        second = others.where(F.col("component") != F.col("first.component")).groupBy("token").agg(best.alias("second"))
+        open_rows = others.join(second, "token")
+        if last:
+            met = across(open_rows, rule)
+        else:
+            stars = [
+                open_rows.where(F.col("component") != F.col(f"{star}.component")).select(set_of("a"), F.col(star).alias("b"))
+                for star in ("first", "second")
+            ]
+            met = as_pairs(stars[0].unionAll(stars[1]), rule)
+        met = met.distinct()
         new = stored(met if tried is None else met.join(tried, ["a", "b"], "left_anti"), "met")
-        if new.isEmpty():
-            break
         tried = new if tried is None else tried.unionAll(new)
-        found = stored(verified(new, sets, rule), "links")
-        if found.isEmpty():
-            break
-        edges = edges.unionAll(found)
-    # pairs across the components that are left, in size bands: sets that link are in one band or in two next to each other
-    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / rule.percent))).cast("int")
-    rows = open_rows.select("token", "sid", "n", "component", band.alias("band"))
-    a = rows.select("token", "band", F.col("sid").alias("sid_a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    b = rows.withColumn("band", F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1))).select(
-        "token", "band", F.col("sid").alias("sid_b"), F.col("n").alias("n_b"), F.col("component").alias("c_b")
-    )
-    across = a.join(b, ["token", "band"]).where(similar_sizes(rule, "n_a", "n_b") & (F.col("sid_a") < F.col("sid_b")) & (F.col("c_a") != F.col("c_b")))
-    across = across.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct()
-    if tried is not None:
-        across = across.join(tried, ["a", "b"], "left_anti")
-    return edges.unionAll(stored(verified(stored(across, "across"), sets, rule), "links"))
+        edges = edges.unionAll(stored(verified(new, sets, rule), "links"))
+    return edges
+
+
+def across(rows: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a, b) of different components with a common key, in size bands: sets that link are in one band or in neighbours."""
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / rule.percent)).cast("int")
+    rows = rows.select("token", *SET, "component", band.alias("band"))
+    a = rows.select("token", "band", set_of("a", "component"))
+    wide = rows.withColumn("band", F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)))
+    met = a.join(wide.select("token", "band", set_of("b", "component")), ["token", "band"])
+    return as_pairs(met.where((F.col("a.sid") < F.col("b.sid")) & (F.col("a.component") != F.col("b.component"))), rule)
 
 
 def similarity_components(docs: DataFrame, size: int = 4, percent: int = 85, cost: int = COST) -> DataFrame:
@@ -299,7 +316,7 @@ def similarity_components(docs: DataFrame, size: int = 4, percent: int = 85, cos
         pairs, dear = pairs.unionAll(stored(more, "pairs")), stored(dear, "dear")
     edges = stored(verified(pairs.distinct(), sets, rule), "links")
     if not dear.isEmpty():
-        edges = families(stored(keys.join(dear, "sid", "left_semi").select("token", "sid", "n"), "family"), sets, edges, rule)
+        edges = families(stored(keys.join(dear, "sid", "left_semi").select("token", *SET), "family"), sets, edges, rule)
 
     of = components(edges).withColumnRenamed("node", "sid")
     least = some.groupBy("sid").agg(F.min("doc_id").alias("least")).join(of, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
