@@ -10,12 +10,29 @@ from pyspark.sql import functions as F
 from quotewell.functions.signals import market_tone
 
 
-def _tick_order(time: str, ties: Sequence[str]) -> Column:
+def numeric_order(time: str, *ties: tuple[str, int]) -> Column:
+    """Time and tie columns as one number, each tie a (column, decimal digits) of whole numbers that are not negative.
+
+    A number of fixed width keeps an aggregation by earliest and latest hash-based
+    where times repeat.  17 digits of microseconds and the ties' make 38 at most.
+    """
+    if 17 + sum(digits for _, digits in ties) > 38:
+        raise ValueError("an order has 38 digits at most")
+    order = F.unix_micros(F.col(time).cast("timestamp")).cast("decimal(38,0)")
+    for column, digits in ties:
+        order = (order * F.lit(10**digits).cast("decimal(38,0)") + F.col(column).cast("decimal(38,0)")).cast("decimal(38,0)")
+    return order
+
+
+def _tick_order(time: str, ties: Sequence[str] | Column) -> Column:
     """What "earliest" and "latest" mean for ticks.
 
-    The bare time keeps the aggregation hash-based.  Where times repeat, name
-    ``ties`` columns to make the choice among equals definite; the price comes last.
+    The bare time keeps the aggregation hash-based, and so does a number such as
+    ``numeric_order``.  ``ties`` columns of any type make the choice among equal
+    times definite as well, by sorting; the price comes last.
     """
+    if isinstance(ties, Column):
+        return ties
     return F.struct(time, *ties, "price") if ties else F.col(time)
 
 
@@ -32,7 +49,7 @@ def _ohlcv(order: Column, names: Sequence[str]) -> list[Column]:
 
 
 def daily_ohlcv(
-    ticks: DataFrame, by: Sequence[str] = ("symbol", "date", "sector"), ties: Sequence[str] = ()
+    ticks: DataFrame, by: Sequence[str] = ("symbol", "date", "sector"), ties: Sequence[str] | Column = ()
 ) -> DataFrame:
     """Daily bar per symbol: open of the earliest tick, price of the latest, extremes, sums.
 

@@ -15,19 +15,29 @@ from quotewell.functions.smoothing import signal_weight, smoothing_weight, span_
 from quotewell.operators.windows import by_symbol
 
 
+# Earlier blocks that an average is passed on from; see ``ema``.
+BLOCKS_BACK = 6
+
+
 def series_from_arrays(df: DataFrame, prices: str = "prices") -> DataFrame:
     """Bars from a price array per symbol; the position takes the place of the date."""
     return df.select("symbol", F.posexplode_outer(prices).alias("date", "day_close"))
 
 
 def positioned(bars: DataFrame, value: str = "day_close") -> DataFrame:
-    """Bars with zero-based position, series length, price and change from the bar before."""
+    """Bars with zero-based position among those that have a price, their number, the price and its change.
+
+    Bars without a price have no position and count for nothing.
+    """
+    price = F.col(value)
+    so_far = by_symbol().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = by_symbol().rowsBetween(Window.unboundedPreceding, -1)
     return bars.withColumns(
         {
-            "_price": F.col(value),
-            "_pos": F.row_number().over(by_symbol()) - 1,
+            "_price": price,
+            "_pos": F.when(price.isNotNull(), F.count(value).over(so_far) - 1),
             "_len": F.count(value).over(Window.partitionBy("symbol")),
-            "_change": F.col(value) - F.lag(value).over(by_symbol()),
+            "_change": price - F.last(value, ignorenulls=True).over(before),
         }
     )
 
@@ -119,7 +129,7 @@ def ema(bars: DataFrame, period: int, value: str = "day_close") -> DataFrame:
     """The exponential moving average at every bar from the ``period``-th on.
 
     The running sum is scaled block by block to stay in double precision; what
-    earlier blocks pass on is folded from their last values.
+    earlier blocks pass on comes from a table of their last values.
     """
     rate = span_rate(period)
     keep = F.lit(1.0 - rate)
@@ -146,10 +156,15 @@ def ema(bars: DataFrame, period: int, value: str = "day_close") -> DataFrame:
     within = Window.partitionBy("symbol", "_block").orderBy("date")
     scaled = F.sum(F.col("_term") * F.pow(keep, -F.col("_in"))).over(within)
     local = started.withColumn("_local", scaled * F.pow(keep, F.col("_in")))
-    block_end = F.when(F.col("_in") == block - 1, F.col("_local"))
-    earlier = F.collect_list(block_end).over(by_symbol().rowsBetween(Window.unboundedPreceding, -1))
-    passed_on = F.aggregate("_ends", F.lit(0.0), lambda so_far, end: so_far * F.pow(keep, F.lit(block)) + end)
-    return local.withColumn("_ends", earlier).select(
+    # What the ends of the blocks before pass on: each block scales it down by far more than a
+    # double's precision, so a few of them are all there is.
+    blocks = Window.partitionBy("symbol").orderBy("_block")
+    passed = [F.coalesce(F.lag("_local", k).over(blocks), F.lit(0.0)) * F.pow(keep, F.lit(block * k)) for k in range(BLOCKS_BACK)]
+    ends = local.where(F.col("_in") == block - 1).select(
+        "symbol", (F.col("_block") + 1).alias("_block"), sum(passed[1:], passed[0]).alias("_passed_on")
+    )
+    passed_on = F.coalesce("_passed_on", F.lit(0.0))
+    return local.join(ends, ["symbol", "_block"], "left").select(
         "symbol",
         "date",
         value,

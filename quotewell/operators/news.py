@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from quotewell.fixed_values import BOOST_PHRASES, DAMPENING_PHRASES, LEXICON
 from quotewell.functions.signals import sentiment_label
 from quotewell.functions.text import (
+    DAMPED,
+    MOST_BOOST,
+    article_stats,
     clamp,
-    clean_text,
-    dampen,
-    keyword_boost,
     lexicon_stats,
     tone_score,
     valence_score,
@@ -42,23 +42,16 @@ def polarity(
 
 
 def polarity_by_table(
-    docs: DataFrame,
-    lexicon: DataFrame,
-    text: str = "text",
-    key: str = "doc_id",
-    broadcast_words: int = 500_000,
+    docs: DataFrame, lexicon: DataFrame, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
     """The same scores for a lexicon kept in a table (``word, valence, tone``) of any size.
 
-    A lexicon of up to ``broadcast_words`` goes to every task, so only sums per
-    text are shuffled.  A larger one is joined by shuffle, after words have been
-    counted per text: a word common to all texts then costs one row per text.
+    Words are counted per text before they meet the lexicon, so a word common to
+    all texts costs one row per text; how to join is left to Spark, which knows
+    the sizes when it comes to it.
     """
     found = docs.select(key, F.explode(words(F.col(text))).alias("word"))
-    if lexicon.count() <= broadcast_words:
-        hits = found.join(F.broadcast(lexicon), "word").withColumn("_times", F.lit(1))
-    else:
-        hits = found.groupBy(key, "word").agg(F.count("*").alias("_times")).join(lexicon, "word")
+    hits = found.groupBy(key, "word").agg(F.count("*").alias("_times")).join(lexicon, "word")
     stats = hits.groupBy(key).agg(
         F.sum("_times").alias("hits"),
         F.sum(F.col("_times") * F.col("valence")).alias("valence"),
@@ -75,12 +68,6 @@ def polarity_by_table(
     )
 
 
-def _blend(model_a: Column, model_b: Column, text: Column, boosts: Mapping[str, float], dampeners: Sequence[str]) -> Column:
-    """Weighted mean of the models plus the phrase boost, dampened and kept within -1..1."""
-    raw = model_a * 0.6 + model_b * 0.4 + keyword_boost(text, boosts)
-    return clamp(dampen(raw, text, dampeners), -1.0, 1.0)
-
-
 def score_articles(
     articles: DataFrame,
     lexicon: Lexicon = LEXICON,
@@ -94,30 +81,26 @@ def score_articles(
     weights, e.g. (0.6, 0.4), each is scored alone and the model scores are
     averaged; an article with only one of them counts that one.
     """
-    head, body = F.col("_head"), F.col("_body")
-    joined = F.btrim(F.concat(head, F.lit(". "), body), F.lit(". "))
-    cleaned = articles.withColumns(
-        {"_head": clean_text(F.col("headline")), "_body": clean_text(F.col("summary"))}
-    ).withColumn("_text", joined)
-
+    part = lambda name: F.col(f"_stats.{name}")
+    measured = articles.withColumn(
+        "_stats", article_stats(F.col("headline"), F.col("summary"), lexicon, boosts, dampeners)
+    )
+    empty = part("head_empty") & part("body_empty")
+    hits, valence, tone = ((part(f"head_{f}"), part(f"body_{f}")) for f in ("hits", "valence", "tone"))
     if weights is None:
-        measured = cleaned.withColumn("_stats", lexicon_stats(F.col("_text"), lexicon))
-        model_a, model_b = _models("_stats")
-        empty = F.col("_text") == ""
+        model_a, model_b = valence_score(valence[0] + valence[1]), tone_score(tone[0] + tone[1], hits[0] + hits[1])
     else:
-        measured = cleaned.withColumns(
-            {"_head_stats": lexicon_stats(head, lexicon), "_body_stats": lexicon_stats(body, lexicon)}
-        )
         on_head, on_body = weights
         model_a, model_b = (
-            F.when(body == "", h).when(head == "", b).otherwise(h * on_head + b * on_body)
-            for h, b in zip(_models("_head_stats"), _models("_body_stats"))
+            F.when(part("body_empty"), h).when(part("head_empty"), b).otherwise(h * on_head + b * on_body)
+            for h, b in (
+                [valence_score(v) for v in valence],
+                [tone_score(t, n) for t, n in zip(tone, hits)],
+            )
         )
-        empty = (head == "") & (body == "")
-
-    modelled = measured.withColumns({"_a": model_a, "_b": model_b}).withColumn(
-        "_score", _blend(F.col("_a"), F.col("_b"), F.col("_text"), boosts, dampeners)
-    )
+    raw = F.col("_a") * 0.6 + F.col("_b") * 0.4 + clamp(part("boost"), -MOST_BOOST, MOST_BOOST)
+    dampened = F.when(part("dampened"), raw * DAMPED).otherwise(raw)
+    modelled = measured.withColumns({"_a": model_a, "_b": model_b}).withColumn("_score", clamp(dampened, -1.0, 1.0))
     score = F.when(empty, 0.0).otherwise(F.col("_score"))
     agreement = clamp(1 - F.abs(F.col("_a") - F.col("_b")), 0.0, 1.0)
     return modelled.select(

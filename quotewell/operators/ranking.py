@@ -7,43 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A sort of this many narrow rows is comfortable work for one task.
-ROWS_PER_TASK = 5_000_000
-
-
-def rank_within(
-    df: DataFrame, groups: Sequence[str], value: str, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
-    """Adds ``rank`` (falling value, ties share a rank, NULL last) and ``size`` of the group.
-
-    The largest group is counted first.  If it fits a task, one window does;
-    otherwise groups are cut up, with the same result.
-    """
-    sizes = df.groupBy(*groups).agg(F.count("*").alias("_rows"))
-    largest = sizes.agg(F.max("_rows")).first()[0] or 0
-    rank = rank_in_one_task if largest <= rows_per_task else rank_in_steps
-    return rank(df, groups, value)
-
-
-def rank_in_one_task(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
-    """The plain window: each group is sorted by one task."""
-    group = Window.partitionBy(*groups)
-    return df.withColumns(
-        {
-            "rank": F.rank().over(group.orderBy(F.desc_nulls_last(value))).cast("bigint"),
-            "size": F.count("*").over(group),
-        }
-    )
-
-
-def _step(value: Column) -> Column:
-    """A coarse step that never falls as the value rises.
-
-    Eight steps per doubling of the magnitude, so a large group spreads over
-    some hundred steps without a look at its distribution first.
-    """
-    magnitude = F.floor(F.log2(F.abs(value) * 1e6 + 1) * 8)
-    return F.when(value < 0, -magnitude).otherwise(magnitude)
+# Pieces that a group's distinct values are cut into; a piece is sorted by one task.
+STEPS = 256
 
 
 def _match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -53,20 +18,31 @@ def _match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     return left.join(renamed, condition).drop(*[f"_right_{k}" for k in keys])
 
 
-def rank_in_steps(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
-    """The same without any task holding a whole group.
+def _step(value: Column, cuts: Column) -> Column:
+    """How many cuts lie at or below the value; NULL below all, NaN above all."""
+    below = F.size(F.filter(cuts, lambda cut: cut <= value))
+    return F.when(value.isNull(), -1).when(F.isnan(value), STEPS).otherwise(F.coalesce(below, F.lit(0)))
+
 
-    Equal values are counted before the
-    shuffle, so ties cost one row each; the distinct values of a group are then
-    ranked step by step, and a short table of rows per (group, step) tells how
-    many rows lie above a step.
+def rank_within(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
+    """Adds ``rank`` (falling value, ties share a rank, NaN first, NULL last) and ``size`` of the group.
+
+    Equal values are counted before the shuffle, so ties cost one row each.  A
+    group's distinct values are cut at its own approximate quantiles, whatever
+    their distribution; each piece is ranked alone, and a short table of rows
+    per piece tells how many lie above it.  No task sorts a whole group.
     """
     groups = list(groups)
-    counted = df.groupBy(*groups, value).agg(F.count("*").alias("_rows")).withColumn("_step", _step(F.col(value)))
-
-    down = Window.partitionBy(*groups).orderBy(F.desc_nulls_last("_step"))
+    counted = df.groupBy(*groups, F.col(value).cast("double").alias("_value")).agg(F.count("*").alias("_rows"))
+    number = F.col("_value")
+    finite = F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
+    shares = [k / STEPS for k in range(1, STEPS)]
+    cuts = counted.groupBy(*groups).agg(F.percentile_approx(finite, shares, 20 * STEPS).alias("_cuts"))
+    stepped = _match(counted, cuts, groups).withColumn("_step", _step(number, F.col("_cuts"))).drop("_cuts")
+
+    down = Window.partitionBy(*groups).orderBy(F.desc("_step"))
     steps = (
-        counted.groupBy(*groups, "_step")
+        stepped.groupBy(*groups, "_step")
         .agg(F.sum("_rows").alias("_in_step"))
         .select(
             *groups,
@@ -75,10 +51,9 @@ def rank_in_steps(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame
             F.sum("_in_step").over(Window.partitionBy(*groups)).alias("size"),
         )
     )
-
-    inside = Window.partitionBy(*groups, "_step").orderBy(F.desc_nulls_last(value))
-    local = counted.withColumn("_before", F.sum("_rows").over(inside) - F.col("_rows"))
+    inside = Window.partitionBy(*groups, "_step").orderBy(F.desc_nulls_last("_value"))
+    local = stepped.withColumn("_before", F.sum("_rows").over(inside) - F.col("_rows"))
     ranks = _match(local, steps, [*groups, "_step"]).select(
-        *groups, value, (F.col("_above") + F.col("_before") + 1).alias("rank"), "size"
+        *groups, "_value", (F.col("_above") + F.col("_before") + 1).alias("rank"), "size"
     )
-    return _match(df, ranks, [*groups, value])
+    return _match(df.withColumn("_value", F.col(value).cast("double")), ranks, [*groups, "_value"]).drop("_value")

@@ -64,12 +64,13 @@ def sector_board(latest: DataFrame, rankings: DataFrame, sector: str | None = No
         rankings.select("symbol", "date", "sector_rank", "percentile"), ["symbol", "date"], "left"
     )
     place = F.struct(F.col("sector_rank").isNull(), "sector_rank", "symbol")
-    totals = board.groupBy("sector").agg(
+    totals = board.groupBy(F.col("sector").alias("_sector")).agg(
         F.count("*").alias("stock_count"),
         F.min_by("symbol", place).alias("top_gainer"),
         F.max_by("symbol", place).alias("top_loser"),
     )
-    return board.join(totals, "sector").select(
+    # members without a sector are a group of their own
+    return board.join(totals, F.col("sector").eqNullSafe(F.col("_sector"))).select(
         "sector",
         "date",
         "stock_count",
@@ -276,7 +277,7 @@ def performance_board(latest: DataFrame, descending: bool = True) -> DataFrame:
         "sector",
         change.alias("change_pct"),
         F.when(change >= 0, "green").otherwise("red").alias("color"),
-        F.format_string("%+.2f%%", change).alias("label"),
+        F.when(change.isNotNull(), F.format_string("%+.2f%%", change)).otherwise("—").alias("label"),
     )
 
 

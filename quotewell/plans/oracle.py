@@ -6,6 +6,9 @@ recursive, ranks are windows, words are unnested and joined.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from quotewell import fixed_values
 from quotewell.plans.parameters import BOOSTS, DAMPENERS, FIRST_SYMBOL, LEXICON, SECOND_SYMBOL
 
 ORACLE_SQL: dict[str, str] = {}
@@ -66,6 +69,16 @@ ORACLE_SQL["silver_quarantine"] = _sql(
     RAW,
     ENRICHED,
 )
+ORACLE_SQL["src_json_inferred"] = _sql(f"SELECT {TICK} FROM raw", RAW)
+ORACLE_SQL["priced_only"] = _sql(f"SELECT {TICK.removesuffix(', timestamp')} FROM raw WHERE price IS NOT NULL", RAW)
+ORACLE_SQL["quarantine_detail"] = _sql(
+    f"""SELECT {TICK}, trade_time, {CHANGES}, quarantine_reason, CASE quarantine_reason
+      WHEN 'Invalid price' THEN 'price=' || coalesce(CAST(price AS VARCHAR), 'null') WHEN 'Invalid symbol' THEN 'symbol=null'
+      WHEN 'Invalid volume' THEN 'volume=' || coalesce(CAST(volume AS VARCHAR), 'null') ELSE 'timestamp=null' END AS quarantine_detail
+    FROM enriched WHERE quarantine_reason IS NOT NULL""",
+    RAW,
+    ENRICHED,
+)
 QUALITY = "CASE WHEN quarantine_reason IS NULL THEN 'silver' ELSE 'quarantine' END AS quality"
 ORACLE_SQL["quality_split"] = _sql(
     f"""SELECT {QUALITY}, quarantine_reason, sector, count(*) AS row_count, CAST(sum(volume) AS BIGINT) AS total_volume
@@ -348,7 +361,8 @@ ORACLE_SQL["news_normalize"] = _sql("SELECT * FROM articles", ARTICLES)
 ORACLE_SQL["news_dedupe"] = _sql(
     "SELECT * FROM articles QUALIFY row_number() OVER (PARTITION BY headline ORDER BY symbol, doc_id) = 1", ARTICLES
 )
-ORACLE_SQL["stream_dedupe"] = _sql("SELECT DISTINCT headline FROM articles WHERE published_at <> ''", ARTICLES)
+ORACLE_SQL["staging_append"] = _sql("SELECT headline, summary, source, url, [symbol] AS symbols, published_at FROM articles", ARTICLES)
+ORACLE_SQL["stream_dedupe"] = _sql("SELECT DISTINCT headline FROM articles", ARTICLES)
 
 # --- Text -------------------------------------------------------------------
 
@@ -371,20 +385,25 @@ def _clean(text: str) -> str:
     return f"coalesce(trim(regexp_replace({text}, '{SPACE}', ' ', 'g')), '')"
 
 
-def _boost(text: str) -> str:
+def _boost(text: str, boosts: dict[str, float] = BOOSTS) -> str:
     found = " + ".join(
-        f"CASE WHEN contains(lower({text}), '{phrase}') THEN {weight}::DOUBLE ELSE 0 END" for phrase, weight in BOOSTS.items()
+        f"CASE WHEN contains(lower({text}), '{phrase}') THEN {weight}::DOUBLE ELSE 0 END" for phrase, weight in boosts.items()
     )
     return f"least(greatest({found}, -0.5), 0.5)"
 
 
-def _dampened(text: str) -> str:
-    return "(" + " OR ".join(f"contains(lower({text}), '{phrase}')" for phrase in DAMPENERS) + ")"
+def _dampened(text: str, dampeners: Sequence[str] = DAMPENERS) -> str:
+    return "(" + " OR ".join(f"contains(lower({text}), '{phrase}')" for phrase in dampeners) + ")"
 
 
-LEXICON_TABLE = "lexicon(word, valence, tone) AS (VALUES {})".format(
-    ", ".join(f"('{word}', {valence}::DOUBLE, {tone}::DOUBLE)" for word, (valence, tone) in LEXICON.items())
-)
+def _lexicon_table(lexicon: dict[str, tuple[float, float]]) -> str:
+    quoted = ((word.replace("'", "''"), *weights) for word, weights in lexicon.items())
+    return "lexicon(word, valence, tone) AS (VALUES {})".format(
+        ", ".join(f"('{word}', {valence}::DOUBLE, {tone}::DOUBLE)" for word, valence, tone in quoted)
+    )
+
+
+LEXICON_TABLE = _lexicon_table(LEXICON)
 
 
 def _stats(name: str, source: str, text: str) -> str:
@@ -424,7 +443,12 @@ cleaned AS (SELECT *, trim(head || '. ' || body, '. ') AS joined FROM (
   SELECT *, {_clean('headline')} AS head, {_clean('summary')} AS body FROM news))"""
 
 
-def _scored(weighted: bool) -> tuple[str, ...]:
+def _scored(
+    weighted: bool,
+    lexicon: dict[str, tuple[float, float]] = LEXICON,
+    boosts: dict[str, float] = BOOSTS,
+    dampeners: Sequence[str] = DAMPENERS,
+) -> tuple[str, ...]:
     if weighted:
         stats = (_stats("head_stats", "cleaned", "head"), _stats("body_stats", "cleaned", "body"))
         tables = "LEFT JOIN head_stats USING (doc_id) LEFT JOIN body_stats USING (doc_id)"
@@ -438,14 +462,14 @@ def _scored(weighted: bool) -> tuple[str, ...]:
         tables, a, b = "LEFT JOIN stats USING (doc_id)", _a("stats"), _b("stats")
     return (
         NEWS,
-        LEXICON_TABLE,
+        _lexicon_table(lexicon),
         CLEANED,
         *stats,
         f"modelled AS (SELECT cleaned.*, {a} AS a, {b} AS b FROM cleaned {tables})",
         f"""blended AS (
         SELECT *, CASE WHEN joined = '' THEN 0 ELSE least(greatest(
-          (a * 0.6::DOUBLE + b * 0.4::DOUBLE + {_boost('joined')})
-          * CASE WHEN {_dampened('joined')} THEN 0.3::DOUBLE ELSE 1 END, -1), 1) END AS score FROM modelled)""",
+          (a * 0.6::DOUBLE + b * 0.4::DOUBLE + {_boost('joined', boosts)})
+          * CASE WHEN {_dampened('joined', dampeners)} THEN 0.3::DOUBLE ELSE 1 END, -1), 1) END AS score FROM modelled)""",
         """scored AS (
         SELECT doc_id, headline, summary, source, url, symbols, published_at,
           round(score, 4) AS sentiment_score,
@@ -459,6 +483,9 @@ SCORE = "doc_id, sentiment_score, sentiment_label, confidence"
 VALID_SCORED = "valid_scored AS (SELECT * FROM scored WHERE headline IS NOT NULL AND published_at IS NOT NULL)"
 GOOD_NEWS = (*_scored(True), VALID_SCORED)
 ORACLE_SQL["score_article"] = _sql(f"SELECT {SCORE} FROM scored", *_scored(False))
+ORACLE_SQL["score_article_shipped"] = _sql(
+    f"SELECT {SCORE} FROM scored", *_scored(False, fixed_values.LEXICON, fixed_values.BOOST_PHRASES, fixed_values.DAMPENING_PHRASES)
+)
 ORACLE_SQL["score_article_weighted"] = _sql(f"SELECT {SCORE} FROM scored", *_scored(True))
 for name in ("news_silver", "stream_news"):
     ORACLE_SQL[name] = _sql("SELECT * EXCLUDE (symbols, summary) FROM valid_scored", *GOOD_NEWS)
@@ -470,17 +497,24 @@ sentiment AS (
          arg_max(headline, row(sentiment_score, published_at, doc_id)) AS most_positive,
          arg_min(headline, row(sentiment_score, published_at, doc_id)) AS most_negative
   FROM (SELECT *, unnest(symbols) AS symbol FROM valid_scored) GROUP BY symbol)"""
-MOOD = """
+
+
+def _mood(threshold: float) -> str:
+    return f"""
 mood AS (
-  SELECT CASE WHEN avg_score > 0.02 THEN 'bullish' WHEN avg_score < -0.02 THEN 'bearish' ELSE 'neutral' END AS mood, *
+  SELECT CASE WHEN avg_score > {threshold} THEN 'bullish' WHEN avg_score < -{threshold} THEN 'bearish' ELSE 'neutral' END AS mood, *
   FROM (SELECT round(coalesce(avg(sentiment_score), 0), 12) AS avg_score, count(*) AS article_count,
                count(*) FILTER (sentiment_label = 'positive') AS positive_count,
                count(*) FILTER (sentiment_label = 'negative') AS negative_count,
                count(*) FILTER (sentiment_label = 'neutral') AS neutral_count FROM valid_scored))"""
+
+
+MOOD = _mood(0.02)
 ORACLE_SQL["symbol_sentiment"] = _sql(
     "SELECT * FROM sentiment", *GOOD_NEWS, SENTIMENT
 )
 ORACLE_SQL["market_mood"] = _sql("SELECT * FROM mood", *GOOD_NEWS, MOOD)
+ORACLE_SQL["market_mood_default"] = _sql("SELECT * FROM mood", *GOOD_NEWS, _mood(0.2))
 
 # --- Serving ----------------------------------------------------------------
 
@@ -559,7 +593,7 @@ ORACLE_SQL["market_summary"] = _sql(
     UNION ALL SELECT kind, position, symbol, value FROM movers
     UNION ALL {SIGNAL_COUNTS}
     UNION ALL SELECT 'volume_spike', NULL, symbol, volume_ratio FROM spikes
-    WHERE is_spike AND date = (SELECT max(date) FROM spikes)""",
+    WHERE is_spike AND date = (SELECT max(date) FROM bars)""",
     BARS,
     LATEST,
     _movers(False),

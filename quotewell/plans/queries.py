@@ -57,8 +57,13 @@ def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.valid(enriched_of(spark, sf_dir))
 
 
+def pieces(spark: SparkSession) -> int:
+    """Into how many pieces queries deal the text tables, which come as files that cannot be cut."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def scored_news(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return news.news_silver(src.raw_news(spark, sf_dir), LEXICON, BOOSTS, DAMPENERS)
+    return news.news_silver(src.raw_news(spark, sf_dir, pieces(spark)), LEXICON, BOOSTS, DAMPENERS)
 
 
 def articles_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +99,23 @@ def sink_ndjson(spark, sf_dir):
     return spark.read.schema(src.raw_ticks(spark, sf_dir).schema).json(path)
 
 
+@query
+def src_json_inferred(spark, sf_dir):
+    path = landing.write_ndjson(src.raw_ticks(spark, sf_dir), scratch_dir(spark, "ndjson"))
+    return readers.read_json_inferred(spark, path).select(*src.raw_ticks(spark, sf_dir).columns)
+
+
+@query
+def staging_append(spark, sf_dir):
+    """Articles appended to a landing table, which is then read as files."""
+    path = scratch_dir(spark, "staging")
+    table = path.rpartition("/")[2].replace("-", "_")
+    landing.create_news_staging(spark, table, path)
+    landing.append_to_staging(articles_of(spark, sf_dir), table)
+    spark.sql(f"DROP TABLE {table}")  # the catalogue's entry; the files stay
+    return readers.read_table(spark, path)
+
+
 @query
 def sink_partitioned(spark, sf_dir):
     daily = gold.daily_ohlcv(silver_of(spark, sf_dir))
@@ -134,6 +156,11 @@ def bronze_prices(spark, sf_dir):
     return bronze_of(spark, sf_dir)
 
 
+@query
+def priced_only(spark, sf_dir):
+    return bronze.priced_only(src.raw_ticks(spark, sf_dir)).drop("timestamp")
+
+
 @query
 def bronze_news(spark, sf_dir):
     raw = src.raw_news(spark, sf_dir).drop("symbols")
@@ -174,6 +201,12 @@ def silver_quarantine(spark, sf_dir):
     return silver.quarantine(enriched_of(spark, sf_dir))
 
 
+@query
+def quarantine_detail(spark, sf_dir):
+    """Rejected rows with the value that a rule rejects."""
+    return silver.quarantine(enriched_of(spark, sf_dir), detail=True)
+
+
 @query
 def quality_split(spark, sf_dir):
     return (
@@ -234,6 +267,11 @@ def market_mood(spark, sf_dir):
     return rounded(gold.market_mood(scored_news(spark, sf_dir), threshold=0.02), "avg_score")
 
 
+@query
+def market_mood_default(spark, sf_dir):
+    return rounded(gold.market_mood(scored_news(spark, sf_dir)), "avg_score")
+
+
 @query
 def signal_distribution(spark, sf_dir):
     return gold.signal_distribution(indicators.market_signals(src.bars(spark, sf_dir)))
@@ -311,7 +349,7 @@ def market_signals_short(spark, sf_dir):
 
 @query
 def clean_text(spark, sf_dir):
-    return src.given(spark, sf_dir, "pages").select("page_id", text.clean_text(F.col("html")).alias("clean"))
+    return src.given(spark, sf_dir, "pages", pieces(spark)).select("page_id", text.clean_text(F.col("html")).alias("clean"))
 
 
 @query
@@ -328,7 +366,7 @@ def dampen(spark, sf_dir):
 
 @query
 def polarity(spark, sf_dir):
-    return rounded(news.polarity(src.given(spark, sf_dir, "documents"), LEXICON), "model_a", "model_b")
+    return rounded(news.polarity(src.given(spark, sf_dir, "documents", pieces(spark)), LEXICON), "model_a", "model_b")
 
 
 @query
@@ -344,18 +382,25 @@ def polarity_by_table(spark, sf_dir):
             ((F.length("word") % 9 - 4) / 4.0).alias("tone"),
         )
     )
-    return rounded(news.polarity_by_table(src.given(spark, sf_dir, "documents"), lexicon), "model_a", "model_b")
+    return rounded(news.polarity_by_table(src.given(spark, sf_dir, "documents", pieces(spark)), lexicon), "model_a", "model_b")
 
 
 @query
 def score_article(spark, sf_dir):
-    scored = news.score_articles(src.raw_news(spark, sf_dir), LEXICON, BOOSTS, DAMPENERS)
+    scored = news.score_articles(src.raw_news(spark, sf_dir, pieces(spark)), LEXICON, BOOSTS, DAMPENERS)
+    return scored.select("doc_id", "sentiment_score", "sentiment_label", "confidence")
+
+
+@query
+def score_article_shipped(spark, sf_dir):
+    """With the lexicon and the phrases that the library comes with."""
+    scored = news.score_articles(src.raw_news(spark, sf_dir, pieces(spark)))
     return scored.select("doc_id", "sentiment_score", "sentiment_label", "confidence")
 
 
 @query
 def score_article_weighted(spark, sf_dir):
-    scored = news.score_articles(src.raw_news(spark, sf_dir), LEXICON, BOOSTS, DAMPENERS, weights=(0.6, 0.4))
+    scored = news.score_articles(src.raw_news(spark, sf_dir, pieces(spark)), LEXICON, BOOSTS, DAMPENERS, weights=(0.6, 0.4))
     return scored.select("doc_id", "sentiment_score", "sentiment_label", "confidence")
 
 
@@ -424,10 +469,10 @@ def top_movers(spark, sf_dir):
 @query
 def market_summary(spark, sf_dir):
     bars = stored(spark, src.bars(spark, sf_dir), "summed-bars")
+    latest = stored(spark, serving.latest_slice(bars), "latest-bars")
+    today = F.col("date") == latest.agg(F.max("date")).scalar()
     return serving.market_summary(
-        serving.latest_slice(bars),
-        indicators.market_signals(bars),
-        serving.latest_slice(windows.volume_spikes(bars)),
+        latest, indicators.market_signals(bars), windows.volume_spikes(bars).where(today)
     )
 
 
@@ -489,9 +534,9 @@ def analytics_layers(spark, sf_dir):
 
 
 def _stream_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, file by file, as a stream."""
+    """A given table, one file or a folder of them, as a stream."""
     schema = src.given(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet*")
 
 
 def _tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -531,6 +576,5 @@ def stream_news(spark, sf_dir):
 def stream_dedupe(spark, sf_dir):
     landed = landing.write_overwrite(articles_of(spark, sf_dir), scratch_dir(spark, "landed-articles"))
     stream = bronze.bronze_news(readers.news_stream(spark, landed))
-    dated = stream.where("pub_time IS NOT NULL")
-    out = jobs.run_dedupe(dated, scratch_dir(spark, "first-seen"), scratch_dir(spark, "first-seen-state"))
+    out = jobs.run_dedupe(stream, scratch_dir(spark, "first-seen"), scratch_dir(spark, "first-seen-state"))
     return readers.read_table(spark, out).select("headline")

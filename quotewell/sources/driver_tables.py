@@ -7,22 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewell.operators.gold import daily_ohlcv
+from quotewell.operators.gold import daily_ohlcv, numeric_order
 from quotewell.operators.windows import daily_change
 from quotewell.sources.readers import spread
 
 
-# Tables with much work per row, and the columns that tell their rows apart.
-_SPREAD_BY = {
-    "lineitem": ("l_orderkey", "l_linenumber"),
-    "documents": ("doc_id",),
-    "pages": ("page_id",),
-}
+# Columns that tell rows of the text tables apart.
+_KEYS = {"documents": "doc_id", "pages": "page_id"}
 
 
-def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def given(spark: SparkSession, sf_dir: str, name: str, pieces: int | None = None) -> DataFrame:
+    """A given table; ``pieces`` deals a text table out that comes as one uncuttable file."""
     table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(table, *_SPREAD_BY[name]) if name in _SPREAD_BY else table
+    return spread(table, pieces, _KEYS[name]) if pieces else table
 
 
 def _k() -> Column:
@@ -60,11 +57,10 @@ def raw_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers in credit with their market segment, as the sector dimension of the ticks."""
-    return (
-        given(spark, sf_dir, "customer")
-        .where("c_acctbal >= 0")
-        .select(F.col("c_custkey").cast("string").alias("symbol"), F.col("c_mktsegment").alias("sector"))
+    """Customers in credit with their market segment, as the sector dimension of the ticks; others have none."""
+    in_credit = F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment"))
+    return given(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("symbol"), in_credit.alias("sector")
     )
 
 
@@ -84,7 +80,8 @@ def trades(spark: SparkSession, sf_dir: str, symbol: str) -> DataFrame:
 
 def _daily(traded: DataFrame, by: Sequence[str] = ("symbol", "date")) -> DataFrame:
     # Trades of one day carry the same time; order and line number say which came first.
-    return daily_ohlcv(traded, by=by, ties=("l_orderkey", "l_linenumber", "l_partkey"))
+    order = numeric_order("trade_time", ("l_orderkey", 18), ("l_linenumber", 2))
+    return daily_ohlcv(traded, by=by, ties=order)
 
 
 def supplier_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,13 +123,13 @@ def _published() -> Column:
     return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-def raw_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_news(spark: SparkSession, sf_dir: str, pieces: int | None = None) -> DataFrame:
     """Documents as articles: first line as headline, the rest as summary.
 
     Short documents lack a headline or a date; Spanish ones name no symbol.
     """
     n = F.col("n_chars")
-    return given(spark, sf_dir, "documents").select(
+    return given(spark, sf_dir, "documents", pieces).select(
         "doc_id",
         F.when(~n.between(100, 199), F.concat(F.lit("<b>"), _headline(), F.lit("</b>"))).alias("headline"),
         F.concat(F.lit("<p>&ldquo;"), _body(), F.lit("&#8221;&nbsp;</p>")).alias("summary"),

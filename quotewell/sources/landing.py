@@ -68,12 +68,13 @@ def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, by: str =
     return table
 
 
-def create_news_staging(spark: SparkSession, table: str) -> None:
-    """The landing table for articles, if it is not there yet."""
+def create_news_staging(spark: SparkSession, table: str, location: str | None = None) -> None:
+    """The landing table for articles, if it is not there yet; at ``location`` or in the warehouse."""
+    at = f" LOCATION '{location}'" if location else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ("
         "headline STRING, summary STRING, source STRING, url STRING, symbols ARRAY<STRING>, published_at STRING"
-        ") USING parquet"
+        f") USING parquet{at}"
     )
 
 

@@ -43,12 +43,9 @@ def news_table_stream(spark: SparkSession, table: str) -> DataFrame:
     return spark.readStream.table(table)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a table that arrives in fewer pieces than there are cores.
+def spread(df: DataFrame, pieces: int | None, *keys: str) -> DataFrame:
+    """``df`` dealt out to so many pieces by ``keys``; as it is without a number.
 
-    A small file with one row group is otherwise worked on by a single core.
-    A table with enough pieces stays as it is; the count comes from the scan's
-    plan, without running it.  Choose keys that identify rows.
+    For a table whose files cannot be cut, such as one with a single row group.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+    return df.repartition(pieces, *keys) if pieces else df

@@ -53,9 +53,11 @@ def run_news(stream: DataFrame, out: str, checkpoint: str, **scoring) -> str:
 
 
 def first_seen(
-    stream: DataFrame, key: str = "headline", time: str = "pub_time", within: str = "1 day", lanes: int = 8
+    stream: DataFrame, key: str = "headline", time: str = "ingest_time", within: str = "1 day", lanes: int = 8
 ) -> DataFrame:
-    """Articles whose headline has not been seen in the last ``within``; state is bounded by it.
+    """Articles whose headline has not come in during the last ``within``; state is bounded by it.
+
+    The time is that of arrival, so undated articles and those published long ago are kept.
 
     Copies of one headline are first thinned out in ``lanes`` by input task, so
     that a headline with very many copies never goes to a single task whole.
@@ -68,5 +70,5 @@ def first_seen(
 
 
 def run_dedupe(stream: DataFrame, out: str, checkpoint: str, within: str = "1 day") -> str:
-    """Drop repeated headlines of an article stream with ``pub_time``."""
+    """Drop repeated headlines of an article stream with ``ingest_time``."""
     return run_to_parquet(first_seen(stream, within=within), out, checkpoint)

@@ -57,7 +57,7 @@ def main() -> None:
     from quotewell.session import local_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    wanted = sys.argv[2:] or list(entry.queries())
+    wanted = sys.argv[2:] or list(entry.oracle_sql())
     spark = local_session(8)
     spark.sparkContext.setLogLevel("ERROR")
     con = oracle(sf_dir)

@@ -76,7 +76,7 @@ def test_aggregates_fold_before_the_shuffle(spark):
     ticks = silver.valid(silver.enrich(bronze_of(spark, SF_DIR)))
     for df in (gold.daily_ohlcv(ticks), gold.candles(ticks), gold.sector_daily(ticks), gold.sector_extremes(ticks)):
         assert "partial_" in plan(df) and shuffles(df) == 1
-    for df in (gold.daily_ohlcv(ticks), gold.candles(ticks), gold.sector_daily(ticks)):
+    for df in (gold.daily_ohlcv(ticks), gold.candles(ticks), gold.sector_daily(ticks), src.bars(spark, SF_DIR)):
         assert "SortAggregate" not in plan(df)
 
 

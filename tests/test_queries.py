@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry
+from quotewell.plans.oracle import ORACLE_SQL
+from quotewell.plans.queries import QUERIES
 from tests.check import differences, oracle
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -14,7 +16,8 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE_SQL) <= set(entry.oracle_sql())
 
 
 def test_entry_has_rows_and_schema(spark):
@@ -23,6 +26,6 @@ def test_entry_has_rows_and_schema(spark):
     assert result.count() == 10
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    assert differences(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], SF_DIR) == ""
+    assert differences(spark, con, name, QUERIES[name], ORACLE_SQL[name], SF_DIR) == ""

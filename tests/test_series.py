@@ -4,11 +4,12 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quotewell.functions.signals import classify_signal
 from quotewell.operators import indicators, windows
-from quotewell.operators.ranking import rank_in_one_task, rank_in_steps, rank_within
+from quotewell.operators.ranking import rank_within
 
 
 def arrays(spark, **series):
@@ -201,24 +202,54 @@ def ranked(df):
     return sorted(map(str, df.collect()))
 
 
-def test_ranking_in_steps_equals_window(spark):
-    """Half the rows tie, values span many magnitudes, some are missing, one group is hot."""
+def plain_ranks(df):
+    """What a window over whole groups gives."""
+    group = Window.partitionBy("sector", "date")
+    return df.withColumns({"rank": F.rank().over(group.orderBy(F.desc_nulls_last("v"))).cast("bigint"), "size": F.count("*").over(group)})
+
+
+def test_ranking_equals_window(spark):
+    """Half the rows tie, values span many magnitudes or lie within 1 %, some are missing or special, one group is hot."""
     rng = random.Random(5)
+    special = [None, float("nan"), float("inf"), float("-inf"), 0.0, -0.0]
 
-    def value():
+    def value(close):
         kind = rng.random()
-        return 0.0 if kind < 0.3 else 10.0 if kind < 0.5 else None if kind < 0.55 else rng.gauss(0, 1) * 10 ** rng.randint(-6, 6)
+        if kind < 0.1:
+            return rng.choice(special)
+        if close:
+            return 100 + rng.random()
+        return 0.0 if kind < 0.3 else 10.0 if kind < 0.5 else rng.gauss(0, 1) * 10 ** rng.randint(-6, 6)
 
-    rows = [(str(i), rng.choice(["a", "a", "a", "b", None]), i % 2, value()) for i in range(4000)]
+    rows = [(str(i), rng.choice(["a", "a", "a", "b", None]), i % 2, value(i % 2)) for i in range(4000)]
     df = spark.createDataFrame(rows, "symbol string, sector string, date int, v double").repartition(7)
-    plain = rank_in_one_task(df, ("sector", "date"), "v")
-    assert ranked(rank_in_steps(df, ("sector", "date"), "v").select(*plain.columns)) == ranked(plain)
-    assert ranked(rank_within(df, ("sector", "date"), "v", rows_per_task=10).select(*plain.columns)) == ranked(plain)
+    plain = plain_ranks(df)
+    assert ranked(rank_within(df, ("sector", "date"), "v").select(*plain.columns)) == ranked(plain)
+
+
+def test_ranking_needs_no_job_to_be_planned(spark):
+    df = spark.createDataFrame([("a", 1.0)], "sector string, v double")
+    broken = df.withColumn("v", F.when(F.raise_error(F.lit("evaluated")).isNull(), 1.0))
+    rank_within(broken, ("sector",), "v")
 
 
 def test_percentile_of_ties(spark):
     rows = [("A", "S", 1, 3.0), ("B", "S", 1, 2.0), ("C", "S", 1, 2.0), ("D", "S", 1, 1.0)]
     df = spark.createDataFrame(rows, "symbol string, sector string, date int, avg_change_pct double")
-    for limit in (0, 100):
-        got = {r.symbol: (r.sector_rank, r.sector_size, r.percentile) for r in windows.sector_rankings(df, limit).collect()}
-        assert got == {"A": (1, 4, 100.0), "B": (2, 4, 75.0), "C": (2, 4, 75.0), "D": (4, 4, 25.0)}
+    got = {r.symbol: (r.sector_rank, r.sector_size, r.percentile) for r in windows.sector_rankings(df).collect()}
+    assert got == {"A": (1, 4, 100.0), "B": (2, 4, 75.0), "C": (2, 4, 75.0), "D": (4, 4, 25.0)}
+
+
+def test_bars_without_a_close_count_for_nothing(spark):
+    closes = [100.0 + (i * 7) % 11 for i in range(40)]
+    gaps = closes[:20] + [None] + closes[20:] + [None]
+    whole, holed = (
+        indicators.market_signals(bars.withColumn("sector", F.lit("S"))).drop("latest_date").collect()[0]
+        for bars in (arrays(spark, a=closes), arrays(spark, a=gaps))
+    )
+    assert whole == holed and whole.latest_close == closes[-1]
+
+
+def test_ema_needs_no_lists(spark):
+    plan = indicators.ema(arrays(spark, a=[1.0] * 5), 3)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan

@@ -173,3 +173,17 @@ def test_query_log_stats(spark):
     rows = [("q", s, c, 1, 100) for s, c in zip((1.74, 2.57, 2.41, 3.11, 8.23, 2.68), (1, 1, 1, 1, 4, 1))]
     row = serving.query_log_stats(spark.createDataFrame(rows, schemas.QUERY_LOG)).first()
     assert tuple(row) == (6, 9, 3.46, 1.5)
+
+
+def test_members_without_a_sector_have_a_board(spark):
+    bars = "symbol string, sector string, date int, day_close double, avg_change_pct double, total_volume long"
+    latest = spark.createDataFrame([("A", None, 1, 1.0, 2.0, 1), ("B", "S", 1, 1.0, 1.0, 1), ("C", None, 1, 1.0, 3.0, 1)], bars)
+    from quotewell.operators import windows
+
+    board = {r.symbol: (r.sector, r.stock_count, r.top_gainer, r["rank"]) for r in serving.sector_board(latest, windows.sector_rankings(latest)).collect()}
+    assert board == {"A": (None, 2, "C", 2), "B": ("S", 1, "B", 1), "C": (None, 2, "C", 1)}
+
+
+def test_a_missing_change_has_a_dash(spark):
+    df = spark.createDataFrame([("A", "S", None)], "symbol string, sector string, avg_change_pct double")
+    assert serving.performance_board(df).first()["label"] == "—"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quotewell import schemas
 from quotewell.operators import bronze, gold, silver
 from quotewell.plans.parameters import BOOSTS, DAMPENERS, LEXICON
-from quotewell.plans.queries import scored_news, silver_of
+from quotewell.plans.queries import QUERIES, scored_news, silver_of
 from quotewell.session import scratch_dir
 from quotewell.sources import driver_tables as src
 from quotewell.sources import landing, readers
@@ -90,7 +90,7 @@ def test_stream_dedupe(spark, paths, lanes):
     """A headline with most of the rows, spread over many files, comes out once."""
     rows = spark.range(3000).select(
         F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("h"), F.col("id").cast("string"))).alias("headline"),
-        F.timestamp_seconds(1_700_000_000 + F.col("id")).alias("pub_time"),
+        F.timestamp_seconds(1_700_000_000 + F.col("id")).alias("ingest_time"),
     )
     rows.repartition(6).write.parquet(paths("in"))
     stream = spark.readStream.schema(rows.schema).parquet(paths("in"))
@@ -99,6 +99,27 @@ def test_stream_dedupe(spark, paths, lanes):
     assert len(headlines) == len(set(headlines)) == 1001
 
 
+def test_dedupe_keeps_undated_and_late_articles(spark, paths):
+    schema = "headline string, published_at string"
+
+    def batch(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(paths("in"))
+        stream = bronze.bronze_news(spark.readStream.schema(schema).parquet(paths("in")))
+        jobs.run_dedupe(stream, paths("out"), paths("state"))
+        return sorted(r[0] for r in spark.read.parquet(paths("out")).select("headline").collect())
+
+    assert batch(("a", "2024-03-10T00:00:00Z"), ("b", "")) == ["a", "b"]
+    assert batch(("a", "2024-03-11T00:00:00Z"), ("late", "2024-03-01T00:00:00Z")) == ["a", "b", "late"]
+
+
+def test_stream_of_one_file_or_a_folder(spark, paths):
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    events.repartition(3).write.parquet(paths("tables/events.parquet"))
+    spark.read.parquet(f"{SF_DIR}/customer.parquet").write.parquet(paths("tables/customer.parquet"))
+    both = [sorted(map(str, QUERIES["stream_quality"](spark, d).collect())) for d in (SF_DIR, paths("tables"))]
+    assert both[0] == both[1] and both[0]
+
+
 def test_partitioned_and_clustered_layout(spark, paths):
     bars = src.bars(spark, SF_DIR).where("date < '1995-03-01'")
     landing.write_partitioned(bars, paths("by-date"))
