@@ -19,48 +19,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotewell.llm.common import in_slices, stored
+from quotewell.llm.shingles import MULTIPLIERS, WordHashes, mixed, shingle_hashes
 
 WORD = re.compile(r"[^\W_]+")
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 12
 #: Bits of the map of shingles; its size does not depend on the number of items.
 MAP_BITS = 24
 WINDOW = "doc_id long, doc_hash long, words int, start int, begin int, finish int, fingerprint long, shingles array<long>"
-MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
-
-
-def mixed(h: np.ndarray) -> np.ndarray:
-    h = h ^ (h >> np.uint64(32))
-    h = h * np.uint64(0xD6E8FEB86659FD93)
-    return h ^ (h >> np.uint64(29))
-
-
-class WordHashes(dict):
-    """Hashes of words, each computed once, in a cache of bounded size."""
-
-    def __missing__(self, word: str) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def of(self, words: list[str]) -> np.ndarray:
-        if len(self) > 400_000:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
-def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of all runs of ``size`` words, or of all words where there are fewer."""
-    size = min(size, len(words))
-    if not size:
-        return np.zeros(0, np.uint64)
-    total = np.zeros(len(words) - size + 1, np.uint64)
-    for k in range(size):
-        total += words[k : len(words) - size + 1 + k] * MULTIPLIERS[k]
-    return mixed(total + np.uint64(size))
 
 
 def for_size(hashes: np.ndarray, words: int) -> np.ndarray:

@@ -25,7 +25,6 @@ word's count and score, go back to their block, and are added up there.
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,9 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotewell.llm.common import in_slices, stored
+from quotewell.llm.shingles import blank_words
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: Tokens and documents in a block; a posting packs the document's place in it and up to 4095 occurrences.
 BLOCK_TOKENS, BLOCK_DOCS = 4_000_000, 1 << 20
 SPACE, MAX_PIECE = "▁", 16
@@ -51,10 +49,6 @@ CONCENTRATION = 4000.0
 BLOCK_ROW = "block long, word string, postings binary, trained array<long>, doc_id long, held_out boolean, class int, n_tokens long"
 
 
-def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower() if text.isascii() else text.translate(LOWER))
-
-
 def posting_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, held_out, class, text) to rows of words with postings, and of documents, for each block."""
     from pyspark import TaskContext
@@ -63,7 +57,7 @@ def posting_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     block = Block(number)
     for batch in in_slices(batches):
         for doc_id, held_out, kind, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            block.add(doc_id, held_out, kind, words_of(text))
+            block.add(doc_id, held_out, kind, blank_words(text))
             if block.tokens >= BLOCK_TOKENS or len(block.docs) >= BLOCK_DOCS:
                 yield from block.rows()
                 number += 1

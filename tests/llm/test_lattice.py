@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 
 from quotewell.llm import lattice
+from quotewell.llm.shingles import blank_words
 from tests.llm.samples import docs_of, odd_texts, prose
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -43,12 +44,12 @@ def test_spellings_add_up_to_at_most_one():
 
 
 def base_of(rows):
-    trained = [(i, lattice.words_of(t or "")) for i, t in rows if i is None or i % 5 != 1]
+    trained = [(i, blank_words(t or "")) for i, t in rows if i is None or i % 5 != 1]
     counts = Counter(w for _, ws in trained for w in ws)
     ends = len(trained)
     tokens, distinct = sum(counts.values()) + ends, len(counts) + (ends > 0)
     log = lambda c: math.log10((c + 0.5) / (tokens + 0.5 * (distinct + 1)))
-    return {(i, t or ""): (sum(log(counts[w]) for w in lattice.words_of(t or "")) + log(ends), sum(counts[w] > 0 for w in lattice.words_of(t or "")) + 1, tokens) for i, t in rows}
+    return {(i, t or ""): (sum(log(counts[w]) for w in blank_words(t or "")) + log(ends), sum(counts[w] > 0 for w in blank_words(t or "")) + 1, tokens) for i, t in rows}
 
 
 def test_counts_and_base_by_brute_force(spark):
