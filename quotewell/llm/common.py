@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,3 +36,13 @@ def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def bit_map(places: DataFrame, bits: int) -> bytes:
+    """A map of 2 ** ``bits`` bits, little-endian, with those set that the rows (p) name; its size is fixed."""
+    word = F.floor(F.col("p") / 64).cast("int")
+    mask = F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))"))
+    out = np.zeros(1 << (bits - 6), np.int64)
+    for r in places.groupBy(word.alias("word")).agg(mask.alias("mask")).collect():  # at most as many as the map has words
+        out[r["word"]] = r["mask"]
+    return out.tobytes()

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotewell.llm.common import in_slices, stored
+from quotewell.llm.common import bit_map, in_slices, stored
 from quotewell.llm.shingles import MULTIPLIERS, WordHashes, mixed, shingle_hashes
 
 WORD = re.compile(r"[^\W_]+")
@@ -163,19 +163,10 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         ),
         "items",
     )
-    word = F.floor(F.col("p") / 64).cast("int")
-    marked = (
-        found_items.select(F.explode("places").alias("p"))
-        .groupBy(word.alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("mask"))
-        .collect()  # at most a fixed number of words
-    )
-    bits = np.zeros(1 << (MAP_BITS - 6), np.int64)
-    for r in marked:
-        bits[r["word"]] = r["mask"]
+    bits = bit_map(found_items.select(F.explode("places").alias("p")), MAP_BITS)
     sizes = tuple(sorted(r["words"] for r in found_items.select("words").distinct().collect()))  # at most the longest item's words
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    packed = spark.sparkContext.broadcast(Windows(bits.tobytes(), sizes))
+    packed = spark.sparkContext.broadcast(Windows(bits, sizes))
     windows = stored(
         rows.select("doc_id", F.xxhash64("text").alias("doc_hash"), "text").mapInArrow(lambda b: packed.value(b), WINDOW), "windows"
     ).withColumn("uid", F.struct("doc_id", "doc_hash", "words", "start"))

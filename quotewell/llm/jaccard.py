@@ -6,9 +6,9 @@ long as the set may have shingles outside the other plus l, share at least l
 shingles.  So all but l - 1 of a prefix's shingles suffice as keys, and the most
 frequent ones can be left out.
 
-Everyone starts with l = 1.  A document whose keys would meet more than ``COST``
-others is not probed; its prefix is lengthened and more of it left out, at the
-cost of more shared shingles asked for, down to the whole set ordered by
+Everyone starts with a small l.  A document whose keys would meet more than
+``COST`` others is not probed; its prefix is lengthened and more of it left out,
+at the cost of more shared shingles asked for, up to the whole set ordered by
 frequency.  A cheap document is probed against all documents of its level, so
 each pair is found at the level of the cheaper one, and no key that is probed
 has more than ``COST`` + 1 documents.
@@ -31,14 +31,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quotewell.llm.common import in_slices, stored, texts
+from quotewell.llm.common import bit_map, in_slices, stored, texts
 from quotewell.llm.graph import components
 from quotewell.llm.shingles import WordHashes, blank_words, shingle_hashes
 
 #: Candidates a document may have at a level before its prefix is lengthened.
-COST = 8
+COST = 64
 #: Shingles to be shared at each level, as parts of the set; 1.0 stands for the whole set.
-LEVELS = (0.2, 1.0)
+START, LEVELS = 0.04, (1.0,)
+#: Bits of the map that tells which texts' whole sets are wanted; its size is fixed.
+MAP_BITS = 24
 SKETCH_BITS = 1024
 #: Rounds in which large families are joined before pairs are compared.
 STAR_ROUNDS = 2
@@ -66,6 +68,23 @@ class Rule:
         smallest = -(-self.percent * n // 100)  # a linked set has at least so many shingles
         return self.prefix(n, part) - (self.prefix(smallest, part) - self.outside(smallest)) + 1
 
+    def prefix_of(self, n: Column, part: float) -> Column:
+        """``prefix`` of a column."""
+        if part >= 1:
+            return n
+        return F.least(n, n - self.least_of(n) + F.greatest(F.lit(1), F.ceil(F.lit(part) * n)))
+
+    def keys_of(self, n: Column, part: float) -> Column:
+        """``keys`` of a column."""
+        if part >= 1:
+            return n - self.least_of(n) + 1
+        smallest = self.least_of(n)
+        return self.prefix_of(n, part) - (self.prefix_of(smallest, part) - smallest + self.least_of(smallest)) + 1
+
+    def least_of(self, n: Column) -> Column:
+        """How many shingles a set that links has at least."""
+        return F.floor((self.percent * n + 99) / 100)
+
     def distinct(self, words: list[str], known: WordHashes) -> np.ndarray:
         return np.unique(shingle_hashes(known.of(words), self.size))
 
@@ -75,7 +94,7 @@ class Rule:
 
 @dataclass(frozen=True)
 class Prefixes:
-    """(doc_id, doc_hash, text) to (doc_id, doc_hash, n, sid, prefix for l = 1)."""
+    """(doc_id, doc_hash, text) to (doc_id, doc_hash, n, sid, prefix at the start)."""
 
     rule: Rule
 
@@ -87,7 +106,7 @@ class Prefixes:
                 s = self.rule.distinct(blank_words(text), known)
                 sizes.append(len(s))
                 ids.append(set_id(s) if len(s) else None)
-                prefixes.append(s[: self.rule.outside(len(s)) + 1].view(np.int64))
+                prefixes.append(s[: self.rule.prefix(len(s), START)].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
                 names=["doc_id", "doc_hash", "n", "sid", "prefix"],
@@ -100,18 +119,23 @@ def set_id(s: np.ndarray) -> int:
 
 @dataclass(frozen=True)
 class Sets:
-    """(sid, text) to (sid, n, sketch, shingles): whole sets, packed, with a bit map of their hashes."""
+    """(doc_id, doc_hash, text) to (doc_id, doc_hash, n, sketch, shingles) for hashes in the map: whole sets, packed."""
 
     rule: Rule
+    wanted: bytes
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
-        for batch in in_slices(batches):
-            sets = [self.rule.distinct(blank_words(text), known) for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array(map(sketch, sets), pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                names=["sid", "n", "sketch", "shingles"],
-            )
+        present = np.unpackbits(np.frombuffer(self.wanted, np.uint8), bitorder="little").astype(bool)
+        for batch in batches:
+            hit = present[batch.column(1).to_numpy() & ((1 << MAP_BITS) - 1)]
+            for part in in_slices(iter([batch.filter(pa.array(hit))])):
+                sets = [self.rule.distinct(blank_words(text), known) for text in part.column(2).to_pylist()]
+                packed = [pa.array(map(sketch, sets), pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(map(len, sets), pa.int64()), *packed],
+                    names=["doc_id", "doc_hash", "n", "sketch", "shingles"],
+                )
 
 
 def sketch(s: np.ndarray) -> bytes:
@@ -122,20 +146,17 @@ def sketch(s: np.ndarray) -> bytes:
 
 @dataclass(frozen=True)
 class Lengthened:
-    """(sid, n, shingles) to (sid, n, p, k, prefix): p shingles at this level, k of which are keys."""
+    """(sid, n, shingles) to (sid, n, prefix) of the length at this level."""
 
     rule: Rule
     part: float
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
-            sizes = batch.column(1).to_pylist()
-            p = [self.rule.prefix(n, self.part) for n in sizes]
-            k = [self.rule.keys(n, self.part) for n in sizes]
-            prefixes = [np.frombuffer(s, np.int64)[:m] for s, m in zip(batch.column(2).to_pylist(), p)]
+            lengths = [self.rule.prefix(n, self.part) for n in batch.column(1).to_pylist()]
+            prefixes = [np.frombuffer(s, np.int64)[:m] for s, m in zip(batch.column(2).to_pylist(), lengths)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(p, pa.int64()), pa.array(k, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["sid", "n", "p", "k", "prefix"],
+                [batch.column(0), batch.column(1), pa.array(prefixes, pa.list_(pa.int64()))], names=["sid", "n", "prefix"]
             )
 
 
@@ -170,23 +191,25 @@ class Linked:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def keys_of(prefixes: DataFrame) -> DataFrame:
-    """(sid, n, m, token, df) of the keys that more than one set has, for (sid, n, p, k, prefix): the k rarest of the p shingles.
+def keys_of(prefixes: DataFrame, rule: Rule, part: float) -> DataFrame:
+    """(sid, n, m, token, df, cost) of the keys that more than one set has, for (sid, n, prefix): the rarest of the prefix.
 
-    m is how many of the set's n shingles another set may have at all.
+    m is how many of the set's n shingles another set may have at all, cost how
+    many other sets its keys meet.
     """
-    tokens = prefixes.select("sid", "n", "p", "k", F.explode("prefix").alias("token"))
+    tokens = prefixes.select("sid", "n", F.explode("prefix").alias("token"))
     common = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     # shingles that no other set has come first in the order, and meet nobody
     mine = Window.partitionBy("sid")
+    alone = rule.prefix_of(F.col("n"), part) - F.col("shared")
     ranked = (
         tokens.join(common.hint("merge"), "token")
         .withColumn("rank", F.row_number().over(mine.orderBy("df", "token")))
         .withColumn("shared", F.count("*").over(mine))
+        .withColumn("key", F.col("rank") <= rule.keys_of(F.col("n"), part) - alone)
+        .withColumn("cost", F.sum(F.when(F.col("key"), F.col("df") - 1)).over(mine))
     )
-    return ranked.where(F.col("rank") <= F.col("k") - F.col("p") + F.col("shared")).select(
-        "sid", "n", (F.col("n") - F.col("p") + F.col("shared")).alias("m"), "token", "df"
-    )
+    return ranked.where("key").select("sid", "n", (F.col("n") - alone).alias("m"), "token", "df", "cost")
 
 
 def may_link(rule: Rule) -> Column:
@@ -207,11 +230,9 @@ def set_of(name: str, *more: str) -> Column:
 
 def probed(keys: DataFrame, rule: Rule, cost: int) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) of the cheap sets with all of the level, and the sids of the dear ones."""
-    costs = keys.groupBy("sid").agg(F.sum(F.col("df") - 1).alias("cost"))
     few = keys.where(F.col("df") <= cost + 1)
-    cheap = few.join(costs.where(F.col("cost") <= cost).select("sid"), "sid", "left_semi")
-    met = cheap.select("token", set_of("a")).join(few.select("token", set_of("b")), "token")
-    return as_pairs(met, rule).distinct(), costs.where(F.col("cost") > cost).select("sid")
+    met = few.where(F.col("cost") <= cost).select("token", set_of("a")).join(few.select("token", set_of("b")), "token")
+    return as_pairs(met, rule).distinct(), keys.where(F.col("cost") > cost).select("sid").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -294,28 +315,34 @@ def similarity_components(docs: DataFrame, size: int = 4, percent: int = 85, cos
     )
     some = base.where("sid IS NOT NULL")
     first = some.select("sid", "n", "prefix").dropDuplicates(["sid"])
-    length = F.size("prefix").cast("long")
-    keys = stored(keys_of(first.select("sid", "n", length.alias("p"), length.alias("k"), "prefix")), "keys")
+    keys = stored(keys_of(first, rule, START), "keys")
     pairs, dear = probed(keys, rule, cost)
     pairs, dear = stored(pairs, "pairs"), stored(dear, "dear")
 
     named = some.groupBy("sid").agg(F.min(F.struct("doc_id", "doc_hash")).alias("doc"))
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).unionAll(dear).distinct()
-    wanted = named.join(wanted, "sid").select("sid", F.col("doc.doc_id").alias("id"), F.col("doc.doc_hash").alias("hash"))
-    same = rows["doc_id"].eqNullSafe(wanted["id"]) & (rows["doc_hash"] == wanted["hash"])
-    once = rows.join(wanted.hint("merge"), same).dropDuplicates(["doc_id", "doc_hash", "sid"])
-    sets = stored(once.select("sid", "text").mapInArrow(Sets(rule), "sid long, n long, sketch binary, shingles binary"), "sets")
-
-    for part in LEVELS:
-        if dear.isEmpty():
-            break
-        longer = sets.join(dear, "sid", "left_semi").select("sid", "n", "shingles")
-        longer = longer.mapInArrow(Lengthened(rule, part), "sid long, n long, p long, k long, prefix array<long>")
-        keys = stored(keys_of(longer), "keys")
+    met = pairs.select(F.explode(F.array("a", "b")).alias("sid"), F.lit(False).alias("dear"))
+    wanted = met.unionAll(dear.select("sid", F.lit(True).alias("dear"))).groupBy("sid").agg(F.max("dear").alias("dear"))
+    wanted = named.join(wanted, "sid").select("sid", "dear", F.col("doc.doc_id").alias("id"), F.col("doc.doc_hash").alias("hash"))
+    wanted = stored(wanted, "wanted")
+    place = F.col("hash").bitwiseAND(F.lit((1 << MAP_BITS) - 1)).alias("p")
+    shared = docs.sparkSession.sparkContext.broadcast(Sets(rule, bit_map(wanted.select(place), MAP_BITS)))
+    whole = rows.select("doc_id", "doc_hash", "text").mapInArrow(
+        lambda batches: shared.value(batches), "doc_id long, doc_hash long, n long, sketch binary, shingles binary"
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("doc_hash") == F.col("hash"))
+    once = whole.join(wanted.hint("merge"), same).dropDuplicates(["doc_id", "doc_hash", "sid"])
+    sets = stored(once.select("sid", "n", "sketch", "shingles", "dear"), "sets")
+
+    some_dear = not dear.isEmpty()
+    longer = sets.where("dear")
+    for part in LEVELS if some_dear else ():
+        prefixes = longer.select("sid", "n", "shingles").mapInArrow(Lengthened(rule, part), "sid long, n long, prefix array<long>")
+        keys = stored(keys_of(prefixes, rule, part), "keys")
         more, dear = probed(keys, rule, cost)
         pairs, dear = pairs.unionAll(stored(more, "pairs")), stored(dear, "dear")
+        longer = sets.join(dear, "sid", "left_semi")
     edges = stored(verified(pairs.distinct(), sets, rule), "links")
-    if not dear.isEmpty():
+    if some_dear:
         edges = families(stored(keys.join(dear, "sid", "left_semi").select("token", *SET), "family"), sets, edges, rule)
 
     of = components(edges).withColumnRenamed("node", "sid")

@@ -54,8 +54,9 @@ class Raw:
 
 
 def matrix(raws: list[bytes], kind: str) -> np.ndarray:
+    """Rows scaled by powers of two, which changes no rounding, so that squares stay in range."""
     x = np.frombuffer(b"".join(raws), kind).astype(np.float64).reshape(len(raws), -1)
-    return x / np.abs(x).max(axis=1, keepdims=True)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
 
 
 def unit(x: np.ndarray) -> np.ndarray:

@@ -70,12 +70,13 @@ def test_keys_of_linked_sets_always_meet():
         if not rule.linked(len(a & b), len(a), len(b)):
             continue
         frequency = {x: rng.choice([2, 2, 3, 50]) if x in a & b else 1 for x in a | b}
-        for part in (0.0, *jaccard.LEVELS):
+        for part in (0.0, jaccard.START, 0.2, *jaccard.LEVELS):
             keys = []
             for s in (a, b):
                 prefix = sorted(s)[: rule.prefix(len(s), part)]
                 keys.append(set(sorted(prefix, key=lambda x: (frequency[x], x))[: rule.keys(len(s), part)]))
             assert keys[0] & keys[1], (trial, part)
+    assert jaccard.START > 0
     assert len(rule.distinct(["a", "b"], WordHashes())) == 1 and len(rule.distinct([], WordHashes())) == 0
     assert np.array_equal(rule.distinct(["a"] * 9, WordHashes()), rule.distinct(["a"] * 4, WordHashes()))
 
@@ -96,3 +97,13 @@ def test_components(spark):
 
 def test_empty_table(spark):
     assert jaccard.similarity_components(docs_of(spark, [])).count() == 0
+
+
+def test_columns_say_the_same_as_numbers(spark):
+    from pyspark.sql import functions as F
+
+    rule = jaccard.Rule(4, 85)
+    for part in (0.0, jaccard.START, 0.2, 1.0):
+        n = F.col("id")
+        for r in spark.range(1, 300).select("id", rule.prefix_of(n, part).alias("p"), rule.keys_of(n, part).alias("k")).collect():
+            assert (r["p"], r["k"]) == (rule.prefix(r["id"], part), rule.keys(r["id"], part))

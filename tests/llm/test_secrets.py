@@ -11,7 +11,7 @@ from tests.llm.samples import docs_of, odd_texts
 def brute(text):
     found = [
         (m.start(), 0, f"assign:{m.start()}:{m.end()}")
-        for m in re.finditer(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text)
+        for m in re.finditer(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text)
         if len(m[2]) >= 6
     ]
     found += [(m.start(), 1, f"access:{m.start()}:{m.end()}") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]

@@ -18,7 +18,7 @@ def test_like_brute_force(spark, kind):
     rows += [(1000 + k, rows[0][1]) for k in range(40)]  # a large group of copies
     rows += [(2000, None), (2001, [0.0] * 8), (2002, [float("nan")] * 8), (2003, [float("inf")] + [1.0] * 7), (2004, [None] + [1.0] * 7)]
     rows += [(2005, []), (2006, [1.0, 0.0]), (2007, [1.0, 0.001]), (2008, [-1.0, 0.0]), (3, rows[3][1]), (None, rows[0][1])]
-    rows += [(2009, [0.9, 0.0, 0.19**0.5]), (2010, [1.0, 0.0, 0.0]), (2011, [5e37, 0.0, 0.0])]
+    rows += [(2009, [9.0, 4.0, 1.0, 1.0, 1.0]), (2010, [1.0, 0.0, 0.0, 0.0, 0.0]), (2011, [5e37, 0.0, 0.0, 0.0, 0.0])]  # 0.9 exactly
     df = spark.createDataFrame([(i, v, 1, 2, 0.5) for i, v in rows], f"vec_id long, embedding array<{kind}>, n int, dim int, lead double")
     out = vectors.near_duplicates(df, chunk=64, ranges=4).collect()
     assert len(out) == len(rows)
@@ -29,7 +29,7 @@ def test_like_brute_force(spark, kind):
         for b in range(a):
             if good[a] and good[b] and len(rows[a][1]) == len(rows[b][1]):
                 x, y = (np.array(rows[k][1], cast).astype(float) for k in (a, b))
-                if x @ y >= 0.9 * np.linalg.norm(x) * np.linalg.norm(y) * (1 - 1e-15):
+                if x @ y / (np.linalg.norm(x) * np.linalg.norm(y)) >= 0.9:
                     links.append((a, b))
     i, j = np.array(links).T
     count = np.bincount(np.concatenate([i, j]), minlength=len(rows))
