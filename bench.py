@@ -27,6 +27,7 @@ HEADLINE = (
     "clean_text",
     "polarity",
     "score_article",
+    "score_article_shipped",
     "news_silver",
     "symbol_sentiment",
     "market_mood",

@@ -2,15 +2,18 @@
 
 Each function advances one family of tables below a root folder and returns
 the tables by name.  Streams continue from their own progress,
-so a call handles what has arrived since the one before; the aggregates are then
-recomputed over the whole of their source table.
+so a call handles what has arrived since the one before.  Aggregates by date are
+recomputed for the dates that new rows belong to, and only those partitions are
+replaced; sentiment has no dates and is recomputed over its whole table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quotewell.fixed_values import SYMBOL_SECTORS
 from quotewell.operators import bronze, gold, indicators, news, silver, windows
@@ -23,6 +26,16 @@ def _stream_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(readers.read_table(spark, path).schema).parquet(path)
 
 
+def _dates_touched(good: DataFrame, state: str) -> DataFrame:
+    """The dates of rows that came in after the time kept at ``state``; all dates in a first run."""
+    try:
+        since = good.sparkSession.read.schema("ingest_time timestamp").parquet(state).first()
+    except AnalysisException:  # no run has ended yet
+        since = None
+    new = good.where(F.col("ingest_time") > since[0]) if since and since[0] else good
+    return new.select(F.to_date("trade_time").alias("date")).distinct()
+
+
 def price_layers(
     spark: SparkSession,
     landed: str,
@@ -44,8 +57,14 @@ def price_layers(
 
     split = readers.read_table(spark, checked)
     good = split.where("quality = 'silver'").drop("quality", "quarantine_reason")
-    daily = landing.write_partitioned(gold.daily_ohlcv(good), f"{root}/stock_daily_summary")
-    by_sector = landing.write_overwrite(gold.sector_daily(good), f"{root}/sector_performance")
+    progress = state("gold")
+    dated = good.withColumn("date", F.to_date("trade_time"))
+    touched = dated.join(_dates_touched(good, progress), "date", "left_semi")
+    daily = landing.write_partitioned(gold.daily_ohlcv(touched), f"{root}/stock_daily_summary", whole=False)
+    by_sector = landing.write_partitioned(
+        gold.sector_daily(touched), f"{root}/sector_performance", cluster="sector", whole=False
+    )
+    landing.write_overwrite(good.agg(F.max("ingest_time").alias("ingest_time")), progress)
     return {
         "stock_prices_bronze": readers.read_table(spark, ticks),
         "stock_prices_silver": good,

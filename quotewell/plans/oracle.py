@@ -124,7 +124,8 @@ ORACLE_SQL["stream_candles"] = _sql(
     ENRICHED,
     CANDLES,
 )
-ORACLE_SQL["sector_daily"] = _sql(
+ORACLE_SQL["price_layers_daily"] = _sql(DAILY, RAW, ENRICHED)
+ORACLE_SQL["price_layers_sectors"] = ORACLE_SQL["sector_daily"] = _sql(
     """SELECT sector, CAST(trade_time AS DATE) AS date, round(avg(price_change_pct), 12) AS avg_change_pct,
     CAST(sum(volume) AS BIGINT) AS total_volume, count(*) AS stock_count FROM silver GROUP BY ALL""",
     RAW,

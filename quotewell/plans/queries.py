@@ -512,6 +512,18 @@ def price_layers(spark, sf_dir):
     return landing.table_profile(_price_tables(spark, sf_dir))
 
 
+@query
+def price_layers_daily(spark, sf_dir):
+    """The daily bars that the price layers store."""
+    return rounded(_price_tables(spark, sf_dir)["stock_daily_summary"], "avg_change_pct")
+
+
+@query
+def price_layers_sectors(spark, sf_dir):
+    """The sector measures that the price layers store."""
+    return rounded(_price_tables(spark, sf_dir)["sector_performance"], "avg_change_pct")
+
+
 @query
 def news_layers(spark, sf_dir):
     """Rows per table after running all news layers on landed articles."""

@@ -1,5 +1,7 @@
 """Layer jobs: repeated runs pick up what is new; tables equal the batch operators."""
 
+import glob
+
 from pyspark.sql import functions as F
 
 from quotewell.operators import bronze, gold, indicators, silver, windows
@@ -43,6 +45,30 @@ def test_price_layers_continue_with_new_files(spark, tmp_path):
     assert candles.count() == candles.select("symbol", "candle_start").distinct().count()
 
 
+def test_a_late_tick_renews_its_date_alone(spark, tmp_path):
+    landed, root = str(tmp_path / "landed"), str(tmp_path / "tables")
+    raw = src.raw_ticks(spark, SF_DIR).where("timestamp < '2024-01-20'")
+    late = raw.where("symbol IS NOT NULL AND price > 0 AND volume >= 0 AND prev_close > 0").orderBy("timestamp").limit(1)
+    late = late.withColumn("price", F.lit(1e9)).withColumn("high", F.lit(1e9))
+    landing.write_ndjson(raw, landed)
+    layers.price_layers(spark, landed, root, src.sectors(spark, SF_DIR), None)
+
+    def files():
+        by_date = {}
+        for f in glob.glob(f"{root}/stock_daily_summary/date=*/*.parquet"):
+            by_date.setdefault(f.split("date=")[1][:10], set()).add(f)
+        return by_date
+
+    before = files()
+    landing.write_ndjson(late, landed)
+    tables = layers.price_layers(spark, landed, root, src.sectors(spark, SF_DIR), None)
+    after = files()
+    assert [d for d in after if after[d] != before.get(d)] == [late.first()["timestamp"][:10]]
+    good = tables["stock_prices_silver"]
+    assert same(rounded(tables["stock_daily_summary"]), rounded(gold.daily_ohlcv(good)))
+    assert same(rounded(tables["sector_performance"]), rounded(gold.sector_daily(good)))
+
+
 def test_analytics_layers_equal_operators(spark, tmp_path):
     bars = gold.daily_ohlcv(silver_of(spark, SF_DIR))
     landing.write_overwrite(bars, str(tmp_path / "bars"))
