@@ -38,7 +38,7 @@ from quotewell.llm.common import in_slices, stored
 from quotewell.llm.shingles import blank_words
 
 #: Tokens and documents in a block; a posting packs the document's place in it and up to 4095 occurrences.
-BLOCK_TOKENS, BLOCK_DOCS = 4_000_000, 1 << 20
+BLOCK_TOKENS, BLOCK_DOCS = 8_000_000, 1 << 20
 SPACE, MAX_PIECE = "▁", 16
 #: Most classes of training documents; the rarer ones share the last.
 CLASSES = 8
@@ -49,36 +49,42 @@ CONCENTRATION = 4000.0
 BLOCK_ROW = "block long, word string, postings binary, trained array<long>, doc_id long, held_out boolean, class int, n_tokens long"
 
 
-def posting_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+@dataclass(frozen=True)
+class Postings:
     """(doc_id, held_out, class, text) to rows of words with postings, and of documents, for each block."""
-    from pyspark import TaskContext
 
-    number = TaskContext.get().partitionId() << 32
-    block = Block(number)
-    for batch in in_slices(batches):
-        for doc_id, held_out, kind, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            block.add(doc_id, held_out, kind, blank_words(text))
-            if block.tokens >= BLOCK_TOKENS or len(block.docs) >= BLOCK_DOCS:
-                yield from block.rows()
-                number += 1
-                block = Block(number)
-    if block.docs:
-        yield from block.rows()
+    classes: int
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId() << 32
+        block = Block(number, self.classes)
+        for batch in in_slices(batches):
+            for doc_id, held_out, kind, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                block.add(doc_id, held_out, kind, blank_words(text))
+                if block.tokens >= BLOCK_TOKENS or len(block.docs) >= BLOCK_DOCS:
+                    yield from block.rows()
+                    number += 1
+                    block = Block(number, self.classes)
+        if block.docs:
+            yield from block.rows()
 
 
 class Block:
-    def __init__(self, number: int) -> None:
-        self.number, self.tokens = number, 0
+    def __init__(self, number: int, classes: int) -> None:
+        self.number, self.classes, self.tokens = number, classes, 0
         self.ids: dict[str, int] = {}
         self.docs: list[tuple[int | None, bool, int, int]] = []
         self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
 
     def add(self, doc_id: int | None, held_out: bool, kind: int, words: list[str]) -> None:
         ids, place = self.ids, len(self.docs)
-        found = np.fromiter([ids.setdefault(w, len(ids)) for w in words], np.int64, len(words))
+        counts = Counter(words)
+        word = np.fromiter([ids.setdefault(w, len(ids)) for w in counts], np.int64, len(counts))
+        count = np.fromiter(counts.values(), np.int64, len(counts))
         self.docs.append((doc_id, held_out, kind, len(words) + 1))
         self.tokens += len(words) + 1
-        word, count = np.unique(found, return_counts=True)
         while len(word):
             self.pairs.append((word.astype(np.uint32), (place << 12 | np.minimum(count, 4095)).astype(np.uint32)))
             more = count > 4095
@@ -87,19 +93,19 @@ class Block:
     def rows(self) -> Iterator[pa.RecordBatch]:
         n = len(self.ids)
         if n:
-            word = np.concatenate([w for w, _ in self.pairs])
+            word = np.concatenate([w for w, _ in self.pairs]).astype(np.int64)
             posting = np.concatenate([p for _, p in self.pairs])
             order = np.argsort(word, kind="stable")
             word, posting = word[order], posting[order]
             ends = np.searchsorted(word, np.arange(n + 1))
-            kinds = np.array([CLASSES if held else kind for _, held, kind, _ in self.docs])[posting >> 12]
-            trained = np.zeros((n, CLASSES + 1), np.int64)
-            np.add.at(trained, (word, kinds), posting & 4095)
+            kinds = np.array([self.classes if held else kind for _, held, kind, _ in self.docs])[posting >> 12]
+            cells = n * (self.classes + 1)
+            trained = np.bincount(word * (self.classes + 1) + kinds, posting & 4095, cells).astype(np.int64).reshape(n, -1)
             packed, names = posting.astype("<u4").tobytes(), list(self.ids)
             for at in range(0, n, 20_000):
                 to = min(n, at + 20_000)
                 yield self.batch(
-                    names[at:to], [packed[4 * ends[k] : 4 * ends[k + 1]] for k in range(at, to)], trained[at:to, :CLASSES].tolist(), *[[None] * (to - at)] * 4
+                    names[at:to], [packed[4 * ends[k] : 4 * ends[k + 1]] for k in range(at, to)], trained[at:to, :-1].tolist(), *[[None] * (to - at)] * 4
                 )
         for at in range(0, len(self.docs), 20_000):
             part = self.docs[at : at + 20_000]
@@ -206,7 +212,7 @@ class Share:
 
 @dataclass(frozen=True)
 class WordScores:
-    """(word, counts by class) to (word, c, base, scores): log10 of the base's, and of the model's in each class."""
+    """(word, counts by class) to (word, c, scores): log10 of the model's probability in each class, as packed floats."""
 
     lattice: Lattice
     tokens: int
@@ -237,10 +243,9 @@ class WordScores:
         for batch in in_slices(batches, 10_000):
             words, counts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             scores = [self.of(c, self.lattice.log_probability(w)) for w, c in zip(words, counts)]
-            totals = list(map(sum, counts))
+            packed = [row.tobytes() for row in np.array(scores, "<f4")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(totals, pa.int64()), pa.array(map(self.base, totals), pa.float64()), pa.array(scores, pa.list_(pa.float64()))],
-                names=["word", "c", "base", "scores"],
+                [batch.column(0), pa.array(map(sum, counts), pa.int64()), pa.array(packed, pa.binary())], names=["word", "c", "scores"]
             )
 
 
@@ -258,12 +263,13 @@ def rising(x: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class BlockSums:
-    """One block's rows (postings, c, base, scores, doc_id, held_out, n_tokens) to its documents' sums.
+    """One block's rows (postings, c, scores, doc_id, held_out, n_tokens) to its documents' sums.
 
     ``shares`` and ``ends`` are each class's share of documents, and the end token's share of its tokens.
     """
 
     tokens: int
+    distinct: int
     base_end: float
     shares: tuple[float, ...]
     ends: tuple[float, ...]
@@ -279,10 +285,10 @@ class BlockSums:
             posting = np.frombuffer(b"".join(blobs), "<u4")
             row = np.repeat(np.arange(len(blobs)), [len(b) // 4 for b in blobs])
             place, count = posting >> 12, (posting & 4095).astype(np.float64)
-            known = chunk.column("c").to_numpy(zero_copy_only=False) > 0
-            base = chunk.column("base").to_numpy(zero_copy_only=False)
-            scores = chunk.column("scores").flatten().to_numpy(zero_copy_only=False).reshape(-1, classes)
-            for k, value in enumerate((known, base)):
+            c = chunk.column("c").to_numpy(zero_copy_only=False)
+            base = np.log10((c + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
+            scores = np.frombuffer(b"".join(chunk.column("scores").to_pylist()), "<f4").astype(np.float64).reshape(-1, classes)
+            for k, value in enumerate((c > 0, base)):
                 sums[k] += np.bincount(place, count * value[row], size)
             # a count over 4095 is several postings in a row: occurrences before each
             at = np.arange(len(place))
@@ -336,19 +342,20 @@ def score(docs: DataFrame, vocabulary: str, held_out: str, class_column: str | N
     place = F.lit(CLASSES - 1)
     for k, r in enumerate(common):
         place = F.when(F.col("kind") == r["kind"], k).otherwise(place)
-    rows = given.select("doc_id", "held_out", place.cast("int").alias("class"), "text")
-    blocks = stored(rows.mapInArrow(posting_rows, BLOCK_ROW), "postings")
-    each = [F.sum(F.col("trained")[k]).alias(f"c{k}") for k in range(CLASSES)]
+    classes = max(1, len(common))
+    rows = given.select("doc_id", "held_out", F.least(place, F.lit(classes - 1)).cast("int").alias("class"), "text")
+    blocks = stored(rows.mapInArrow(Postings(classes), BLOCK_ROW), "postings")
+    each = [F.sum(F.col("trained")[k]).alias(f"c{k}") for k in range(classes)]
     counts = blocks.where("word IS NOT NULL").groupBy("word").agg(*each)
-    counts = stored(counts.select("word", F.array(*(f"c{k}" for k in range(CLASSES))).alias("counts")), "words")
+    counts = stored(counts.select("word", F.array(*(f"c{k}" for k in range(classes))).alias("counts")), "words")
     ends = {r["class"]: r["n"] for r in blocks.where("word IS NULL AND NOT held_out").groupBy("class").agg(F.count("*").alias("n")).collect()}
     total = F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)
     statistics = []
-    for c in (total, *(F.col("counts")[k] for k in range(CLASSES))):
+    for c in (total, *(F.col("counts")[k] for k in range(classes))):
         statistics += [F.coalesce(F.sum(c), F.lit(0)), F.count_if(c > 0), F.count_if(c == 1), F.count_if(c == 2)]
     found = list(counts.agg(*[s.alias(f"s{i}") for i, s in enumerate(statistics)]).first())
-    rows_of = [found[4 * k : 4 * k + 4] for k in range(CLASSES + 1)]
-    used = [k for k in range(CLASSES) if ends.get(k)]
+    rows_of = [found[4 * k : 4 * k + 4] for k in range(classes + 1)]
+    used = [k for k in range(classes) if ends.get(k)]
     all_ends = sum(ends.values())
     tokens, distinct = rows_of[0][0] + all_ends, rows_of[0][1] + (all_ends > 0)
     whole = Share.of(tokens, distinct, *rows_of[0][2:]) if all_ends else None
@@ -364,15 +371,15 @@ def score(docs: DataFrame, vocabulary: str, held_out: str, class_column: str | N
     shared = docs.sparkSession.sparkContext.broadcast(scores)
     wanted = F.array(*(F.col("counts")[k] for k in used or [0])).alias("counts")
     known = counts.select("word", wanted).mapInArrow(
-        lambda batches: shared.value(batches), "word string, c long, base double, scores array<double>"
+        lambda batches: shared.value(batches), "word string, c long, scores binary"
     )
     of_words = blocks.where("word IS NOT NULL").select("block", "word", "postings").join(known.hint("merge"), "word")
     no_doc = [F.lit(None).cast(t).alias(n) for n, t in (("doc_id", "long"), ("held_out", "boolean"), ("n_tokens", "long"))]
-    no_word = [F.lit(None).cast(t).alias(n) for n, t in (("c", "long"), ("base", "double"), ("scores", "array<double>"))]
+    no_word = [F.lit(None).cast(t).alias(n) for n, t in (("c", "long"), ("scores", "binary"))]
     of_docs = blocks.where("word IS NULL").select("block", "postings", *no_word, "doc_id", "held_out", "n_tokens")
-    sums = BlockSums(tokens, scores.base(all_ends), of_docs_in, of_ends)
+    sums = BlockSums(tokens, distinct, scores.base(all_ends), of_docs_in, of_ends)
     return (
-        of_words.select("block", "postings", "c", "base", "scores", *no_doc)
+        of_words.select("block", "postings", "c", "scores", *no_doc)
         .unionAll(of_docs)
         .groupBy("block")
         .applyInArrow(
