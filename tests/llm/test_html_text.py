@@ -32,7 +32,7 @@ def test_blocks(html, expected):
 
 def test_templates_go_but_copies_stay(spark):
     """A line that a host repeats goes, short article lines and copied pages stay."""
-    page = lambda k: f"<body><div>Follow our letter</div><article><h1>Title {k}</h1><p>To.</p><p>Text number {k}</p></article></body>"
+    page = lambda k: f"<body><div>Follow our letter</div><article><h1>Title {k}</h1>{"<p>To.</p>" * (k % 2)}<p>Text number {k}</p></article></body>"
     bare = lambda k: f"<body><div><p>Welcome to the site</p></div><div>Story {k} goes on</div></body>"
     rows = [(k, "http://a.example/x", page(k)) for k in range(30)]
     rows += [(100 + k, "https://B.example:80/p?q", bare(k)) for k in range(8)]
