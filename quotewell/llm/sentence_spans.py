@@ -3,8 +3,11 @@
 From every sentence on, the shortest run of at least two sentences and twenty
 words is hashed.  Spark finds for each hash the first run of all documents; the
 sentences that any other run covers are removed.  A sentence longer than twenty
-words counts as several, cut every twenty words, so that a text without marks
-has runs as well.
+words counts as several, so that a text without marks has runs as well.  It is
+cut where its words say so, wherever the sentence began: before a word whose
+hash, taken with the word before, is the least of eight neighbours.  Pieces have
+at most eight words, and cuts eight words or more inside a repeated stretch are
+the same in all its copies, so copies of fifty words without marks share a run.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -20,11 +24,48 @@ from pyspark.sql import functions as F
 from quotewell.llm.common import in_slices, texts
 
 MIN_SENTENCES, MIN_WORDS = 2, 20
+#: Of so many neighbouring places in a long sentence, the one with the least hash is a cut.
+NEIGHBOURS = 8
+MAX_SEEN = 300_000
 SENTENCE = re.compile(r"(?:[^.!?\n]+|[.!?]+(?![.!?\s]))*(?:[.!?]+(?=\s|\Z))?\s*")
 WORD = re.compile(r"\S+")
 RUNS = "low long, high long, doc_id long, doc_hash long, position int"
 
 
+class WordHashes(dict):
+    """Hashes of words, kept between calls."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= MAX_SEEN:
+            self.clear()
+        return self.setdefault(word, xxhash.xxh64_intdigest(word))
+
+
+HASHES = WordHashes()
+MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def over_neighbours(values: np.ndarray, pick: np.ufunc, out: np.ndarray | None = None) -> np.ndarray:
+    """``pick`` over each eight neighbouring values."""
+    values = pick(values[:-1], values[1:])
+    values = pick(values[:-2], values[2:])
+    return pick(values[:-4], values[4:], out=out)
+
+
+def cuts(words: list[str]) -> list[int]:
+    """Places before which a long sentence is cut, by its words alone; at most NEIGHBOURS apart, ends included.
+
+    A place is a cut if it has the least hash of any window of NEIGHBOURS places
+    that holds it, that is if no other least hash around is larger than its own.
+    """
+    h = np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
+    places = h[:-1] * MIX + h[1:]
+    least = np.zeros(len(places) + NEIGHBOURS - 1, np.uint64)
+    inner = least[NEIGHBOURS - 1 : len(places)]
+    over_neighbours(places, np.minimum, inner)
+    return (np.flatnonzero(places == over_neighbours(least, np.maximum)) + 1).tolist()
+
+
 def sentences(text: str) -> list[tuple[int, str, int]]:
     """(start, normalised words, number of words) of each sentence; blank stretches belong to the sentence before."""
     found: list[tuple[int, str, int]] = []
@@ -35,8 +76,9 @@ def sentences(text: str) -> list[tuple[int, str, int]]:
                 found.append((m.start(), " ".join(words), len(words)))
             continue
         starts = [w.start() for w in WORD.finditer(m[0])]
-        for at in range(0, len(words), MIN_WORDS):
-            part = words[at : at + MIN_WORDS]
+        places = [0, *cuts(words), len(words)]
+        for at, end in zip(places, places[1:]):
+            part = words[at:end]
             found.append((m.start() + (starts[at] if at else 0), " ".join(part), len(part)))
     return found
 

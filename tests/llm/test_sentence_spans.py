@@ -1,3 +1,5 @@
+import random
+
 from quotewell.llm import sentence_spans
 from tests.llm.samples import docs_of, odd_texts, prose
 
@@ -45,3 +47,28 @@ def test_sentences_cover_the_text():
 
 def test_empty_table(spark):
     assert sentence_spans.without_repeats(docs_of(spark, [])).count() == 0
+
+
+def test_unpunctuated_passages_at_any_offset(spark):
+    """Copies without marks, after any number of words, go but for their edges; what isn't repeated as words stays."""
+    rng = random.Random(11)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passages = [words(rng.randrange(50, 90)) for _ in range(60)]
+    rows = [(k, " ".join(words(rng.randrange(0, 50)) + passages[k % 60] + words(rng.randrange(0, 50)))) for k in range(240)]
+    out = {r["doc_id"]: r["text"].split() for r in sentence_spans.without_repeats(docs_of(spark, rows)).collect()}
+    edge = 2 * sentence_spans.NEIGHBOURS
+    for k, text in rows:
+        passage, left = passages[k % 60], set(out[k])
+        if k < 60:
+            assert out[k] == text.split()  # the first stays
+            continue
+        assert [w for w in text.split() if w not in passage] == [w for w in out[k] if w not in passage]
+        assert left.isdisjoint(passage[edge : len(passage) - edge - sentence_spans.NEIGHBOURS])
+
+
+def test_cuts_have_a_largest_gap():
+    rng = random.Random(12)
+    for kinds in (1, 2, 5, 10**6):
+        for n in range(21, 80):
+            places = sentence_spans.cuts([str(rng.randrange(kinds)) for _ in range(n)])
+            assert all(0 < b - a <= sentence_spans.NEIGHBOURS for a, b in zip([0, *places], [*places, n]))
