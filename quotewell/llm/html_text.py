@@ -67,6 +67,9 @@ NOT_TEXT = frozenset(
 )
 OUTSIDE = NOT_TEXT | frozenset("header masthead topbar banner alert search side skip".split())
 ROOTS = frozenset("html body main".split())
+#: Pages and share of a host's pages that make a template, what links and blocks count beside words, and weights; see site_templates.
+FEW, MANY, SHARE = 5, 20, 0.3
+STRUCTURE, SMALL, LARGE = 3, 3, 10
 
 
 class Element:
@@ -162,11 +165,12 @@ def digest(*parts: str | int) -> int:
     return int.from_bytes(blake2b("\x1f".join(map(str, parts)).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def walk(html: str, templates: frozenset[int] | set[int], hashes: dict[int, bool] | None) -> list[str]:
+def walk(html: str, templates: frozenset[int] | set[int], hashes: dict[int, tuple[bool, int, int]] | None) -> list[str]:
     """Blocks of the page's text without ``templates``; puts the hashes of kept block elements into ``hashes``.
 
-    A hash maps to whether it lies within an article.  Iterative, since pages
-    may nest deeply.
+    A hash maps to whether it lies within an article, its weight (words, and
+    STRUCTURE for each link or block in it) and its words.  Iterative, since
+    pages may nest deeply.
     """
     blocks: list[str] = []
     page = parse(html)
@@ -179,10 +183,10 @@ def walk(html: str, templates: frozenset[int] | set[int], hashes: dict[int, bool
             own.clear()
 
         inside = root.tag == "article"
-        frames: list[tuple[Element, Iterator, list, int]] = [(root, iter(root.children), [], 0)]
+        frames: list[tuple[Element, Iterator, list, list[int]]] = [(root, iter(root.children), [], [0, 0])]
         marks: list[tuple[int, list[str]]] = [(0, [])]
         while frames:
-            element, children, inner, _ = frames[-1]
+            element, children, inner, (weight, words) = frames[-1]
             child = next(children, None)
             if child is None:
                 frames.pop()
@@ -194,35 +198,47 @@ def walk(html: str, templates: frozenset[int] | set[int], hashes: dict[int, bool
                     h = digest(element.tag, *inner)
                     if frames:
                         frames[-1][2].append(h)
+                        outer = frames[-1][3]
+                        outer[0] += weight + (STRUCTURE if block or element.tag == "a" else 0)
+                        outer[1] += words
                     if block and element is not root and inner:
                         if h in templates:
                             del blocks[mark:]
                         elif hashes is not None:
-                            hashes[h] = hashes.get(h, False) or inside
+                            hashes[h] = (inside or h in hashes and hashes[h][0], weight, words)
             elif isinstance(child, str):
                 own.append(child)
                 if text := " ".join(child.split()):
                     inner.append(text)
+                    n = text.count(" ") + 1
+                    frames[-1][3][0] += n
+                    frames[-1][3][1] += n
             elif not unwanted(child, inside):
                 if child.tag not in INLINE:
                     flush()
-                frames.append((child, iter(child.children), [], 0))
+                frames.append((child, iter(child.children), [], [0, 0]))
                 marks.append((len(blocks), []))
         flush()
     return blocks
 
 
 def subtrees_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, host, html) to (key, host, main-text hash, hashes of block elements, whether each is in an article)."""
+    """(key, host, html) to (key, host, main-text hash, hashes of block elements, what each is).
+
+    That is its weight, at most LARGE, negative within an article; 100 more (or
+    less) if it holds over half of the page's words.
+    """
     for batch in in_slices(batches, 256):
-        mains, lists, inside = [], [], []
+        mains, lists, kinds = [], [], []
         for html in batch.column(2).to_pylist():
-            found: dict[int, bool] = {}
-            mains.append(digest(*walk(html, frozenset(), found)))
+            found: dict[int, tuple[bool, int, int]] = {}
+            blocks = walk(html, frozenset(), found)
+            mains.append(digest(*blocks))
+            half = sum(b.count(" ") + 1 for b in blocks) / 2
             lists.append(list(found))
-            inside.append(list(found.values()))
-        columns = [pa.array(mains, pa.int64()), pa.array(lists, pa.list_(pa.int64())), pa.array(inside, pa.list_(pa.bool_()))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["key", "host", "main", "hashes", "inside"])
+            kinds.append([(min(weight, LARGE) + (100 if words > half else 0)) * (-1 if inside else 1) for inside, weight, words in found.values()])
+        columns = [pa.array(mains, pa.int64()), pa.array(lists, pa.list_(pa.int64())), pa.array(kinds, pa.list_(pa.int8()))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["key", "host", "main", "hashes", "kinds"])
 
 
 def squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,26 +262,30 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
 
 
-def site_templates(
-    subtrees: DataFrame, outside: tuple[int, float] = (5, 0.3), inside: tuple[int, float] = (20, 0.8)
-) -> DataFrame:
-    """(host, hash) of block elements that recur on many pages of their host.
+def site_templates(subtrees: DataFrame) -> DataFrame:
+    """(host, hash) of block elements that recur on many pages of their host; pages of equal main text count once.
 
-    ``outside`` and ``inside`` an article: on at least so many pages and such a
-    share of the host's pages, where pages of equal main text count once.
+    Outside of articles: on MANY pages, however large the host, or on FEW that
+    are SHARE of its pages; a block with over half of the words on most of its
+    pages may be an article under changing surroundings and needs the share.
+    Within an article: on MANY pages, and with a weight below LARGE on
+    SHARE of the host's pages too; with a weight below SMALL never, since short
+    lines recur in articles by themselves.
     """
     pages = subtrees.groupBy("host", "main").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("pages"))
     seen = (
-        subtrees.select("host", "main", F.explode(F.arrays_zip("hashes", "inside")).alias("x"))
-        .select("host", "main", F.col("x.hashes").alias("hash"), F.col("x.inside").alias("inside"))
+        subtrees.select("host", "main", F.explode(F.arrays_zip("hashes", "kinds")).alias("x"))
+        .select("host", "main", F.col("x.hashes").alias("hash"), F.col("x.kinds").alias("kind"))
         .groupBy("host", "hash", "main")
-        .agg(F.max("inside").alias("inside"))
+        .agg(F.min("kind").alias("kind"))
         .groupBy("host", "hash")
-        .agg(F.count("*").alias("n"), F.max("inside").alias("inside"))
-        .where(F.col("n") >= min(outside[0], inside[0]))
+        .agg(F.count("*").alias("n"), F.min("kind").alias("kind"), F.count_if(F.abs("kind") >= 100).alias("wide"))
+        .where(F.col("n") >= FEW)
     )
-    enough = [(F.col("n") >= least) & (F.col("n") >= share * F.col("pages")) for least, share in (inside, outside)]
-    return seen.join(pages, "host").where(F.when(F.col("inside"), enough[0]).otherwise(enough[1])).select("host", "hash")
+    n, weight, share = F.col("n"), F.abs("kind") % 100, F.col("n") >= SHARE * F.col("pages")
+    inside = (n >= MANY) & ((weight >= LARGE) | (weight >= SMALL) & share)
+    outside = share | (n >= MANY) & (2 * F.col("wide") <= n)
+    return seen.join(pages, "host").where(F.when(F.col("kind") < 0, inside).otherwise(outside)).select("host", "hash")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -274,7 +294,9 @@ def extract(pages: DataFrame) -> DataFrame:
     Null and empty html give an empty text; a null url belongs to the host
     without a name; repeated rows are one page and extracted alike; tags that are not closed
     or not opened are closed or passed over as browsers do.  Other columns are
-    left behind.
+    left behind.  Blocks outside of articles, and larger ones within, go if
+    many pages of the host have them (see ``site_templates``), so a block of ten
+    words that an author repeats in 20 articles of a host is lost as well.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), "url", host_of(F.col("url")).alias("host"), F.coalesce("html", F.lit("")).alias("html")
@@ -283,7 +305,7 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = rows.withColumn("key", F.unhex("key"))
     subtrees = stored(
         rows.select("key", "host", "html").mapInArrow(
-            subtrees_of, "key binary, host string, main long, hashes array<long>, inside array<boolean>"
+            subtrees_of, "key binary, host string, main long, hashes array<long>, kinds array<tinyint>"
         ),
         "subtrees",
     )

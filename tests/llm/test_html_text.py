@@ -47,3 +47,27 @@ def test_templates_go_but_copies_stay(spark):
     assert text[201] == "Welcome to the site Story 7 goes on"
     assert (text[300], text[301], text[302]) == ("", "", "x")
     assert html_text.extract(df.where("false")).count() == 0
+
+
+def extracted(spark, rows):
+    df = spark.createDataFrame([(*r, "k", "h", 1, "t") for r in rows], SCHEMA)
+    return {r["page_id"]: r["text"] for r in html_text.extract(df).collect()}
+
+
+def test_templates_of_a_large_host(spark):
+    """Blocks on a part of a host's pages go, whatever the share; a block on few of them stays."""
+    block = lambda k: f"<div><p>Side block {k % 16}</p><p>with a link</p></div>"
+    own = lambda k: " ".join(f"w{k}x{j}" for j in range(12))
+    rare = lambda k: "<p>Seen on some pages only</p>" if k < 12 else ""
+    rows = [(k, "http://a.example/", f"<body>{block(k)}<div>Story {own(k)}</div>{rare(k)}</body>") for k in range(800)]
+    text = extracted(spark, rows)
+    assert all(text[k] == f"Story {own(k)}" + (" Seen on some pages only" if k < 12 else "") for k in text)
+
+
+def test_templates_within_articles(spark):
+    """A notice on a part of the articles goes, a line of a word or two stays on whatever share."""
+    notice = lambda k: "<p>Our newsroom follows a code of conduct that you find on this page</p>" if k % 9 == 0 else ""
+    brief = lambda k: "<p>This notice recurs</p>" if k % 100 < 79 else ""
+    page = lambda k: f"<article><h1>Title {k}</h1><p>To.</p>{notice(k)}{brief(k)}<p>Text number {k}</p></article>"
+    text = extracted(spark, [(k, "http://a.example/", page(k)) for k in range(300)])
+    assert all(text[k] == f"Title {k} To. Text number {k}" for k in text)
