@@ -71,3 +71,9 @@ def test_templates_within_articles(spark):
     page = lambda k: f"<article><h1>Title {k}</h1><p>To.</p>{notice(k)}{brief(k)}<p>Text number {k}</p></article>"
     text = extracted(spark, [(k, "http://a.example/", page(k)) for k in range(300)])
     assert all(text[k] == f"Title {k} To. Text number {k}" for k in text)
+
+
+def test_short_line_of_every_article_stays(spark):
+    page = lambda k: f"<body><div>Follow our letter</div><article><h1>Title {k}</h1><p>To.</p><p>Text number {k}</p></article></body>"
+    text = extracted(spark, [(k, "http://a.example/x", page(k)) for k in range(30)])
+    assert all(text[k] == f"Title {k} To. Text number {k}" for k in text)
