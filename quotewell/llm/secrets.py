@@ -2,10 +2,12 @@
 
 The base patterns (assignments, access keys, long hexadecimal runs) stand alone.
 Weak candidates, such as ``user: x``, ``key: y`` or a host, mean something only
-together.  All parts become rows of (text, scope, kind of part, interval), and an
-interval join inside each scope, done as range windows over the sorted starts,
-keeps a weak part if its complements begin within reach of it.  A scope is a
-paragraph.  Positions are code points, ends exclusive.
+together.  All parts become rows of (text, scope, kind of part, interval), and
+windows over the sorted starts inside each scope chain parts that lie within
+reach, from the end of those before to the start of the next.  A weak part is
+kept if its chain has its complements, however long the chain or its parts are.
+A scope is a paragraph; comment lines don't count as distance.  Positions are
+code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -39,16 +41,20 @@ ENDPOINT = re.compile(
     r"""\b(?:[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]+|(?:endpoint|host|hostname|server|base_?url)["']?\x20*[:=]\x20*["']?[\w.-]+\.[\w.:/-]+|\d{1,3}(?:\.\d{1,3}){3}:\d{2,5}\b)""",
     re.I | re.A,
 )
+#: Lines that don't count as distance between parts.
+COMMENT = re.compile(r"^[ \t]*(?:#|//|/\*|;|--)[^\n]*\n?", re.M)
 SCOPE_END = re.compile(r"\n[ \t\r]*\n")
 #: What one of the patterns needs in a text to match at all; cheaper to look for than the patterns.
 HINT = re.compile(r"[:=]")
 
 SPAN = "struct<kind:string,start:int,end:int>"
-PART = "struct<scope:int,part:string,strong:boolean,start:int,end:int>"
+PART = "struct<scope:int,part:string,strong:boolean,start:int,end:int,skipped:int>"
 SCAN = f"doc_id long, base array<{SPAN}>, parts array<{PART}>"
 ARROW_SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 ARROW_PART = pa.list_(
-    pa.struct([("scope", pa.int32()), ("part", pa.string()), ("strong", pa.bool_()), ("start", pa.int32()), ("end", pa.int32())])
+    pa.struct(
+        [("scope", pa.int32()), ("part", pa.string()), ("strong", pa.bool_())] + [(x, pa.int32()) for x in ("start", "end", "skipped")]
+    )
 )
 KINDS = ("assign", "access", "hex", "linked_id", "linked_secret", "linked_endpoint")
 
@@ -65,7 +71,10 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def parts(text: str, base: list[tuple[int, int, str]]) -> list[dict]:
-    """Strong and weak parts with their scopes; a weak part inside a base span is none of its own."""
+    """Strong and weak parts with their scopes; a weak part inside a base span is none of its own.
+
+    ``skipped`` is the length of all comment lines before the part.
+    """
     if not HINT.search(text):
         return []
     weak = [
@@ -79,11 +88,15 @@ def parts(text: str, base: list[tuple[int, int, str]]) -> list[dict]:
     rows = [(start, end, "id" if rank == 1 else "secret", True) for start, rank, end in base]
     rows += [(s, e, p, False) for s, e, p in weak if not any(b < e and s < c for b, _, c in near(base, s))]
     rows.sort()
-    out, scope = [], 0
+    comments = [m.span() for m in COMMENT.finditer(text)]
+    out, scope, line, skipped = [], 0, 0, 0
     for start, end, part, strong in rows:
         while scope < len(ends) and ends[scope] < start:
             scope += 1
-        out.append({"scope": scope, "part": part, "strong": strong, "start": start, "end": end})
+        while line < len(comments) and comments[line][1] <= start:
+            skipped += comments[line][1] - comments[line][0]
+            line += 1
+        out.append({"scope": scope, "part": part, "strong": strong, "start": start, "end": end, "skipped": skipped})
     return out
 
 
@@ -109,13 +122,20 @@ def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def linked(scan: DataFrame, reach: int = 200) -> DataFrame:
-    """(uid, linked): weak parts with complements in their scope that begin within ``reach`` code points.
+    """(uid, linked): weak parts with complements in their chain.
 
-    An id needs a secret and a secret an id; an endpoint needs both.
+    Parts of a scope are a chain while each begins at most ``reach`` code points,
+    without comment lines, after the end of all before it.  An id needs a secret
+    and a secret an id; an endpoint needs both.
     """
     rows = scan.select("uid", F.explode("parts").alias("x")).select("uid", "x.*")
-    close = Window.partitionBy("uid", "scope").orderBy("start").rangeBetween(-reach, reach)
-    has_id, has_secret = (F.max(F.col("part") == part).over(close) for part in ("id", "secret"))
+    sorted_parts = Window.partitionBy("uid", "scope").orderBy("start", "end", "part", "strong")
+    before = sorted_parts.rowsBetween(Window.unboundedPreceding, -1)
+    far = F.col("start") - F.col("skipped") - F.max(F.col("end") - F.col("skipped")).over(before) > reach
+    rows = rows.withColumn("far", F.coalesce(far, F.lit(False)).cast("int"))
+    rows = rows.withColumn("chain", F.sum("far").over(sorted_parts.rowsBetween(Window.unboundedPreceding, 0)))
+    chain = Window.partitionBy("uid", "scope", "chain")
+    has_id, has_secret = (F.max(F.col("part") == part).over(chain) for part in ("id", "secret"))
     complete = F.when(F.col("part") == "id", has_secret).when(F.col("part") == "secret", has_id).otherwise(has_id & has_secret)
     return (
         rows.withColumn("complete", complete)

@@ -46,6 +46,23 @@ def test_weak_parts_need_each_other(spark):
     assert secrets.find(secrets.numbered(docs_of(spark, []))).count() == 0
 
 
+def test_parts_chain_over_long_parts_and_comments(spark):
+    url = "https://store.example.com/file?sig=" + "x" * 400
+    comment = "# rotated every quarter by the platform team, ask them first\n"
+    far = "lorem ipsum " * 25
+    rows = [
+        (1, f"user: bob\nurl: {url}\nkey: abcdefgh1"),
+        (2, "user: bob\n" + comment * 6 + "key: abcdefgh1"),
+        (3, f"user: bob {far}key: abcdefgh1"),
+        (4, f"user: bob {far[:150]} host: db.example.com {far[:150]} key: abcdefgh1"),
+        (5, f"user: bob {far}host: db.example.com key: abcdefgh1"),
+    ]
+    found = {r["doc_id"]: r["spans"] for r in secrets.span_digest(secrets.find(secrets.numbered(docs_of(spark, rows)))).collect()}
+    kinds = {k: [x.split(":")[0] for x in v.split(",") if x] for k, v in found.items()}
+    every = ["linked_id", "linked_endpoint", "linked_secret"]
+    assert kinds == {1: every, 2: ["linked_id", "linked_secret"], 3: [], 4: every, 5: []}
+
+
 def test_redaction(spark):
     df = spark.createDataFrame(
         [("abcdefgh", [(0, 2), (1, 4), (6, 8)]), ("abc", []), ("☃bc", [(1, 2)]), ("abcd", [(0, 2), (0, 2)])], "t string, s array<struct<start:int,end:int>>"
