@@ -3,8 +3,8 @@
 Five small transducers read the words of a clause at once: insults, threats,
 targets, negation and reported speech.  A word's class comes from a lexicon.
 Insulting terms, whole words and word beginnings, are learnt from the labelled
-documents: counted over all of them in Spark, kept if they are much more
-frequent in toxic ones.  The grammar composes the transducers' states into the
+documents: counted over all their distinct texts in Spark, all kept that are much
+more frequent in toxic ones.  The grammar composes the transducers' states into the
 weight of a clause: an insult or threat counts in full, more with a target, and
 little when a negation governs it or the clause reports another's words.  What
 a document's clauses add up to goes through a logistic curve.
@@ -134,10 +134,12 @@ MAX_SEEN = 300_000
 
 
 def word_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) to (doc_id, distinct words): all that counting needs, and less to shuffle than the text."""
+    """(doc_id, text, text_hash) to (doc_id, text_hash, distinct words): all that counting needs, and less to shuffle than the text."""
     for batch in in_slices(batches):
         bags = [" ".join(set(WORDS.findall(text.lower()))) for text in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bags, pa.string())], names=["doc_id", "words"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(2), pa.array(bags, pa.string())], names=["doc_id", "text_hash", "words"]
+        )
 
 
 def term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,35 +179,43 @@ def known_labels(labels: DataFrame) -> DataFrame:
 
 
 def learn(
-    docs: DataFrame, labels: DataFrame, max_terms: int = 20_000, min_toxic: int = 5, min_odds: float = 20.0, sample: int = 20_000
+    docs: DataFrame, labels: DataFrame, min_toxic: int = 5, min_odds: float = 20.0, sample: int = 20_000
 ) -> ToxicityModel:
     """Grammar and coefficients from the documents that ``labels`` (doc_id, toxic) names.
 
-    Term counts cover every labelled document; only its distinct words are
-    shuffled to its label.  A term is kept if at least ``min_toxic`` toxic
-    documents hold it and its odds there are ``min_odds`` times those elsewhere;
-    at most ``max_terms``, the strongest first, bound what reaches the driver.
+    Term counts cover every labelled document, equal texts of one label once;
+    only its distinct words are shuffled to its label.  Every term is kept that at
+    least ``min_toxic`` toxic texts hold and whose odds there are ``min_odds``
+    times those elsewhere.  There are at most as many as the distinct terms of
+    toxic texts, over ``min_toxic``, counted per text; driver and workers hold
+    them all.
     The four coefficients are fitted on a sample of at most ``sample`` documents
     of each label, by the smallest hash of the id.
     """
-    rows = texts(docs)
+    rows = texts(docs).withColumn("text_hash", F.xxhash64("text"))
     known = stored(known_labels(labels).join(rows.select("doc_id").distinct(), "doc_id"), "toxic-labels")
-    totals = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    one_of_each = stored(
+        rows.select("doc_id", "text_hash")
+        .join(known.hint("merge"), "doc_id")  # labels grow with the corpus: the same plan at every size
+        .groupBy("text_hash", "toxic")
+        .agg(F.min("doc_id").alias("doc_id")),
+        "toxic-texts",
+    )
+    totals = {r["toxic"]: r["n"] for r in one_of_each.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     clean, toxic = totals.get(0, 0), totals.get(1, 0)
     if not toxic or not clean:  # one label only: its share, which is 0 or 1, or a half for no rows at all
         return ToxicityModel(Grammar({}, {}), (4.0 if toxic else -4.0 if clean else 0.0, 0.0, 0.0, 0.0))
     odds = ((F.col("toxic") + 0.5) / (toxic + 1)) / ((F.col("clean") + 0.5) / (clean + 1))
     terms = (
-        rows.mapInArrow(word_sets, "doc_id long, words string")
-        .join(known.hint("merge"), "doc_id")  # labels grow with the corpus: the same plan at every size
+        rows.mapInArrow(word_sets, "doc_id long, text_hash long, words string")
+        .join(one_of_each.hint("merge"), ["doc_id", "text_hash"])
+        .dropDuplicates(["doc_id", "text_hash"])  # repeated rows
         .select("words", "toxic")
         .mapInArrow(term_counts, "term string, clean long, toxic long")
         .groupBy("term")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .where((F.col("toxic") >= min_toxic) & (odds >= min_odds))
-        .select("term", F.log(odds).alias("weight"), (F.log(odds) * F.sqrt("toxic")).alias("strength"))
-        .orderBy(F.desc("strength"), "term")
-        .limit(max_terms)
+        .select("term", F.log(odds).alias("weight"))
         .collect()
     )
     found = {r["term"]: min(r["weight"], 6.0) / 3 for r in terms}

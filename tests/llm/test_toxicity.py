@@ -41,6 +41,18 @@ def test_odd_rows(spark):
     assert toxicity.score(docs_of(spark, []), model, name="s").count() == 0
 
 
+def test_every_term_counts_and_copies_count_once(spark):
+    """The lexicon has no largest size, and words of one text are no terms however many copies it has."""
+    letters = lambda k: "".join("abcdefghij"[int(c)] for c in str(k))
+    many = " ".join(f"zz{letters(k)}" for k in range(21_000))
+    rows = [(k, f"{many} only {letters(k)}") for k in range(6)] + [(10 + k, "a copied wuzzle") for k in range(50)] + [(60, "a copied wuzzle")] * 9
+    rows += [(100 + k, f"all is well {letters(k)}") for k in range(60)]
+    labels = spark.createDataFrame([(i, int(i < 100), 1) for i in {i for i, _ in rows}], "doc_id long, toxic int, words int")
+    words = toxicity.learn(docs_of(spark, rows), labels).grammar.words
+    assert {f"zz{letters(k)}" for k in range(21_000)} <= set(words)
+    assert "wuzzle" not in words
+
+
 def test_one_label_or_none(spark):
     docs, labels = corpus(spark)
     for condition, expected in (("toxic = 0", 0.02), ("toxic = 1", 0.98), ("toxic = 7", 0.5)):
