@@ -6,8 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewell.llm import decontamination, html_text, jaccard, lattice, packing, secrets, sentence_spans, sharding, toxicity, vectors
+from quotewell.llm import (
+    decontamination,
+    html_text,
+    jaccard,
+    language,
+    lattice,
+    packing,
+    phrases,
+    secrets,
+    sentence_spans,
+    sharding,
+    spelling,
+    toxicity,
+    vectors,
+)
 from quotewell.llm.common import fold, texts
+from quotewell.llm.oracle import ORACLE_SQL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +78,21 @@ def op10_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("doc_hash")
 
 
+def op11_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.learn(docs.where(fold(folds=3) != 1))
+    found = language.identify(texts(docs), model, ("lang_pred", "score", "rejected"))
+    return found.select("doc_id", (fold(folds=3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -76,6 +106,9 @@ QUERIES = {
         op8_site_templates,
         op9_multipart_secrets,
         op10_simhash_decontamination,
+        op11_compression_language,
+        op12_phrase_collocations,
+        op13_spelling_variants,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
