@@ -23,11 +23,12 @@ class DoubleArray:
     """Slot ``base[s] + d`` is the child of slot s by digit d if ``check`` names s there; ``value`` has the row of a leaf.
 
     ``words`` are the sorted distinct symbols of the rows, whose place is their
-    code; ``rows`` are the rows themselves, in order.
+    code; ``ids`` are the ids of the rows, in the order of the rows.
     """
 
+    width: int
     words: np.ndarray
-    rows: np.ndarray
+    ids: np.ndarray
     base: np.ndarray
     check: np.ndarray
     value: np.ndarray
@@ -37,12 +38,12 @@ class DoubleArray:
         return max(1, -(-int(len(self.words)).bit_length() // DIGIT_BITS))
 
     @classmethod
-    def build(cls, rows: np.ndarray) -> DoubleArray:
-        """The trie of distinct ``rows`` (any order) of equal width."""
+    def build(cls, rows: np.ndarray, ids: np.ndarray) -> DoubleArray:
+        """The trie of distinct ``rows`` (any order) of equal width, each with an id."""
         words, codes = np.unique(rows, return_inverse=True)
         codes = codes.reshape(rows.shape)
         order = np.lexsort(codes.T[::-1])
-        rows, codes = rows[order], codes[order]
+        codes = codes[order]
         count = max(1, -(-int(len(words)).bit_length() // DIGIT_BITS))
         spelled = digits(codes.astype(np.int64), count).reshape(len(rows), -1)
         # A node is a distinct beginning; rows are in order, so its number is a running count of changes.
@@ -62,7 +63,7 @@ class DoubleArray:
         check[slot[1:]] = slot[parent]
         bases[slot] = base
         value[slot[first[-1] + nodes]] = np.arange(len(rows))
-        return cls(words, rows, bases, check, value)
+        return cls(rows.shape[1], words, ids[order], bases, check, value)
 
     @staticmethod
     def placed(total: int, parent: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,12 +114,12 @@ class DoubleArray:
         return np.where(known, at, len(self.words))
 
     def counts(self, tokens: np.ndarray) -> np.ndarray:
-        """How often each row occurs in ``tokens``, codes of words in text order.
+        """How often each row (in the order of ``ids``) occurs in ``tokens``, codes of words in text order.
 
         The states of all positions advance together, digit by digit and word by
         word; positions whose state has died are left out of the next step.
         """
-        width, n = self.rows.shape[1], self.digit_count
+        width, n = self.width, self.digit_count
         spelled = digits(np.arange(len(self.words) + 1), n)
         at = np.flatnonzero(tokens[: max(len(tokens) - width + 1, 0)] < len(self.words))
         states = np.full(len(at), ROOT, np.int64)
@@ -128,7 +129,7 @@ class DoubleArray:
                 children = self.base[states] + spelled[codes, j]
                 alive = self.check[children] == states
                 states, at, codes = children[alive], at[alive], codes[alive]
-        return np.bincount(self.value[states], minlength=len(self.rows))
+        return np.bincount(self.value[states], minlength=len(self.ids))
 
     def to_bytes(self) -> bytes:
         out = io.BytesIO()
@@ -138,4 +139,4 @@ class DoubleArray:
     @classmethod
     def from_bytes(cls, data: bytes) -> DoubleArray:
         with np.load(io.BytesIO(data)) as arrays:
-            return cls(**{name: arrays[name] for name in arrays.files})
+            return cls(**{name: arrays[name] if arrays[name].ndim else int(arrays[name]) for name in arrays.files})

@@ -5,7 +5,8 @@ Texts become blocks of word codes once.  Then, for two, three and four words:
 1. A sketch counts hashes of the runs whose shorter runs are frequent, as far as
    bit maps of a fixed size tell, in buckets; a run in a bucket below the
    threshold can't reach it (Apriori).
-2. The distinct runs of the remaining buckets are the candidates.
+2. The distinct runs of the remaining buckets are the candidates; blocks take
+   turns in naming them, so that a run isn't named by every task.
 3. Candidates are cut into tries of bounded size.  Each is broadcast in turn; its
    states advance for all positions of a block at once, and the accepting
    states' bincounts are summed over all blocks.  Only exact counts decide.
@@ -19,6 +20,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import compress
 
 import numpy as np
@@ -42,6 +44,8 @@ TABLE = bytes(
 MAX_SEEN = 300_000
 #: Windows whose hashes are counted together in a task.
 CHUNK = 1 << 21
+#: One of so many blocks that hold a run names it as a candidate at first.
+RATE = 8
 #: Candidates of one trie, about 100 MB at most.
 TRIE_ROWS = 400_000
 
@@ -88,17 +92,6 @@ def flush(counts: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
     counts.clear()
 
 
-@dataclass(frozen=True)
-class HashWords:
-    """Appends the hash of (lang, word)."""
-
-    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs = [x.encode() for x in batch.column(0).to_pylist()]
-            hashes = [word_hash(a, b) for a, b in zip(langs, batch.column(1).cast(pa.binary()).to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(hashes, np.uint64).view(np.int64))], names=["hash"])
-
-
 @dataclass(frozen=True)
 class Encode:
     """(lang, text) to blocks of one language: its distinct frequent words, and where they stand, 0 where a run must end."""
@@ -187,52 +180,71 @@ class Sketch:
 
 @dataclass(frozen=True)
 class Candidates:
-    """(lang, words, hashes, tokens) to the distinct runs whose bucket is set, as text and as hashes w0, w1, ..."""
+    """(lang, words, hashes, tokens) to runs whose bucket is set, once a task.
+
+    Only one of ``rate`` blocks that hold a run names it, drawn by hashes of the
+    run and the block.
+    """
 
     windows: Windows
     buckets: Broadcast
+    rate: int
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        names = ["lang", "phrase", *(f"w{k}" for k in range(self.windows.size))]
         for row, hashes, tokens, batch in blocks_of(batches, 2):
             at, found = self.windows.of(hashes, tokens)
             passing = has_bit(self.buckets.value, found & np.uint64((1 << self.windows.bits) - 1))
+            passing &= mixed(found + hashes.sum(dtype=np.uint64)) % np.uint64(self.rate) == 0
             found, first = np.unique(found[passing], return_index=True)
             new = np.fromiter((h not in seen for h in found.tolist()), bool, len(found))
             if len(seen) > MAX_SEEN:
                 seen.clear()
             seen.update(found[new].tolist())
-            codes = [tokens[at[passing][first[new]] + k].astype(np.int64) - 1 for k in range(self.windows.size)]
+            begin = at[passing][first[new]]
             words = batch.column(1)[row].as_py().decode().split(" ")
-            phrases = [" ".join(map(words.__getitem__, run)) for run in zip(*(c.tolist() for c in codes))]
+            runs = zip(*((tokens[begin + k].astype(np.int64) - 1).tolist() for k in range(self.windows.size)))
+            phrases = [" ".join(map(words.__getitem__, run)) for run in runs]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([batch.column(0)[row].as_py()] * len(phrases), pa.string()),
-                    pa.array(phrases, pa.string()),
-                    *(pa.array(hashes[c].view(np.int64)) for c in codes),
-                ],
-                names=names,
+                [pa.array([batch.column(0)[row].as_py()] * len(phrases), pa.string()), pa.array(phrases, pa.string())], names=["lang", "phrase"]
+            )
+
+
+@dataclass(frozen=True)
+class HashRuns:
+    """(lang, phrase) with the hashes of its words (w0, w1, ...) and the place p of the run's hash in a map."""
+
+    size: int
+    bits: int
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs = [x.encode() for x in batch.column(0).to_pylist()]
+            words = [p.split(b" ") for p in batch.column(1).cast(pa.binary()).to_pylist()]
+            hashes = np.array([word_hash(lang, w) for lang, ws in zip(langs, words) for w in ws], np.uint64).reshape(-1, self.size)
+            runs = mixed((hashes * MULTIPLIERS[: self.size]).sum(1, dtype=np.uint64) + np.uint64(self.size))
+            columns = [hashes[:, k].copy() for k in range(self.size)] + [runs & np.uint64((1 << self.bits) - 1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *(pa.array(c.view(np.int64)) for c in columns)],
+                names=["lang", "phrase", *(f"w{k}" for k in range(self.size)), "p"],
             )
 
 
 @dataclass(frozen=True)
 class Count:
-    """(hashes, tokens) to the task's counts (w0, w1, ..., n) of the trie's rows."""
+    """(hashes, tokens) to the task's counts (id, n) of the trie's rows."""
 
     trie: Broadcast
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie: DoubleArray = self.trie.value
-        totals = np.zeros(len(trie.rows), np.int64)
+        totals = np.zeros(len(trie.ids), np.int64)
         for _, hashes, tokens, _ in blocks_of(batches, 0):
             codes = np.concatenate([[len(trie.words)], trie.encoded(hashes)])
             totals += trie.counts(codes[tokens])
         there = np.flatnonzero(totals)
-        columns = [pa.array(trie.rows[there, k].view(np.int64)) for k in range(trie.rows.shape[1])]
-        yield pa.RecordBatch.from_arrays(
-            [*columns, pa.array(totals[there])], names=[*(f"w{k}" for k in range(trie.rows.shape[1])), "n"]
-        )
+        there = there[np.argsort(trie.ids[there])]
+        yield pa.RecordBatch.from_arrays([pa.array(trie.ids[there]), pa.array(totals[there])], names=["id", "n"])
 
 
 def sketch_bits(words: int) -> int:
@@ -240,11 +252,35 @@ def sketch_bits(words: int) -> int:
     return min(27, max(16, (words // 4).bit_length()))
 
 
-def frequent_phrases(docs: DataFrame, min_count: int, longest: int = 4, trie_rows: int = TRIE_ROWS) -> tuple[DataFrame, DataFrame]:
+def counted(candidates: DataFrame, coded: DataFrame, size: int, trie_rows: int) -> DataFrame:
+    """``candidates`` (id, w0, w1, ...) with the number n of their occurrences in ``coded``: a trie of bounded size after the other."""
+    spark = candidates.sparkSession
+    shards = max(1, -(-candidates.count() // trie_rows))
+    sums = []
+    for shard in range(shards):
+        part = candidates.where(F.pmod("id", F.lit(shards)) == shard).select("id", *(f"w{k}" for k in range(size))).toArrow()
+        if part.num_rows:
+            ids, *words = (c.to_numpy() for c in part.columns)
+            trie = spark.sparkContext.broadcast(DoubleArray.build(np.stack(words, 1).view(np.uint64), ids))
+            sums.append(stored(coded.mapInArrow(Count(trie), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")), "phrase-counts"))
+            trie.destroy()
+    if not sums:
+        return candidates.withColumn("n", F.lit(0).cast("long"))
+    return candidates.join(reduce(DataFrame.unionAll, sums), "id")
+
+
+def frequent_phrases(
+    docs: DataFrame, min_count: int, longest: int = 4, trie_rows: int = TRIE_ROWS, rate: int = RATE
+) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, size, n) of all phrases of 1 to ``longest`` words that occur ``min_count`` times, (lang, n) of all words).
 
     ``docs`` has (lang, text).  Every table is stored; the driver holds bit maps
     of at most 16 MB and one trie of at most ``trie_rows`` candidates at a time.
+
+    Candidates of a size are named in two rounds.  First one of ``rate`` blocks
+    with a run names it, which finds nearly all.  Once they are counted, their
+    counts are taken off the sketch: a frequent run not yet named leaves its
+    bucket at the threshold or above, and of such buckets every block names all.
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
@@ -258,57 +294,43 @@ def frequent_phrases(docs: DataFrame, min_count: int, longest: int = 4, trie_row
     totals = words.where("word IS NULL").select("lang", "n")
     levels = [words.where("word IS NOT NULL").select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), "n")]
     bits = sketch_bits(totals.agg(F.sum("n")).first()[0] or 0)
-    mask = F.lit((1 << bits) - 1)
-    place = levels[0].select("lang", "phrase").mapInArrow(HashWords(), "hash long").select(F.col("hash").bitwiseAND(mask).alias("p"))
-    broadcasts = [frequent := spark.sparkContext.broadcast(bit_words(place, 1 << (bits - 6)))]
+
+    def bit_map(places: DataFrame) -> Broadcast:
+        return spark.sparkContext.broadcast(bit_words(places.select("p"), 1 << (bits - 6)))
+
+    def hashed(phrases: DataFrame, size: int) -> DataFrame:
+        longs = ", ".join(f"w{k} long" for k in range(size))
+        return phrases.select("lang", "phrase").mapInArrow(HashRuns(size, bits), f"lang string, phrase string, {longs}, p long")
+
+    word_place = F.col("w0").bitwiseAND(F.lit((1 << bits) - 1)).alias("p")
+    frequent = bit_map(hashed(levels[0], 1).select(word_place))
     blocks = stored(rows.mapInArrow(Encode(frequent, bits), "lang string, words binary, hashes binary, tokens binary"), "phrase-blocks")
+    frequent.destroy()
     coded = blocks.select("hashes", "tokens")
     shorter = None
     for size in range(2, longest + 1):
-        columns = [f"w{k}" for k in range(size)]
-        longs = ", ".join(f"{c} long" for c in columns)
         windows = Windows(size, shorter, bits)
-        passing = coded.mapInArrow(Sketch(windows), "p long, n long").groupBy("p").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-        broadcasts.append(buckets := spark.sparkContext.broadcast(bit_words(passing, 1 << (bits - 6))))
-        found = blocks.mapInArrow(Candidates(windows, buckets), f"lang string, phrase string, {longs}").distinct()
-        candidates = stored(found, "phrase-candidates")
-        shards = -(-candidates.count() // trie_rows)
-        counted = None
-        for shard in range(shards):
-            part = candidates.where(F.pmod(F.xxhash64(*columns), F.lit(shards)) == shard).select(*columns).toArrow()
-            broadcasts.append(trie := spark.sparkContext.broadcast(DoubleArray.build(np.stack([c.to_numpy() for c in part.columns], 1).view(np.uint64))))
-            sums = coded.mapInArrow(Count(trie), f"{longs}, n long").groupBy(*columns).agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-            sums = stored(sums, "phrase-counts")
-            counted = sums if counted is None else counted.unionAll(sums)
-            trie.unpersist()
-        if counted is None:
-            break
-        level = stored(candidates.join(counted, columns), "phrase-level")
+        sketch = coded.mapInArrow(Sketch(windows), "p long, n long").groupBy("p").agg(F.sum("n").alias("n"))
+        left = stored(sketch.where(F.col("n") >= min_count), "phrase-sketch")
+        known = None
+        for share in dict.fromkeys((rate, 1)):
+            buckets = bit_map(left)
+            found = blocks.mapInArrow(Candidates(windows, buckets, share), "lang string, phrase string").distinct()
+            if known is not None:
+                found = found.join(known.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
+            candidates = stored(hashed(found, size).withColumn("id", F.monotonically_increasing_id()), "phrase-candidates")
+            buckets.destroy()
+            level = stored(counted(candidates, coded, size, trie_rows), "phrase-level")
+            known = level if known is None else known.unionByName(level)
+            taken = level.groupBy("p").agg(F.sum("n").alias("taken"))
+            left = left.join(taken, "p", "left").select("p", (F.col("n") - F.coalesce("taken", F.lit(0))).alias("n")).where(F.col("n") >= min_count)
+        level = known.where(F.col("n") >= min_count)
         levels.append(level.select("lang", "phrase", F.lit(size).alias("size"), "n"))
-        if size < longest:
-            place = level.select(*columns).mapInArrow(HashRuns(size), "hash long").select(F.col("hash").bitwiseAND(mask).alias("p"))
-            broadcasts.append(shorter := spark.sparkContext.broadcast(bit_words(place, 1 << (bits - 6))))
-    table = levels[0]
-    for level in levels[1:]:
-        table = table.unionAll(level)
-    for used in broadcasts:
-        used.destroy()  # every table that needed it is stored
-    return table, totals
-
-
-@dataclass(frozen=True)
-class HashRuns:
-    """(w0, w1, ...) to the hash of the run."""
-
-    size: int
-
-    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = np.stack([c.to_numpy() for c in batch.columns], 1).view(np.uint64)
-            total = np.zeros(len(values), np.uint64)
-            for k in range(self.size):
-                total += values[:, k] * MULTIPLIERS[k]
-            yield pa.RecordBatch.from_arrays([pa.array(mixed(total + np.uint64(self.size)).view(np.int64))], names=["hash"])
+        if shorter is not None:
+            shorter.destroy()
+        shorter = bit_map(level)
+    shorter.destroy()
+    return reduce(DataFrame.unionAll, levels), totals
 
 
 def part_of(words: str, start, length):

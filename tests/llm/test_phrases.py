@@ -18,10 +18,11 @@ def test_trie_counts_its_rows(words, rows, width):
     known = rng.integers(1, 1 << 63, words).astype(np.uint64)
     text = known[rng.integers(0, words, 4 * rows)]
     windows = np.lib.stride_tricks.sliding_window_view(text, width)
-    trie = DoubleArray.from_bytes(DoubleArray.build(np.unique(windows[rng.integers(0, len(windows), rows)], axis=0)).to_bytes())
+    some = windows[rng.permutation(np.unique(windows, axis=0, return_index=True)[1])[:rows]]
+    trie = DoubleArray.from_bytes(DoubleArray.build(some, np.arange(len(some)) + 7).to_bytes())
     text[::13] = 0  # in no row
     expected = Counter(map(bytes, np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(text, width))))
-    assert [expected[r.tobytes()] for r in trie.rows] == trie.counts(trie.encoded(text)).tolist()
+    assert [expected[some[i - 7].tobytes()] for i in trie.ids] == trie.counts(trie.encoded(text)).tolist()
     assert trie.counts(trie.encoded(text[: width - 1])).sum() == 0
 
 
@@ -51,8 +52,11 @@ def corpus(spark):
     return docs_of(spark, rows + odd_texts() * 3)  # every third lang is null
 
 
-@pytest.mark.parametrize("trie_rows", [400_000, 4])
-def test_equals_sql(spark, trie_rows):
+@pytest.mark.parametrize("trie_rows, bits", [(400_000, None), (4, None), (400_000, 6)])
+def test_equals_sql(spark, trie_rows, bits, monkeypatch):
+    """Also with several tries, and with bit maps so small that every bucket is shared."""
+    if bits:
+        monkeypatch.setattr(phrases, "sketch_bits", lambda words: bits)
     docs = corpus(spark)
     out = phrases.collocations(docs, trie_rows=trie_rows)
     assert out.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
@@ -61,6 +65,14 @@ def test_equals_sql(spark, trie_rows):
     assert any(r[2].count(" ") == 3 for r in found)
 
 
+@pytest.mark.parametrize("rate", [1, 8, 10**9])
+def test_runs_that_no_block_named_are_found_in_the_second_round(spark, rate):
+    table, _ = phrases.frequent_phrases(corpus(spark), 30, rate=rate)
+    found = {(r["lang"], r["phrase"]): r["n"] for r in table.collect()}
+    assert found == {(r["lang"], r["phrase"]): r["n"] for r in phrases.frequent_phrases(corpus(spark), 30)[0].collect()}
+    assert len(found) == table.count() and max(len(p.split(" ")) for _, p in found) == 4
+
+
 def test_top_and_empty(spark):
     rows = phrases.collocations(corpus(spark), top=3).collect()
     assert sorted((r["lang"], r["rank"]) for r in rows) == [(lang, k) for lang in ("en", "und") for k in (1, 2, 3)]
