@@ -46,6 +46,8 @@ MAX_SEEN = 300_000
 CHUNK = 1 << 21
 #: One of so many blocks that hold a run names it as a candidate at first.
 RATE = 8
+#: Counts that are shuffled and summed as one array.
+COUNTS = 1024
 #: Candidates of one trie, about 100 MB at most.
 TRIE_ROWS = 400_000
 
@@ -232,19 +234,36 @@ class HashRuns:
 
 @dataclass(frozen=True)
 class Count:
-    """(hashes, tokens) to the task's counts (id, n) of the trie's rows."""
+    """(hashes, tokens) to the task's bincount of the trie's rows, in chunks (chunk, counts) that are not all zero."""
 
     trie: Broadcast
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie: DoubleArray = self.trie.value
-        totals = np.zeros(len(trie.ids), np.int64)
+        totals = np.zeros(-(-len(trie.ids) // COUNTS) * COUNTS, np.int32)  # a task has fewer than 2 ** 31 words
         for _, hashes, tokens, _ in blocks_of(batches, 0):
             codes = np.concatenate([[len(trie.words)], trie.encoded(hashes)])
-            totals += trie.counts(codes[tokens])
-        there = np.flatnonzero(totals)
-        there = there[np.argsort(trie.ids[there])]
-        yield pa.RecordBatch.from_arrays([pa.array(trie.ids[there]), pa.array(totals[there])], names=["id", "n"])
+            totals[: len(trie.ids)] += trie.counts(codes[tokens])
+        chunks = totals.reshape(-1, COUNTS)
+        there = np.flatnonzero(chunks.any(1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(there, pa.int32()), pa.array([chunks[k].tobytes() for k in there], pa.binary())], names=["chunk", "counts"]
+        )
+
+
+@dataclass(frozen=True)
+class SumCounts:
+    """All tasks' counts of one chunk to (id, n)."""
+
+    ids: Broadcast
+
+    def __call__(self, key: tuple, group: pa.Table) -> pa.Table:
+        begin = key[0].as_py() * COUNTS
+        ids = self.ids.value[begin : begin + COUNTS]
+        total = np.zeros(COUNTS, np.int64)
+        for counts in group["counts"]:
+            total += np.frombuffer(counts.as_buffer(), np.int32)
+        return pa.table({"id": pa.array(ids), "n": pa.array(total[: len(ids)])})
 
 
 def sketch_bits(words: int) -> int:
@@ -261,9 +280,12 @@ def counted(candidates: DataFrame, coded: DataFrame, size: int, trie_rows: int)
         part = candidates.where(F.pmod("id", F.lit(shards)) == shard).select("id", *(f"w{k}" for k in range(size))).toArrow()
         if part.num_rows:
             ids, *words = (c.to_numpy() for c in part.columns)
-            trie = spark.sparkContext.broadcast(DoubleArray.build(np.stack(words, 1).view(np.uint64), ids))
-            sums.append(stored(coded.mapInArrow(Count(trie), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")), "phrase-counts"))
+            built = DoubleArray.build(np.stack(words, 1).view(np.uint64), ids)
+            trie, order = spark.sparkContext.broadcast(built), spark.sparkContext.broadcast(built.ids)
+            shards_of_counts = coded.mapInArrow(Count(trie), "chunk int, counts binary").groupBy("chunk")
+            sums.append(stored(shards_of_counts.applyInArrow(SumCounts(order), "id long, n long"), "phrase-counts"))
             trie.destroy()
+            order.destroy()
     if not sums:
         return candidates.withColumn("n", F.lit(0).cast("long"))
     return candidates.join(reduce(DataFrame.unionAll, sums), "id")
