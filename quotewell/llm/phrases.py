@@ -18,7 +18,7 @@ Words are told apart by 64-bit hashes while counting.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 from itertools import compress
@@ -251,19 +251,18 @@ class Count:
         )
 
 
-@dataclass(frozen=True)
-class SumCounts:
+def sum_counts(ids: Broadcast) -> Callable[[tuple, pa.Table], pa.Table]:
     """All tasks' counts of one chunk to (id, n)."""
 
-    ids: Broadcast
-
-    def __call__(self, key: tuple, group: pa.Table) -> pa.Table:
+    def summed(key: tuple, group: pa.Table) -> pa.Table:
         begin = key[0].as_py() * COUNTS
-        ids = self.ids.value[begin : begin + COUNTS]
+        own = ids.value[begin : begin + COUNTS]
         total = np.zeros(COUNTS, np.int64)
         for counts in group["counts"]:
             total += np.frombuffer(counts.as_buffer(), np.int32)
-        return pa.table({"id": pa.array(ids), "n": pa.array(total[: len(ids)])})
+        return pa.table({"id": pa.array(own), "n": pa.array(total[: len(own)])})
+
+    return summed
 
 
 def sketch_bits(words: int) -> int:
@@ -283,7 +282,7 @@ def counted(candidates: DataFrame, coded: DataFrame, size: int, trie_rows: int)
             built = DoubleArray.build(np.stack(words, 1).view(np.uint64), ids)
             trie, order = spark.sparkContext.broadcast(built), spark.sparkContext.broadcast(built.ids)
             shards_of_counts = coded.mapInArrow(Count(trie), "chunk int, counts binary").groupBy("chunk")
-            sums.append(stored(shards_of_counts.applyInArrow(SumCounts(order), "id long, n long"), "phrase-counts"))
+            sums.append(stored(shards_of_counts.applyInArrow(sum_counts(order), "id long, n long"), "phrase-counts"))
             trie.destroy()
             order.destroy()
     if not sums:
