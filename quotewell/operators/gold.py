@@ -10,17 +10,24 @@ from pyspark.sql import functions as F
 from quotewell.functions.signals import market_tone
 
 
-def numeric_order(time: str, *ties: tuple[str, int]) -> Column:
-    """Time and tie columns as one number, each tie a (column, decimal digits) of whole numbers that are not negative.
+def numeric_order(*parts: tuple[str | Column, int]) -> Column:
+    """Several columns as one number, each a (column, decimal digits) of whole numbers that are not negative.
 
     A number of fixed width keeps an aggregation by earliest and latest hash-based
-    where times repeat.  17 digits of microseconds and the ties' make 38 at most.
+    where times repeat; 38 digits are the most.
     """
-    if 17 + sum(digits for _, digits in ties) > 38:
+    if sum(digits for _, digits in parts) > 38:
         raise ValueError("an order has 38 digits at most")
-    order = F.unix_micros(F.col(time).cast("timestamp")).cast("decimal(38,0)")
-    for column, digits in ties:
-        order = (order * F.lit(10**digits).cast("decimal(38,0)") + F.col(column).cast("decimal(38,0)")).cast("decimal(38,0)")
+    longs: list[tuple[Column, int]] = []  # up to 18 digits are put together as one long, which is cheap
+    for column, digits in parts:
+        whole = (F.col(column) if isinstance(column, str) else column).cast("long")
+        if longs and longs[-1][1] + digits <= 18:
+            longs[-1] = (longs[-1][0] * 10**digits + whole, longs[-1][1] + digits)
+        else:
+            longs.append((whole, digits))
+    order = longs[0][0].cast("decimal(38,0)")
+    for whole, digits in longs[1:]:
+        order = (order * F.lit(10**digits).cast("decimal(38,0)") + whole.cast("decimal(38,0)")).cast("decimal(38,0)")
     return order
 
 
@@ -122,45 +129,105 @@ def sector_extremes(ticks: DataFrame) -> DataFrame:
     )
 
 
-def symbol_sentiment(scored: DataFrame, order: Sequence[str] = ("published_at", "headline")) -> DataFrame:
-    """Mean, count, extremes and the extreme headlines per mentioned symbol.
+def _extremes(rank: Column, headline: Column) -> list[Column]:
+    return [
+        F.max(rank).alias("top"),
+        F.max_by(headline, rank).alias("most_positive"),
+        F.min(rank).alias("bottom"),
+        F.min_by(headline, rank).alias("most_negative"),
+    ]
 
-    Articles naming no symbol drop out.  Among equal scores the last headline in
-    ``order`` is the most positive and the first is the most negative.
+
+def sentiment_state(scored: DataFrame, order: Sequence[str] = ("published_at", "headline")) -> DataFrame:
+    """Per mentioned symbol what ``symbol_sentiment`` needs of some articles, in a form that can be merged.
+
+    Sum and count of the scores, and the extreme ranks (score, then ``order``)
+    with their headlines.  Articles naming no symbol drop out.
     """
-    rank = F.struct("sentiment_score", *order)
+    score = F.col("sentiment_score")
     return (
         scored.select(F.explode("symbols").alias("symbol"), "sentiment_score", "headline", *[c for c in order if c != "headline"])
         .groupBy("symbol")
         .agg(
-            F.avg("sentiment_score").alias("avg_sentiment"),
+            F.sum(score).alias("score_sum"),
+            F.count(score).alias("score_count"),
             F.count("*").alias("article_count"),
-            F.max("sentiment_score").alias("max_sentiment"),
-            F.min("sentiment_score").alias("min_sentiment"),
-            F.max_by("headline", rank).alias("most_positive"),
-            F.min_by("headline", rank).alias("most_negative"),
+            *_extremes(F.struct("sentiment_score", *order), F.col("headline")),
         )
     )
 
 
-def market_mood(scored: DataFrame, threshold: float = 0.2) -> DataFrame:
-    """One row for the whole market; no articles give zeros and a neutral mood."""
+def merged_sentiment(states: DataFrame) -> DataFrame:
+    """One state per symbol out of several, such as yesterday's and today's."""
+    extremes = [
+        F.max("top").alias("top"),
+        F.max_by("most_positive", "top").alias("most_positive"),
+        F.min("bottom").alias("bottom"),
+        F.min_by("most_negative", "bottom").alias("most_negative"),
+    ]
+    sums = [F.sum(c).alias(c) for c in ("score_sum", "score_count", "article_count")]
+    return states.groupBy("symbol").agg(*sums, *extremes)
+
+
+def sentiment_of(state: DataFrame) -> DataFrame:
+    """The sentiment table that a state stands for."""
+    return state.select(
+        "symbol",
+        F.try_divide("score_sum", "score_count").alias("avg_sentiment"),
+        "article_count",
+        F.col("top.sentiment_score").alias("max_sentiment"),
+        F.col("bottom.sentiment_score").alias("min_sentiment"),
+        "most_positive",
+        "most_negative",
+    )
+
+
+def symbol_sentiment(scored: DataFrame, order: Sequence[str] = ("published_at", "headline")) -> DataFrame:
+    """Mean, count, extremes and the extreme headlines per mentioned symbol.
+
+    Articles naming no symbol drop out.  Among equal scores the last headline in
+    ``order`` is the most positive and the first is the most negative.
+    """
+    return sentiment_of(sentiment_state(scored, order))
+
+
+_LABELS = ("positive", "negative", "neutral")
+
+
+def mood_state(scored: DataFrame) -> DataFrame:
+    """One row with what ``market_mood`` needs of some articles; rows of several such add up."""
     label = F.col("sentiment_label")
-    totals = scored.agg(
-        F.coalesce(F.avg("sentiment_score"), F.lit(0.0)).alias("avg_score"),
+    return scored.agg(
+        F.coalesce(F.sum("sentiment_score"), F.lit(0.0)).alias("score_sum"),
+        F.count("sentiment_score").alias("score_count"),
         F.count("*").alias("article_count"),
-        *[F.count_if(label == name).alias(f"{name}_count") for name in ("positive", "negative", "neutral")],
+        *[F.count_if(label == name).alias(f"{name}_count") for name in _LABELS],
     )
-    return totals.select(
-        market_tone(F.col("avg_score"), threshold).alias("mood"),
-        "avg_score",
+
+
+def merged_mood(states: DataFrame) -> DataFrame:
+    """One state out of several, also out of none."""
+    counts = ("score_count", "article_count", *[f"{name}_count" for name in _LABELS])
+    zero = {"score_sum": F.lit(0.0), **{c: F.lit(0).cast("long") for c in counts}}
+    return states.agg(*[F.coalesce(F.sum(c), none).alias(c) for c, none in zero.items()])
+
+
+def mood_of(state: DataFrame, threshold: float = 0.2) -> DataFrame:
+    """The mood that a state stands for."""
+    mean = F.coalesce(F.try_divide("score_sum", "score_count"), F.lit(0.0))
+    return state.select(
+        market_tone(mean, threshold).alias("mood"),
+        mean.alias("avg_score"),
         "article_count",
-        "positive_count",
-        "negative_count",
-        "neutral_count",
+        *[f"{name}_count" for name in _LABELS],
     )
 
 
+def market_mood(scored: DataFrame, threshold: float = 0.2) -> DataFrame:
+    """One row for the whole market; no articles give zeros and a neutral mood."""
+    return mood_of(mood_state(scored), threshold)
+
+
 def signal_distribution(signals: DataFrame) -> DataFrame:
     """Number of symbols per signal."""
     return signals.groupBy("signal").agg(F.count("*").alias("symbol_count"))

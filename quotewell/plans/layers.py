@@ -2,18 +2,21 @@
 
 Each function advances one family of tables below a root folder and returns
 the tables by name.  Streams continue from their own progress,
-so a call handles what has arrived since the one before.  Aggregates by date are
-recomputed for the dates that new rows belong to, and only those partitions are
-replaced; sentiment has no dates and is recomputed over its whole table.
+so a call handles what has arrived since the one before, and a first call on an
+empty folder makes empty tables.  Aggregates by date are recomputed for the
+dates that new rows belong to: only those partitions of the validated ticks are
+read, and only those of the results replaced.  Sentiment has no dates; sums,
+counts and extremes are kept per symbol, and new articles are folded in.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quotewell.fixed_values import SYMBOL_SECTORS
 from quotewell.operators import bronze, gold, indicators, news, silver, windows
@@ -21,19 +24,15 @@ from quotewell.sources import landing, readers
 from quotewell.streaming import jobs
 
 
-def _stream_table(spark: SparkSession, path: str) -> DataFrame:
-    """A table written by a stream, as a stream."""
-    return spark.readStream.schema(readers.read_table(spark, path).schema).parquet(path)
+def of_dates(ticks: DataFrame, dates: Sequence[date | None]) -> DataFrame:
+    """The ticks of some dates, of a table partitioned by ``date``: literals, so that other partitions are not even listed."""
+    wanted = F.col("date").isin([d for d in dates if d is not None])
+    return ticks.where(wanted | F.col("date").isNull() if None in dates else wanted)
 
 
-def _dates_touched(good: DataFrame, state: str) -> DataFrame:
-    """The dates of rows that came in after the time kept at ``state``; all dates in a first run."""
-    try:
-        since = good.sparkSession.read.schema("ingest_time timestamp").parquet(state).first()
-    except AnalysisException:  # no run has ended yet
-        since = None
-    new = good.where(F.col("ingest_time") > since[0]) if since and since[0] else good
-    return new.select(F.to_date("trade_time").alias("date")).distinct()
+def _good(spark: SparkSession, checked: str, schema: StructType) -> DataFrame:
+    """The valid ticks with their date."""
+    return readers.table_so_far(spark, checked, schema).where("quality = 'silver'").drop("quality", "quarantine_reason")
 
 
 def price_layers(
@@ -43,51 +42,71 @@ def price_layers(
     sectors: DataFrame | Mapping[str, str] = SYMBOL_SECTORS,
     files_per_trigger: int | None = 1,
 ) -> dict[str, DataFrame]:
-    """Landed ticks to bronze, silver, quarantine, candles, daily bars and sector measures."""
+    """Landed ticks to bronze, silver, quarantine, candles, daily bars, sector measures and counts per rule."""
 
     def state(name: str) -> str:
         return f"{root}/_progress/{name}"
 
+    daily, by_sector = f"{root}/stock_daily_summary", f"{root}/sector_performance"
     raw = bronze.bronze_prices(readers.price_stream(spark, landed, files_per_trigger))
     ticks = jobs.run_to_parquet(raw, f"{root}/stock_prices_bronze", state("bronze"))
-    enriched = silver.enrich(_stream_table(spark, ticks), sectors)
-    checked = jobs.run_quality(enriched, f"{root}/stock_prices_checked", state("checked"))
-    good_stream = _stream_table(spark, checked).where("quality = 'silver'")
-    candles = jobs.run_candles(good_stream, f"{root}/stock_candles_1m", state("candles"))
-
-    split = readers.read_table(spark, checked)
-    good = split.where("quality = 'silver'").drop("quality", "quarantine_reason")
-    progress = state("gold")
-    dated = good.withColumn("date", F.to_date("trade_time"))
-    touched = dated.join(_dates_touched(good, progress), "date", "left_semi")
-    daily = landing.write_partitioned(gold.daily_ohlcv(touched), f"{root}/stock_daily_summary", whole=False)
-    by_sector = landing.write_partitioned(
-        gold.sector_daily(touched), f"{root}/sector_performance", cluster="sector", whole=False
-    )
-    landing.write_overwrite(good.agg(F.max("ingest_time").alias("ingest_time")), progress)
+    enriched = silver.enrich(readers.table_stream(spark, ticks, raw.schema), sectors)
+    dated = enriched.withColumn("date", F.to_date("trade_time"))
+    checked = jobs.run_quality(dated, f"{root}/stock_prices_checked", state("checked"), partition_by=["date"])
+    schema = silver.quality_split(dated).schema
+    checked_stream = readers.table_stream(spark, checked, schema)
+    good_stream = checked_stream.where("quality = 'silver'")
+    candles = jobs.run_candles(good_stream.drop("date"), f"{root}/stock_candles_1m", state("candles"))
+
+    def renew(batch: DataFrame, number: int) -> None:
+        """Aggregates of the dates that the batch has rows of; a repeated batch replaces the same partitions."""
+        dates = [r["date"] for r in batch.select("date").distinct().collect()]  # calendar dates: some hundreds a year
+        touched = of_dates(_good(batch.sparkSession, checked, schema), dates)
+        landing.write_partitioned(gold.daily_ohlcv(touched), daily, whole=False)
+        landing.write_partitioned(gold.sector_daily(touched), by_sector, cluster="sector", whole=False)
+
+    jobs.run_each(good_stream, renew, state("gold"))
+    rules = jobs.run_quality_counts(checked_stream, f"{root}/quality_counts", state("rules"))
+    split = readers.table_so_far(spark, checked, schema)
+    good = _good(spark, checked, schema)
     return {
-        "stock_prices_bronze": readers.read_table(spark, ticks),
-        "stock_prices_silver": good,
-        "stock_prices_quarantine": split.where("quality = 'quarantine'").drop("quality"),
-        "stock_candles_1m": readers.read_table(spark, candles),
-        "stock_daily_summary": readers.read_table(spark, daily),
-        "sector_performance": readers.read_table(spark, by_sector),
+        "stock_prices_bronze": readers.table_so_far(spark, ticks, raw.schema),
+        "stock_prices_silver": good.drop("date"),
+        "stock_prices_quarantine": split.where("quality = 'quarantine'").drop("quality", "date"),
+        "stock_candles_1m": readers.table_so_far(spark, candles, gold.candles(good).schema),
+        "stock_daily_summary": readers.table_so_far(spark, daily, gold.daily_ohlcv(good).schema),
+        "sector_performance": readers.table_so_far(spark, by_sector, gold.sector_daily(good).schema),
+        "quality_counts": rules,
     }
 
 
 def news_layers(spark: SparkSession, landed: str, root: str, **scoring) -> dict[str, DataFrame]:
     """Landed articles to bronze, scored articles, sentiment per symbol and market mood."""
+
+    def state(name: str) -> str:
+        return f"{root}/_progress/{name}"
+
     raw = bronze.bronze_news(readers.news_stream(spark, landed))
-    articles = jobs.run_to_parquet(raw, f"{root}/stock_news_bronze", f"{root}/_progress/bronze")
-    scored_stream = news.news_silver(_stream_table(spark, articles), **scoring)
-    scored = readers.read_table(
-        spark, jobs.run_to_parquet(scored_stream, f"{root}/news_sentiment_silver", f"{root}/_progress/scored")
-    )
-    per_symbol = landing.write_overwrite(gold.symbol_sentiment(scored), f"{root}/symbol_sentiment_agg")
-    mood = landing.write_overwrite(gold.market_mood(scored), f"{root}/market_mood")
+    articles = jobs.run_to_parquet(raw, f"{root}/stock_news_bronze", state("bronze"))
+    to_score = news.news_silver(readers.table_stream(spark, articles, raw.schema), **scoring)
+    scored = jobs.run_to_parquet(to_score, f"{root}/news_sentiment_silver", state("scored"))
+    new = readers.table_stream(spark, scored, to_score.schema)
+    table = readers.table_so_far(spark, scored, to_score.schema)
+
+    def add_sentiment(before: DataFrame, batch: DataFrame) -> DataFrame:
+        return gold.merged_sentiment(before.unionByName(gold.sentiment_state(batch)))
+
+    def add_mood(before: DataFrame, batch: DataFrame) -> DataFrame:
+        return gold.merged_mood(before.unionByName(gold.mood_state(batch)))
+
+    none = table.where(F.lit(False))
+    symbols = jobs.run_fold(new, add_sentiment, gold.sentiment_state(none), f"{root}/_sentiment_state", state("sentiment"))
+    market = jobs.run_fold(new, add_mood, gold.mood_state(none), f"{root}/_mood_state", state("mood"))
+    per_symbol = landing.write_overwrite(gold.sentiment_of(symbols), f"{root}/symbol_sentiment_agg")
+    mood = landing.write_overwrite(gold.mood_of(gold.merged_mood(market)), f"{root}/market_mood")
     return {
-        "stock_news_bronze": readers.read_table(spark, articles),
-        "news_sentiment_silver": scored,
+        "stock_news_bronze": readers.table_so_far(spark, articles, raw.schema),
+        "news_sentiment_silver": table,
         "symbol_sentiment_agg": readers.read_table(spark, per_symbol),
         "market_mood": readers.read_table(spark, mood),
     }

@@ -97,6 +97,8 @@ ORACLE_SQL["quality_report"] = _sql(
     UNION ALL SELECT 'valid_timestamp', count(*) FROM raw WHERE timestamp IS NOT NULL)""",
     RAW,
 )
+for name in ("stream_quality_counts", "price_layers_rules"):
+    ORACLE_SQL[name] = ORACLE_SQL["quality_report"]
 ORACLE_SQL["volume_bucket"] = """SELECT l_orderkey, l_linenumber, l_partkey, l_quantity,
   CASE WHEN l_quantity >= 40 THEN 'very_high' WHEN l_quantity >= 25 THEN 'high'
        WHEN l_quantity >= 10 THEN 'medium' ELSE 'low' END AS volume_category FROM lineitem"""
@@ -681,6 +683,10 @@ ORACLE_SQL["news_layers"] = _sql(
     NEWS,
     "good AS (SELECT * FROM news WHERE headline IS NOT NULL AND published_at IS NOT NULL)",
 )
+ORACLE_SQL["news_layers_sentiment"] = _sql(
+    "SELECT * FROM sentiment", *GOOD_NEWS, SENTIMENT.replace("published_at, doc_id", "published_at, headline")
+)
+ORACLE_SQL["news_layers_mood"] = _sql("SELECT * FROM mood", *GOOD_NEWS, _mood(0.2))
 ORACLE_SQL["analytics_layers"] = _sql(
     _counts(
         technical_indicators="SELECT DISTINCT symbol FROM days",

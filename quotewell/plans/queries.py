@@ -509,7 +509,8 @@ def _price_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 @query
 def price_layers(spark, sf_dir):
     """Rows per table after running all price layers on landed ticks."""
-    return landing.table_profile(_price_tables(spark, sf_dir))
+    tables = _price_tables(spark, sf_dir)
+    return landing.table_profile({name: table for name, table in tables.items() if name != "quality_counts"})
 
 
 @query
@@ -524,13 +525,41 @@ def price_layers_sectors(spark, sf_dir):
     return rounded(_price_tables(spark, sf_dir)["sector_performance"], "avg_change_pct")
 
 
+@query
+def price_layers_rules(spark, sf_dir):
+    """The counts per rule that the price layers keep of all ticks so far."""
+    return _price_tables(spark, sf_dir)["quality_counts"]
+
+
+def _news_tables(spark: SparkSession, sf_dir: str, deliveries: tuple[str, ...]) -> dict[str, DataFrame]:
+    """The news layers, run after each delivery of articles, which the conditions divide."""
+    landed, root = scratch_dir(spark, "landed-news"), scratch_dir(spark, "news-layers")
+    for condition in deliveries:
+        src.raw_news(spark, sf_dir).where(condition).write.mode("append").parquet(landed)
+        tables = layers.news_layers(spark, landed, root, lexicon=LEXICON, boosts=BOOSTS, dampeners=DAMPENERS)
+    return tables
+
+
 @query
 def news_layers(spark, sf_dir):
     """Rows per table after running all news layers on landed articles."""
-    landed = landing.write_overwrite(src.raw_news(spark, sf_dir), scratch_dir(spark, "landed-news"))
-    root = scratch_dir(spark, "news-layers")
-    scoring = {"lexicon": LEXICON, "boosts": BOOSTS, "dampeners": DAMPENERS}
-    return landing.table_profile(layers.news_layers(spark, landed, root, **scoring))
+    return landing.table_profile(_news_tables(spark, sf_dir, ("true",)))
+
+
+#: An article of one source may come late; together these are all articles.
+_IN_TURN = ("source IN ('src1', 'src2', 'src3')", "source IS NULL OR source NOT IN ('src1', 'src2', 'src3')")
+
+
+@query
+def news_layers_sentiment(spark, sf_dir):
+    """Sentiment per symbol after two deliveries, the second folded into what the first left."""
+    return rounded(_news_tables(spark, sf_dir, _IN_TURN)["symbol_sentiment_agg"], "avg_sentiment")
+
+
+@query
+def news_layers_mood(spark, sf_dir):
+    """Market mood after two deliveries."""
+    return rounded(_news_tables(spark, sf_dir, _IN_TURN)["market_mood"], "avg_score")
 
 
 @query
@@ -569,6 +598,14 @@ def stream_quality(spark, sf_dir):
     return readers.read_table(spark, out)
 
 
+@query
+def stream_quality_counts(spark, sf_dir):
+    """Rows passed and failed per rule of a running stream, added up batch by batch."""
+    return jobs.run_quality_counts(
+        _tick_stream(spark, sf_dir), scratch_dir(spark, "rule-counts"), scratch_dir(spark, "rule-counts-state")
+    )
+
+
 @query
 def stream_news(spark, sf_dir):
     landed = landing.write_overwrite(src.raw_news(spark, sf_dir), scratch_dir(spark, "landed-news"))

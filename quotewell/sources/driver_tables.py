@@ -79,8 +79,9 @@ def trades(spark: SparkSession, sf_dir: str, symbol: str) -> DataFrame:
 
 
 def _daily(traded: DataFrame, by: Sequence[str] = ("symbol", "date")) -> DataFrame:
-    # Trades of one day carry the same time; order and line number say which came first.
-    order = numeric_order("trade_time", ("l_orderkey", 18), ("l_linenumber", 2))
+    # Trades of one day carry the same time; order, line and part say which came first, then the price in cents.
+    day, cents = F.unix_date(F.to_date("trade_time")), F.least(F.round(F.col("price") * 100), F.lit(999_999))
+    order = numeric_order((day, 5), ("l_orderkey", 13), ("l_linenumber", 1), ("l_partkey", 11), (cents, 6))
     return daily_ohlcv(traded, by=by, ties=order)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -13,6 +14,21 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def table_so_far(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A stored table of known schema; without rows as long as nothing has been written to it."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def table_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A table that a stream writes, as a stream; the folder may still be empty."""
+    return spark.readStream.schema(schema).parquet(path)
+
+
 def read_json_inferred(spark: SparkSession, path: str) -> DataFrame:
     """Landed JSON with its schema inferred; for looking at a folder, not for jobs."""
     return spark.read.json(path)

@@ -208,8 +208,9 @@ def plain_ranks(df):
     return df.withColumns({"rank": F.rank().over(group.orderBy(F.desc_nulls_last("v"))).cast("bigint"), "size": F.count("*").over(group)})
 
 
-def test_ranking_equals_window(spark):
-    """Half the rows tie, values span many magnitudes or lie within 1 %, some are missing or special, one group is hot."""
+@pytest.mark.parametrize("largest", [10**6, 500, 0])
+def test_ranking_equals_window(spark, largest):
+    """With no group cut, some, or all.  Half the rows tie, values span many magnitudes or lie within 1 %, some are missing or special, one group is hot."""
     rng = random.Random(5)
     special = [None, float("nan"), float("inf"), float("-inf"), 0.0, -0.0]
 
@@ -224,7 +225,18 @@ def test_ranking_equals_window(spark):
     rows = [(str(i), rng.choice(["a", "a", "a", "b", None]), i % 2, value(i % 2)) for i in range(4000)]
     df = spark.createDataFrame(rows, "symbol string, sector string, date int, v double").repartition(7)
     plain = plain_ranks(df)
-    assert ranked(rank_within(df, ("sector", "date"), "v").select(*plain.columns)) == ranked(plain)
+    assert ranked(rank_within(df, ("sector", "date"), "v", largest).select(*plain.columns)) == ranked(plain)
+
+
+def test_ranking_spreads_a_hot_group_and_a_hot_value(spark):
+    """A third of the rows of one group tie: they go to many lanes, and no piece holds much of the rest."""
+    df = spark.range(30_000).selectExpr("'a' AS sector", "1 AS date", "if(id % 3 = 0, 5.0, id * 0.001) AS v", "id AS `x.y`", "map('k', id) AS m")
+    found = rank_within(df, ("sector", "date"), "v", largest=1000)
+    assert found.columns == [*df.columns, "rank", "size"]
+    rows = found.select("v", "rank", "size").collect()
+    above = sum(r["v"] > 5.0 for r in rows)
+    assert {r["rank"] for r in rows if r["v"] == 5.0} == {above + 1} and {r["size"] for r in rows} == {30_000}
+    assert sorted(r["rank"] for r in rows if r["v"] > 5.0) == list(range(1, above + 1))
 
 
 def test_ranking_needs_no_job_to_be_planned(spark):
