@@ -102,6 +102,43 @@ def fewest_capacity(classes: list[tuple[int, int]], shards: int) -> list[tuple[i
     return best
 
 
+def levelled(classes: list[tuple[int, int]], shards: int) -> list[tuple[int, int, int]]:
+    """Quotas that always give the largest remaining group to the least loaded shard, a class of equal groups at a time."""
+    loads, quotas = [0] * shards, []
+    for size, count in sorted(classes, reverse=True):
+        room = lambda level: [max(0, (level - load) // size + 1) for load in loads]  # noqa: B023, E731  groups put in while at most at ``level``
+        low, high = -1, max(loads) + size * (count // shards + 1)
+        while low < high:  # the highest level at which there is not room for more than ``count``
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if sum(room(middle)) <= count else (low, middle - 1)
+        placed = room(low)
+        rest = count - sum(placed)
+        for number in sorted(range(shards), key=lambda b: (loads[b] + placed[b] * size, b))[:rest]:
+            placed[number] += 1
+        for number, n in enumerate(placed):
+            if n:
+                loads[number] += n * size
+                quotas.append((size, number, n))
+    return quotas
+
+
+def spread(quotas: list[tuple[int, int, int]], shards: int) -> tuple[int, int]:
+    """(largest load, minus the smallest load): less is nearer to equal."""
+    loads = [0] * shards
+    for size, number, count in quotas:
+        loads[number] += size * count
+    return max(loads), -min(loads)
+
+
+def nearest_equal(classes: list[tuple[int, int]], shards: int) -> list[tuple[int, int, int]]:
+    """Best fit decreasing at the smallest capacity, unless its last shards stay emptier than they need to.
+
+    That happens where a group larger than a share, or few groups, force the
+    capacity up: best fit then fills some shards to it and leaves others empty.
+    """
+    return min(fewest_capacity(classes, shards), levelled(classes, shards), key=lambda quotas: spread(quotas, shards))
+
+
 def size_class(size: Column) -> Column:
     """``size`` rounded up to ``BITS`` significant bits."""
     unit = F.pow(F.lit(2.0), F.greatest(F.lit(0), F.floor(F.log2(size)) - (BITS - 1))).cast("long")
@@ -133,9 +170,10 @@ def shard(docs: DataFrame, shards: int = 24) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot) for each row of ``docs``, with equal texts in one shard.
 
     The size is the text's UTF-8 bytes plus 8; a null text has no bytes, and all
-    null texts are one group, apart from the empty ones.  Bytes of the shards
-    are as near equal as the groups allow; a group larger than a shard's share
-    fills one alone.  Slots are gapless from 0 in each shard.  Repeated rows and
+    null texts are one group, apart from the empty ones.  The largest shard is as
+    small as best fit decreasing gets it, or as giving each group to the least
+    loaded shard does, whichever is nearer to equal; a group larger than a
+    share fills a shard alone and the others share the rest.  Slots are gapless from 0 in each shard.  Repeated rows and
     ids are placed as often as they occur.  An empty table gives no rows.
     """
     rows = stored(
@@ -152,7 +190,7 @@ def shard(docs: DataFrame, shards: int = 24) -> DataFrame:
     groups = rows.groupBy("text_hash").agg(F.sum("size").alias("bytes")).select("text_hash", size_class(F.col("bytes")).alias("size_class"))
     groups = stored(groups, "shard-groups")
     counts = groups.groupBy("size_class").agg(F.count("*").alias("n")).collect()  # bounded by the number of classes
-    quotas = fewest_capacity([(r["size_class"], r["n"]) for r in counts], shards)
+    quotas = nearest_equal([(r["size_class"], r["n"]) for r in counts], shards)
     spans, first = [], {}
     for size, number, count in quotas:
         begin = first.get(size, 0)
