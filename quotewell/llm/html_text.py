@@ -68,7 +68,7 @@ NOT_TEXT = frozenset(
 OUTSIDE = NOT_TEXT | frozenset("header masthead topbar banner alert search side skip".split())
 ROOTS = frozenset("html body main".split())
 #: Pages and share of a host's pages that make a template, what links and blocks count beside words, and weights; see site_templates.
-FEW, MANY, SHARE = 5, 20, 0.3
+FEW, MANY, SHARE, INSIDE = 5, 20, 0.3, 0.05
 STRUCTURE, SMALL, LARGE = 3, 3, 10
 
 
@@ -268,9 +268,9 @@ def site_templates(subtrees: DataFrame) -> DataFrame:
     Outside of articles: on MANY pages, however large the host, or on FEW that
     are SHARE of its pages; a block with over half of the words on most of its
     pages may be an article under changing surroundings and needs the share.
-    Within an article: on MANY pages, and with a weight below LARGE on
-    SHARE of the host's pages too; with a weight below SMALL never, since short
-    lines recur in articles by themselves.
+    Within an article: on MANY pages that are INSIDE of the host's, and with a
+    weight below LARGE on SHARE of them; with a weight below SMALL never, since
+    short lines recur in articles by themselves.
     """
     pages = subtrees.groupBy("host", "main").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("pages"))
     seen = (
@@ -283,7 +283,7 @@ def site_templates(subtrees: DataFrame) -> DataFrame:
         .where(F.col("n") >= FEW)
     )
     n, weight, share = F.col("n"), F.abs("kind") % 100, F.col("n") >= SHARE * F.col("pages")
-    inside = (n >= MANY) & ((weight >= LARGE) | (weight >= SMALL) & share)
+    inside = (n >= MANY) & ((weight >= LARGE) & (n >= INSIDE * F.col("pages")) | (weight >= SMALL) & share)
     outside = share | (n >= MANY) & (2 * F.col("wide") <= n)
     return seen.join(pages, "host").where(F.when(F.col("kind") < 0, inside).otherwise(outside)).select("host", "hash")
 
@@ -296,7 +296,7 @@ def extract(pages: DataFrame) -> DataFrame:
     or not opened are closed or passed over as browsers do.  Other columns are
     left behind.  Blocks outside of articles, and larger ones within, go if
     many pages of the host have them (see ``site_templates``), so a block of ten
-    words that an author repeats in 20 articles of a host is lost as well.
+    words that authors repeat in a twentieth of a host's articles is lost as well.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), "url", host_of(F.col("url")).alias("host"), F.coalesce("html", F.lit("")).alias("html")
