@@ -68,6 +68,73 @@ def polarity_by_table(
     )
 
 
+def _as_words(text: Column) -> Column:
+    """The words of a text with one space between them and at both ends, for finding whole words."""
+    return F.concat(F.lit(" "), F.array_join(F.filter(words(text), lambda w: w != ""), " "), F.lit(" "))
+
+
+def phrases_found(docs: DataFrame, phrases: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, phrase) for each phrase of a table (``phrase``) of any size that occurs in a text as a run of whole words.
+
+    No text is compared with every phrase.  A phrase is looked for where its
+    rarest word is: the words of each text are counted once each, a phrase meets
+    only the texts that hold the word fewest texts have, and only there is the
+    whole run looked for.  Case and what stands between words don't count;
+    phrases that are equal in that sense are one.  ``key`` must tell texts apart.
+    Null and empty texts and phrases match nothing.
+    """
+    listed = phrases.select(F.trim(_as_words(F.col("phrase"))).alias("phrase")).where("phrase <> ''").distinct()
+    parts = listed.select("phrase", F.explode(F.array_distinct(F.split("phrase", " "))).alias("word"))
+    held = docs.select(key, F.explode(F.array_distinct(words(F.col(text)))).alias("word")).where("word <> ''")
+    asked = held.join(parts.select("word").distinct(), "word", "left_semi")
+    common = asked.groupBy("word").agg(F.count("*").alias("_texts"))
+    complete = parts.join(common, "word", "left").groupBy("phrase").agg(F.min(F.coalesce("_texts", F.lit(0))).alias("_texts"))
+    # among words that are equally rare any will do; the hash makes it one
+    rarest = (
+        parts.join(common, "word")
+        .join(complete.where("_texts > 0"), ["phrase", "_texts"])
+        .groupBy("phrase")
+        .agg(F.min(F.xxhash64("word")).alias("_block"))
+    )
+    candidates = asked.withColumn("_block", F.xxhash64("word")).join(rarest, "_block").select(key, "phrase").distinct()
+    whole = docs.select(key, _as_words(F.col(text)).alias("_text"))
+    there = F.contains("_text", F.concat(F.lit(" "), F.col("phrase"), F.lit(" ")))
+    return candidates.join(whole, key).where(there).select(key, "phrase")
+
+
+def boost_by_table(
+    docs: DataFrame, phrases: DataFrame, text: str = "text", key: str = "doc_id", limit: float = MOST_BOOST
+) -> DataFrame:
+    """(key, boost, phrases): the weights of the phrases of a table (``phrase, weight``) found in each text, within ``limit``, and their number.
+
+    The weights of phrases that differ only in case or in what stands between
+    their words add up.  Texts without a phrase have 0.
+    """
+    weights = (
+        phrases.select(F.trim(_as_words(F.col("phrase"))).alias("phrase"), "weight").groupBy("phrase").agg(F.sum("weight").alias("weight"))
+    )
+    found = phrases_found(docs, phrases, text, key).join(weights, "phrase")
+    sums = found.groupBy(key).agg(F.sum("weight").alias("_boost"), F.count("*").alias("_phrases"))
+    return (
+        docs.select(key)
+        .join(sums, key, "left")
+        .select(
+            key,
+            clamp(F.coalesce("_boost", F.lit(0.0)), -limit, limit).alias("boost"),
+            F.coalesce("_phrases", F.lit(0)).cast("long").alias("phrases"),
+        )
+    )
+
+
+def dampen_by_table(
+    scored: DataFrame, phrases: DataFrame, score: str = "score", text: str = "text", key: str = "doc_id", factor: float = DAMPED
+) -> DataFrame:
+    """(key, score), scaled down where the text holds any phrase of a table (``phrase``) as a run of whole words."""
+    found = phrases_found(scored, phrases, text, key).select(key).distinct().withColumn("_held", F.lit(True))
+    scaled = F.when(F.col("_held"), F.col(score) * factor).otherwise(F.col(score))
+    return scored.select(key, score).join(found, key, "left").select(key, scaled.alias(score))
+
+
 def score_articles(
     articles: DataFrame,
     lexicon: Lexicon = LEXICON,

@@ -441,6 +441,26 @@ ORACLE_SQL["polarity_by_table"] = _sql(
     _stats("stats", "documents", "text"),
 )
 
+_WORDS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}'']+'), lambda x: x <> '')"
+PHRASES = f"""
+item_words AS (SELECT {_WORDS} AS w FROM benchmark),
+phrases AS (
+  SELECT DISTINCT phrase, (length(phrase) % 7 - 3) / 100.0 AS weight FROM (
+    SELECT array_to_string(w[i:i + n - 1], ' ') AS phrase
+    FROM (SELECT w, n, unnest(range(1, len(w) - n + 2)) AS i FROM item_words, (SELECT unnest([2, 3]) AS n)))),
+spaced AS (SELECT doc_id, n_chars, ' ' || array_to_string({_WORDS}, ' ') || ' ' AS t FROM documents),
+hits AS (SELECT doc_id, phrase, weight FROM spaced, phrases WHERE contains(t, ' ' || phrase || ' '))"""
+ORACLE_SQL["boost_by_table"] = _sql(
+    """SELECT doc_id, round(least(greatest(coalesce(sum(weight), 0), -0.5), 0.5), 6) AS boost, count(phrase) AS phrases
+    FROM documents LEFT JOIN hits USING (doc_id) GROUP BY doc_id""",
+    PHRASES,
+)
+ORACLE_SQL["dampen_by_table"] = _sql(
+    """SELECT doc_id, round(n_chars / 1000.0 * CASE WHEN doc_id IN (SELECT doc_id FROM hits WHERE length(phrase) > 20)
+    THEN 0.3 ELSE 1 END, 6) AS score FROM documents""",
+    PHRASES,
+)
+
 CLEANED = f"""
 cleaned AS (SELECT *, trim(head || '. ' || body, '. ') AS joined FROM (
   SELECT *, {_clean('headline')} AS head, {_clean('summary')} AS body FROM news))"""

@@ -385,6 +385,31 @@ def polarity_by_table(spark, sf_dir):
     return rounded(news.polarity_by_table(src.given(spark, sf_dir, "documents", pieces(spark)), lexicon), "model_a", "model_b")
 
 
+def _benchmark_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All runs of two and three words of the benchmark's items, thousands, weighted by their length."""
+    items = src.given(spark, sf_dir, "benchmark").select(F.filter(text.words(F.col("text")), lambda w: w != "").alias("w"))
+
+    def runs(n: int) -> DataFrame:
+        begins = F.sequence(F.lit(1), F.size("w") - (n - 1))
+        return items.where(F.size("w") >= n).select(F.explode(F.transform(begins, lambda i: F.array_join(F.slice("w", i, n), " "))).alias("phrase"))
+
+    return runs(2).unionAll(runs(3)).distinct().withColumn("weight", (F.length("phrase") % 7 - 3) / 100.0)
+
+
+@query
+def boost_by_table(spark, sf_dir):
+    """Boosts for a table of thousands of phrases, each looked for where its rarest word is."""
+    docs = src.given(spark, sf_dir, "documents", pieces(spark))
+    return rounded(news.boost_by_table(docs, _benchmark_phrases(spark, sf_dir)), "boost", digits=6)
+
+
+@query
+def dampen_by_table(spark, sf_dir):
+    """Scores scaled down where a text holds one of the longer phrases of the table."""
+    docs = src.given(spark, sf_dir, "documents", pieces(spark)).withColumn("score", F.col("n_chars") / 1000.0)
+    return rounded(news.dampen_by_table(docs, _benchmark_phrases(spark, sf_dir).where("length(phrase) > 20")), "score", digits=6)
+
+
 @query
 def score_article(spark, sf_dir):
     scored = news.score_articles(src.raw_news(spark, sf_dir, pieces(spark)), LEXICON, BOOSTS, DAMPENERS)

@@ -59,6 +59,14 @@ def test_no_shuffle_on_bucketed_bars(spark, stored, tmp_path):
         spark.sql("DROP TABLE bucketed_bars")
 
 
+def test_ranking_shuffles_its_rows_once(spark, stored):
+    """Beside the count per group; nothing of what large groups need is left where there are none."""
+    ranked = windows.sector_rankings(stored)
+    ranked.collect()
+    final = plan(ranked).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"Exchange (?:hash|range)partitioning", final)) == 1 and "Join" not in final
+
+
 def test_scans_read_only_what_is_needed(stored):
     (schema,) = set(re.findall(r"ReadSchema: struct<([^>]*)>", plan(indicators.rsi(stored))))
     assert {c.split(":")[0] for c in schema.split(",")} == {"symbol", "date", "day_close"}

@@ -156,3 +156,28 @@ def test_lexicon_table_equals_literal(spark):
         return [(r.doc_id, round(r.model_a, 9), round(r.model_b, 9)) for r in df.orderBy("doc_id").collect()]
 
     assert rounded(news.polarity(docs)) == rounded(news.polarity_by_table(docs, table))
+
+
+def test_phrase_table_finds_whole_words_anywhere(spark):
+    docs = spark.createDataFrame(
+        [(1, "Shares rally, and rally on. Guidance cut!"), (2, "No guidance: cutters only"), (3, None), (4, ""), (5, "rally " * 50), (6, "and on")],
+        "doc_id int, text string",
+    )
+    rows = [("Guidance  cut", -0.2), ("guidance cut", -0.05), ("rally and", 0.1), ("RALLY", 0.02), ("shares on", 9.0), ("", 1.0), (None, 1.0), ("absent rally", 1.0)]
+    phrases = spark.createDataFrame(rows, "phrase string, weight double")
+    found = {(r.doc_id, r.phrase) for r in news.phrases_found(docs, phrases).collect()}
+    assert found == {(1, "guidance cut"), (1, "rally and"), (1, "rally"), (5, "rally")}
+    boosts = {r.doc_id: (round(r.boost, 9), r.phrases) for r in news.boost_by_table(docs, phrases).collect()}
+    assert boosts == {1: (-0.13, 3), 2: (0.0, 0), 3: (0.0, 0), 4: (0.0, 0), 5: (0.02, 1), 6: (0.0, 0)}
+    scored = docs.withColumn("score", F.lit(1.0))
+    damped = {r.doc_id: r.score for r in news.dampen_by_table(scored, phrases.where("weight < 0"), factor=0.5).collect()}
+    assert damped == {1: 0.5, 2: 1.0, 3: 1.0, 4: 1.0, 5: 1.0, 6: 1.0}
+
+
+def test_phrase_table_equals_a_plain_search(spark):
+    rng = random.Random(6)
+    some = "a b c d e f gg hh".split()
+    texts = [(k, " ".join(rng.choices(some, k=rng.randint(0, 30)))) for k in range(80)]
+    listed = sorted({" ".join(rng.choices(some, k=rng.randint(1, 4))) for _ in range(300)})
+    found = news.phrases_found(spark.createDataFrame(texts, "doc_id int, text string"), spark.createDataFrame([(p,) for p in listed], "phrase string"))
+    assert sorted(map(tuple, found.collect())) == sorted((k, p) for k, t in texts for p in listed if f" {p} " in f" {t} ")
