@@ -1,8 +1,10 @@
 """Removal of repeated runs of sentences across all documents.
 
 From every sentence on, the shortest run of at least two sentences and twenty
-words is hashed.  Spark finds for each hash the first run of all documents; the
-sentences that any other run covers are removed.  A sentence longer than twenty
+words is hashed.  Spark counts halves of the hashes; those that occur twice go
+into a map of fixed size, and only runs in the map are shuffled with their
+places.  Of these it finds for each whole hash the first run of all documents;
+the sentences that any other run covers are removed.  A sentence longer than twenty
 words counts as several, so that a text without marks has runs as well.  It is
 cut where its words say so, wherever the sentence began: before a word whose
 hash, taken with the word before, is the least of eight neighbours.  Pieces have
@@ -14,19 +16,24 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotewell.llm.common import in_slices, texts
+from quotewell.llm.bits import bit_words, has_bit
+from quotewell.llm.common import in_slices, stored, texts
 
 MIN_SENTENCES, MIN_WORDS = 2, 20
 #: Of so many neighbouring places in a long sentence, the one with the least hash is a cut.
 NEIGHBOURS = 8
 MAX_SEEN = 300_000
+#: Bits of the map of half hashes that occur twice (16 MB); a fuller map only lets more runs through.
+MAP_BITS = 27
 SENTENCE = re.compile(r"(?:[^.!?\n]+|[.!?]+(?![.!?\s]))*(?:[.!?]+(?=\s|\Z))?\s*")
 WORD = re.compile(r"\S+")
 RUNS = "low long, high long, doc_id long, doc_hash long, position int"
@@ -96,22 +103,70 @@ def run_ends(found: list[tuple[int, str, int]]) -> list[int]:
     return ends
 
 
-def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, doc_hash) to one row for each run."""
+def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text, doc_hash) to (doc_id, doc_hash, runs): 128-bit hashes of the runs by sentence, zero where none starts."""
     for batch in in_slices(batches):
-        rows: list[tuple[int, int, int | None, int, int]] = []
-        for doc_id, text, doc_hash in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        packed = []
+        for text in batch.column(1).to_pylist():
             found = sentences(text)
-            for i, end in enumerate(run_ends(found)):
-                if end:
-                    h = xxhash.xxh3_128_intdigest("\n".join([s for _, s, _ in found[i:end]]))
-                    rows.append((h & 0x7FFFFFFFFFFFFFFF, h >> 65, doc_id, doc_hash, i))
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
-        columns = list(zip(*rows)) or [()] * 5
-        yield from in_slices(
-            iter([pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["low", "high", "doc_id", "doc_hash", "position"])]),
-            10_000,
-        )
+            hashes = [
+                xxhash.xxh3_128_digest("\n".join([s for _, s, _ in found[i:end]])) if end else b"\0" * 16 for i, end in enumerate(run_ends(found))
+            ]
+            packed.append(b"".join(hashes))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(packed, pa.binary())], names=["doc_id", "doc_hash", "runs"])
+
+
+def of_batch(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, position, hash as two numbers) of all runs of a batch of ``parsed`` rows."""
+    packed = batch.column(2).to_pylist()
+    sizes = np.fromiter((len(p) // 16 for p in packed), np.int64, len(packed))
+    hashes = np.frombuffer(b"".join(packed), np.uint64).reshape(-1, 2)
+    rows = np.repeat(np.arange(len(packed)), sizes)
+    positions = np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    there = hashes.any(1)
+    return rows[there], positions[there], hashes[there]
+
+
+def half_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial counts (low, n) of the runs by one half of their hash, of which nothing else is shuffled."""
+    held: list[np.ndarray] = []
+
+    def counted() -> Iterator[pa.RecordBatch]:
+        low, n = np.unique(np.concatenate(held), return_counts=True)
+        held.clear()
+        for at in range(0, len(low), 100_000):
+            part = slice(at, at + 100_000)
+            yield pa.RecordBatch.from_arrays([pa.array(low[part].view(np.int64)), pa.array(n[part], pa.int64())], names=["low", "n"])
+
+    for batch in in_slices(batches):
+        held.append(of_batch(batch)[2][:, 0])
+        if sum(map(len, held)) > 1 << 20:
+            yield from counted()
+    if held:
+        yield from counted()
+
+
+@dataclass(frozen=True)
+class Repeated:
+    """``parsed`` rows to one row for each run whose half hash is in the map of those that occur twice."""
+
+    twice: Broadcast
+    bits: int
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches):
+            rows, positions, hashes = of_batch(batch)
+            kept = has_bit(self.twice.value, hashes[:, 0] & np.uint64((1 << self.bits) - 1))
+            rows, positions, hashes = rows[kept], positions[kept], hashes[kept]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(pa.array(np.ascontiguousarray(hashes[:, k]).view(np.int64)) for k in (0, 1)),
+                    batch.column(0).take(pa.array(rows)),
+                    batch.column(1).take(pa.array(rows)),
+                    pa.array(positions, pa.int32()),
+                ],
+                names=["low", "high", "doc_id", "doc_hash", "position"],
+            )
 
 
 def rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,8 +199,14 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     document, treated alike.  Null and empty texts stay empty.  Texts are read
     whole, whatever their length; other columns are left behind.
     """
+    spark = docs.sparkSession
     rows = texts(docs).withColumn("doc_hash", F.xxhash64("text"))
-    found = rows.mapInArrow(runs, RUNS)
+    cut = stored(rows.mapInArrow(parsed, "doc_id long, doc_hash long, runs binary"), "runs")
+    halves = cut.mapInArrow(half_counts, "low long, n long").groupBy("low").agg(F.sum("n").alias("n")).where("n > 1")
+    places = halves.select(F.col("low").bitwiseAND(F.lit((1 << MAP_BITS) - 1)).alias("p"))
+    twice = spark.sparkContext.broadcast(bit_words(places, 1 << (MAP_BITS - 6)))
+    found = stored(cut.mapInArrow(Repeated(twice, MAP_BITS), RUNS), "repeated-runs")
+    twice.destroy()
     place = F.struct("doc_id", "doc_hash", "position")
     first = (
         found.groupBy("low", "high")
@@ -153,8 +214,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         .where("n > 1")
         .select("low", "high", "first")
     )
+    first = stored(first, "first-runs")  # a join of two shuffles of their own, of which a hot run's can be split
     later = (
-        found.join(first, ["low", "high"])
+        found.join(first.hint("merge"), ["low", "high"])
         .where(~place.eqNullSafe(F.col("first")))
         .groupBy(F.col("doc_id").alias("of_id"), F.col("doc_hash").alias("of_hash"))
         .agg(F.collect_set("position").alias("starts"))

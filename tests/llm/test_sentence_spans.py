@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from quotewell.llm import sentence_spans
 from tests.llm.samples import docs_of, odd_texts, prose
 
@@ -20,7 +22,10 @@ def brute(rows):
     return removed
 
 
-def test_like_brute_force(spark):
+@pytest.mark.parametrize("bits", [27, 6])
+def test_like_brute_force(spark, bits, monkeypatch):
+    """Also with a map so small that it lets every run through."""
+    monkeypatch.setattr(sentence_spans, "MAP_BITS", bits)
     passage = prose(50, 60)
     rows = odd_texts() + [(20, prose(21, 30) + "\n" + passage + "\n" + prose(22, 30)), (21, passage), (22, prose(23, 45) + "\n" + passage)]
     docs = docs_of(spark, rows)
