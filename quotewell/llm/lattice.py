@@ -27,7 +27,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotewell.llm.common import in_slices, stored
-from quotewell.llm.shingles import blank_words
 
 #: Tokens and documents in a block; a posting packs the document's place in it and up to 4095 occurrences.
 BLOCK_TOKENS, BLOCK_DOCS = 8_000_000, 1 << 20
@@ -62,7 +61,7 @@ class Postings:
         block = Block(number, self.classes)
         for batch in in_slices(batches):
             for doc_id, held_out, kind, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                block.add(doc_id, held_out, kind, blank_words(text))
+                block.add(doc_id, held_out, kind, words_of(text))
                 if block.tokens >= BLOCK_TOKENS or len(block.docs) >= BLOCK_DOCS:
                     yield from block.rows()
                     number += 1
@@ -71,14 +70,19 @@ class Postings:
             yield from block.rows()
 
 
+def words_of(text: str) -> list[bytes]:
+    """Words between ASCII white space in UTF-8, A to Z in lower case: bytes.split() takes just these characters for white space."""
+    return text.encode().translate(LOWER_BYTES).split()
+
+
 class Block:
     def __init__(self, number: int, classes: int) -> None:
         self.number, self.classes, self.tokens = number, classes, 0
-        self.ids: dict[str, int] = {}
+        self.ids: dict[bytes, int] = {}
         self.docs: list[tuple[int | None, bool, int, int]] = []
         self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def add(self, doc_id: int | None, held_out: bool, kind: int, words: list[str]) -> None:
+    def add(self, doc_id: int | None, held_out: bool, kind: int, words: list[bytes]) -> None:
         ids, place = self.ids, len(self.docs)
         counts = Counter(words)
         word = np.fromiter([ids.setdefault(w, len(ids)) for w in counts], np.int64, len(counts))
@@ -136,6 +140,15 @@ class PieceCounts:
         )
 
 
+LOWER_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
+NO_PIECE = -1  # never a log probability: an integer, told apart by identity
+
+
+def with_beginnings(pieces: dict[str, float]) -> dict[str, float | None]:
+    beginnings = {p[:k]: None for p in pieces for k in range(1, len(p))}
+    return beginnings | pieces
+
+
 @dataclass(frozen=True)
 class Lattice:
     """Log probabilities of pieces that begin and that go on a word, of single bytes, of going on and of stopping."""
@@ -144,6 +157,13 @@ class Lattice:
     inner: dict[str, float]
     byte: tuple[float, ...]
     stop: float
+    #: The same with the beginnings of pieces, at None, so that a walk along a word ends where no piece goes on.
+    walk: dict[str, float | None] = field(init=False, repr=False)
+    begin_walk: dict[str, float | None] = field(init=False, repr=False)
+
+    def __post_init__(self) -> None:
+        object.__setattr__(self, "walk", with_beginnings(self.inner))
+        object.__setattr__(self, "begin_walk", with_beginnings(self.begin))
 
     @staticmethod
     def of(pieces: list[str], counts: dict[str, int], words: int, smooth: float = 0.01) -> Lattice:
@@ -164,26 +184,33 @@ class Lattice:
 
     def log_probability(self, word: str) -> float:
         """Natural log of the sum over all segmentations of ``word``."""
-        n, inner, begin = len(word), self.inner, self.begin
+        n, walk = len(word), self.walk
         incoming: list[list[float]] = [[] for _ in range(n + 1)]
-        incoming[0].append(begin[""])
+        incoming[0].append(self.begin[""])
         for k in range(1, min(n, MAX_PIECE) + 1):
-            score = begin.get(word[:k])
+            score = self.begin_walk.get(word[:k], NO_PIECE)
+            if score is NO_PIECE:
+                break
             if score is not None:
                 incoming[k].append(score)
         for i in range(n):
             ways = incoming[i]
+            if not ways:
+                continue
             if len(ways) == 1:
                 here = ways[0]
+            elif len(ways) == 2:
+                here = max(ways) + math.log1p(math.exp(-abs(ways[0] - ways[1])))
             else:
                 top = max(ways)
                 here = top + math.log(sum([math.exp(w - top) for w in ways]))
-            incoming[i] = []
-            single = word[i]
-            if single not in inner:
-                incoming[i + 1].append(here + sum([self.byte[b] for b in single.encode("utf-8", "surrogatepass")]))
+            single = walk.get(word[i])
+            if single is None or single is NO_PIECE:
+                incoming[i + 1].append(here + sum([self.byte[b] for b in word[i].encode("utf-8", "surrogatepass")]))
             for k in range(i + 1, min(n, i + MAX_PIECE) + 1):
-                score = inner.get(word[i:k])
+                score = walk.get(word[i:k], NO_PIECE)
+                if score is NO_PIECE:
+                    break
                 if score is not None:
                     incoming[k].append(here + score)
         top = max(incoming[n])
