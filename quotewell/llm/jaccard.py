@@ -6,21 +6,26 @@ long as the set may have shingles outside the other plus l, share at least l
 shingles.  So all but l - 1 of a prefix's shingles suffice as keys, and the most
 frequent ones can be left out.
 
-Everyone starts with a small l.  A document whose keys would meet more than
-``COST`` others is not probed; its prefix is lengthened and more of it left out,
-at the cost of more shared shingles asked for, up to the whole set ordered by
-frequency.  A cheap document is probed against all documents of its level, so
-each pair is found at the level of the cheaper one, and no key that is probed
-has more than ``COST`` + 1 documents.
-
-What is dear to the end belongs to families of near copies.  There every key's
-documents are first compared with one document of another component, twice; only
-pairs across the components that are left are then compared one by one.
+Everyone starts with a small l and one shared key.  A document whose keys would
+yield more than ``COST`` candidates is not probed; its prefix is lengthened and
+more shared keys are asked for before a pair is verified, up to the whole set
+ordered by frequency.  With k shared keys asked for, the candidates are
+estimated as the meetings of the keys over k.  A cheap document is probed against
+all documents of its level, so each pair is found at the level of the cheaper one,
+and no key that is probed has more than ``COST`` * k + 1 documents.
+
+What is dear to the end belongs to families of near copies, or to documents that
+are mostly one passage.  There every key's documents are first compared with one
+document of another component, twice.  Those left are then described by their
+differences from their key's most typical set, the pivot: two sets differ exactly
+by where their differences differ, so sets that aren't both linked with the pivot
+need common differences, the more the larger their differences are.  The same
+prefixes over differences, which are few and mostly rare, give the pairs that are
+left; a set whose rare differences alone forbid any link meets nobody.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,14 +42,15 @@ from quotewell.llm.shingles import WordHashes, blank_words, shingle_hashes
 
 #: Candidates a document may have at a level before its prefix is lengthened.
 COST = 64
-#: Shingles to be shared at each level, as parts of the set; 1.0 stands for the whole set.
-START, LEVELS = 0.04, (1.0,)
+#: Shingles the prefixes share at each level, as parts of the set (1.0: the whole set), and shared keys asked for.
+START, LEVELS = 0.04, ((0.2, 2), (1.0, 4))
 #: Bits of the map that tells which texts' whole sets are wanted; its size is fixed.
 MAP_BITS = 24
 SKETCH_BITS = 1024
 #: Rounds in which large families are joined before pairs are compared.
 STAR_ROUNDS = 2
-SET = ("sid", "n", "m")
+#: Common differences asked for before two sets of a family are compared, where a link takes so many.
+DIFFERENCES = 4
 
 
 @dataclass(frozen=True)
@@ -81,6 +87,12 @@ class Rule:
         smallest = self.least_of(n)
         return self.prefix_of(n, part) - (self.prefix_of(smallest, part) - smallest + self.least_of(smallest)) + 1
 
+    def share_of(self, n: Column, part: float, most: int) -> Column:
+        """How many keys a linked set shares at least, up to ``most``, where so many more of them are kept."""
+        smallest = self.least_of(n)
+        held = smallest if part >= 1 else self.prefix_of(smallest, part) - smallest + self.least_of(smallest)
+        return F.greatest(F.lit(1), F.least(F.lit(most), held)).cast("long")
+
     def least_of(self, n: Column) -> Column:
         """How many shingles a set that links has at least."""
         return F.floor((self.percent * n + 99) / 100)
@@ -191,11 +203,13 @@ class Linked:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def keys_of(prefixes: DataFrame, rule: Rule, part: float) -> DataFrame:
-    """(sid, n, m, token, df, cost) of the keys that more than one set has, for (sid, n, prefix): the rarest of the prefix.
+def keys_of(prefixes: DataFrame, rule: Rule, part: float, share: int) -> DataFrame:
+    """(sid, n, m, share, token, df, cost, one) of the keys that more than one set has, for (sid, n, prefix): the rarest of the prefix.
 
-    m is how many of the set's n shingles another set may have at all, cost how
-    many other sets its keys meet.
+    m is how many of the set's n shingles another set may have at all, share how
+    many keys two linked sets have in common (the less of theirs, at most
+    ``share``), cost how many candidates are to be expected.  Where one common key
+    is to do, the rows with ``one`` suffice.
     """
     tokens = prefixes.select("sid", "n", F.explode("prefix").alias("token"))
     common = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
@@ -206,10 +220,12 @@ def keys_of(prefixes: DataFrame, rule: Rule, part: float) -> DataFrame:
         tokens.join(common.hint("merge"), "token")
         .withColumn("rank", F.row_number().over(mine.orderBy("df", "token")))
         .withColumn("shared", F.count("*").over(mine))
-        .withColumn("key", F.col("rank") <= rule.keys_of(F.col("n"), part) - alone)
-        .withColumn("cost", F.sum(F.when(F.col("key"), F.col("df") - 1)).over(mine))
+        .withColumn("share", rule.share_of(F.col("n"), part, share))
+        .withColumn("spare", F.col("rank") - rule.keys_of(F.col("n"), part) + alone)
+        .withColumn("key", F.col("spare") < F.col("share"))
+        .withColumn("cost", F.sum(F.when(F.col("key"), F.col("df") - 1)).over(mine) / F.col("share"))
     )
-    return ranked.where("key").select("sid", "n", (F.col("n") - alone).alias("m"), "token", "df", "cost")
+    return ranked.where("key").select("sid", "n", (F.col("n") - alone).alias("m"), "share", "token", "df", "cost", (F.col("spare") <= 0).alias("one"))
 
 
 def may_link(rule: Rule) -> Column:
@@ -219,20 +235,37 @@ def may_link(rule: Rule) -> Column:
     return sizes & enough & (F.col("a.sid") != F.col("b.sid"))
 
 
-def as_pairs(met: DataFrame, rule: Rule) -> DataFrame:
+def may_share(rule: Rule) -> Column:
+    """Whether columns a and b (sid, excess, shared) can have as many common differences as a link takes."""
+    most = 2 * (100 + rule.percent) * F.least("a.shared", "b.shared")
+    return (most >= F.col("a.excess") + F.col("b.excess")) & (F.col("a.sid") != F.col("b.sid"))
+
+
+def as_pairs(met: DataFrame, fits: Column) -> DataFrame:
     """(a, b), the smaller first, of the rows with structs a and b that may link."""
-    return met.where(may_link(rule)).select(F.least("a.sid", "b.sid").alias("a"), F.greatest("a.sid", "b.sid").alias("b"))
+    return met.where(fits).select(F.least("a.sid", "b.sid").alias("a"), F.greatest("a.sid", "b.sid").alias("b"))
+
 
+def set_of(name: str, *columns: str) -> Column:
+    return F.struct("sid", *columns).alias(name)
 
-def set_of(name: str, *more: str) -> Column:
-    return F.struct("sid", "n", "m", *more).alias(name)
+
+def counted(met: DataFrame, fits: Column) -> DataFrame:
+    """(a, b) of the pairs in ``met`` (structs a and b with share, one row for each common key) with as many common keys as both ask for."""
+    pairs = met.where(fits).select(
+        F.least("a.sid", "b.sid").alias("a"), F.greatest("a.sid", "b.sid").alias("b"), F.least("a.share", "b.share").alias("share"), "token"
+    )
+    # a pair of two cheap sets is met from both sides
+    return pairs.distinct().groupBy("a", "b").agg(F.count("*").alias("common"), F.min("share").alias("share")).where("common >= share").select("a", "b")
 
 
-def probed(keys: DataFrame, rule: Rule, cost: int) -> tuple[DataFrame, DataFrame]:
+def probed(keys: DataFrame, rule: Rule, cost: int, share: int) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) of the cheap sets with all of the level, and the sids of the dear ones."""
-    few = keys.where(F.col("df") <= cost + 1)
-    met = few.where(F.col("cost") <= cost).select("token", set_of("a")).join(few.select("token", set_of("b")), "token")
-    return as_pairs(met, rule).distinct(), keys.where(F.col("cost") > cost).select("sid").distinct()
+    few = keys.where(F.col("df") <= cost * share + 1)
+    side = lambda s: set_of(s, "n", "m", "share")
+    met = few.where(F.col("cost") <= cost).select("token", side("a")).join(few.select("token", side("b")), "token")
+    pairs = as_pairs(met, may_link(rule)).distinct() if share == 1 else counted(met, may_link(rule))
+    return pairs, keys.where(F.col("cost") > cost).select("sid").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -252,46 +285,124 @@ def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
-def families(keys: DataFrame, sets: DataFrame, edges: DataFrame, rule: Rule) -> DataFrame:
-    """All edges, with the links among the sets of ``keys`` (token, sid, n, m) that join two components.
+def open_keys(keys: DataFrame, edges: DataFrame, typical: Column, columns: tuple[str, ...]) -> DataFrame:
+    """The rows of ``keys`` (token, sid, columns) whose key is in two components, with theirs and the key's two most typical sets of different ones."""
+    of = components(edges).withColumnRenamed("node", "sid")
+    labelled = stored(keys.join(of, "sid", "left").withColumn("component", F.coalesce("component", "sid")), "labelled")
+    best = F.max(F.struct(typical.alias("typical"), "sid", *columns, "component"))
+    first = labelled.groupBy("token").agg(best.alias("first"))
+    others = labelled.join(first, "token")
+    second = others.where(F.col("component") != F.col("first.component")).groupBy("token").agg(best.alias("second"))
+    return others.join(second, "token")
 
-    A few rounds compare every set with one of another component for each of its
-    keys, which is linear in the keys and joins what is alike.  What is left are
-    pairs across components that share a key; they are compared one by one.
-    """
+
+def with_stars(keys: DataFrame, sets: DataFrame, edges: DataFrame, rule: Rule, typical: Column, columns: tuple[str, ...], fits: Column) -> DataFrame:
+    """All edges, after a few rounds that compare every set with one of another component for each of its keys; linear in the keys."""
     tried = None
-    for last in (*[False] * STAR_ROUNDS, True):
-        of = components(edges).withColumnRenamed("node", "sid")
-        labelled = stored(keys.join(of, "sid", "left").withColumn("component", F.coalesce("component", "sid")), "labelled")
-        # the two most typical sets of a key, in two components: those whose shingles others have most
-        best = F.max(F.struct((F.col("m") / F.col("n")).alias("typical"), *SET, "component"))
-        first = labelled.groupBy("token").agg(best.alias("first"))
-        others = labelled.join(first, "token")
-        second = others.where(F.col("component") != F.col("first.component")).groupBy("token").agg(best.alias("second"))
-        open_rows = others.join(second, "token")
-        if last:
-            met = across(open_rows, rule)
-        else:
-            stars = [
-                open_rows.where(F.col("component") != F.col(f"{star}.component")).select(set_of("a"), F.col(star).alias("b"))
-                for star in ("first", "second")
-            ]
-            met = as_pairs(stars[0].unionAll(stars[1]), rule)
-        met = met.distinct()
+    for _ in range(STAR_ROUNDS):
+        rows = open_keys(keys, edges, typical, columns)
+        stars = [
+            rows.where(F.col("component") != F.col(f"{star}.component")).select(set_of("a", *columns), F.col(star).alias("b"))
+            for star in ("first", "second")
+        ]
+        met = as_pairs(stars[0].unionAll(stars[1]), fits).distinct()
         new = stored(met if tried is None else met.join(tried, ["a", "b"], "left_anti"), "met")
         tried = new if tried is None else tried.unionAll(new)
         edges = edges.unionAll(stored(verified(new, sets, rule), "links"))
     return edges
 
 
-def across(rows: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs (a, b) of different components with a common key, in size bands: sets that link are in one band or in neighbours."""
-    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / rule.percent)).cast("int")
-    rows = rows.select("token", *SET, "component", band.alias("band"))
-    a = rows.select("token", "band", set_of("a", "component"))
-    wide = rows.withColumn("band", F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)))
-    met = a.join(wide.select("token", "band", set_of("b", "component")), ["token", "band"])
-    return as_pairs(met.where((F.col("a.sid") < F.col("b.sid")) & (F.col("a.component") != F.col("b.component"))), rule)
+def families(keys: DataFrame, sets: DataFrame, edges: DataFrame, rule: Rule) -> DataFrame:
+    """All edges, with the links among the sets of ``keys`` (token, sid, n, m) that join two components.
+
+    Rounds of stars join what is alike.  The sets of keys still open are then
+    keyed by their differences from the key's most typical set; once more rounds of
+    stars, and the pairs across components with enough common differences are
+    compared one by one.
+    """
+    typical = F.col("m") / F.col("n")
+    edges = with_stars(keys, sets, edges, rule, typical, ("n", "m"), may_link(rule))
+    rows = open_keys(keys, edges, typical, ("n", "m"))
+    with_pivot = rows.select(F.col("first.sid").alias("pivot"), "sid").where("pivot <> sid").distinct()
+    apart = stored(differences(with_pivot, sets, rule), "apart")
+    edges = edges.unionAll(apart.where("linked").select(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b")))
+    keys = stored(difference_keys(apart, rule), "family")
+    one = keys.where("one").drop("one")
+    edges = with_stars(one, sets, edges, rule, -F.col("excess"), ("excess", "shared"), may_share(rule))
+    # what is left: pairs of different components with as many common keys as both ask for
+    columns = ("excess", "shared", "share")
+    rows = open_keys(keys, edges, -F.col("excess"), columns)
+    least = F.when(F.col("component") != F.col("first.component"), F.col("first.excess")).otherwise(F.col("second.excess"))
+    hopeful = 2 * (100 + rule.percent) * F.col("shared") >= F.col("excess") + least
+    left = stored(rows.where(hopeful).select("token", set_of("a", *columns, "component")), "left")
+    met = left.join(left.select("token", F.col("a").alias("b")), "token")
+    apart_only = (F.col("a.sid") < F.col("b.sid")) & (F.col("a.component") != F.col("b.component"))
+    pairs = stored(counted(met, may_share(rule) & apart_only), "met")
+    return edges.unionAll(stored(verified(pairs, sets, rule), "links"))
+
+
+@dataclass(frozen=True)
+class Differences:
+    """(pivot, sid, shingles of both) to (pivot, sid, excess, linked, size and tokens of the difference)."""
+
+    rule: Rule
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        more, less = 100 + self.rule.percent, 100 - self.rule.percent
+        for batch in in_slices(batches):
+            excess, linked, tokens = [], [], []
+            for p, x in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                p, x = np.frombuffer(p, np.int64), np.frombuffer(x, np.int64)
+                apart = np.setxor1d(p, x, assume_unique=True)
+                excess.append(more * len(apart) - less * len(x))
+                linked.append(excess[-1] <= less * len(p))
+                tokens.append(apart)
+            sizes = pa.array(map(len, tokens), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(excess, pa.int64()), pa.array(linked, pa.bool_()), sizes, pa.array(tokens, pa.list_(pa.int64()))],
+                names=["pivot", "sid", "excess", "linked", "size", "tokens"],
+            )
+
+
+def differences(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """(pivot, sid, excess, linked, size, tokens) for ``pairs`` (pivot, sid).
+
+    With p percent, two sets link if (100 + p) times what they differ by is at
+    most (100 - p) times the sum of their sizes.  ``excess`` is (100 + p) times
+    the difference from the pivot less (100 - p) times the own size, so two sets
+    link exactly if 2 * (100 + p) times their common differences is at least
+    the sum of their excesses.
+    """
+    side = lambda s: sets.select(F.col("sid").alias(s), F.col("shingles").alias(f"of_{s}"))
+    both = pairs.join(side("sid"), "sid").join(side("pivot"), "pivot").select("pivot", "sid", "of_pivot", "of_sid")
+    return both.mapInArrow(Differences(rule), "pivot long, sid long, excess long, linked boolean, size long, tokens array<long>")
+
+
+def difference_keys(apart: DataFrame, rule: Rule) -> DataFrame:
+    """(token, pivot, sid, excess, shared, share, one): the rarest differences of each set, per pivot, as ``keys_of`` gives for shingles.
+
+    Sets whose excesses add up to nothing or less are both linked with the pivot.
+    All others have common differences, at least as many as the excess asks for
+    together with the least excess of the pivot's sets.
+    """
+    key = F.xxhash64("pivot", "token").alias("token")
+    least = apart.groupBy("pivot").agg(F.min("excess").alias("least"))
+    tokens = apart.select("pivot", "sid", "excess", F.explode("tokens").alias("token")).select("pivot", "sid", "excess", key)
+    common = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    mine = Window.partitionBy("pivot", "sid")
+    need = F.greatest(F.lit(1), F.ceil((F.col("excess") + F.col("least")) / (2 * (100 + rule.percent)))).cast("long")
+    ranked = (
+        tokens.join(common.hint("merge"), "token")
+        .withColumn("rank", F.row_number().over(mine.orderBy("df", "token")))
+        .withColumn("shared", F.count("*").over(mine))
+        .join(least, "pivot")
+        .withColumn("need", need)
+        .withColumn("share", F.least(F.lit(DIFFERENCES), F.col("need")))
+        .withColumn("spare", F.col("rank") - (F.col("shared") - F.col("need") + 1))
+    )
+    # fewer common differences than needed: the set links with nobody else of the pivot
+    keys = ranked.where("shared >= need AND spare < share")
+    return keys.select("token", "pivot", "sid", "excess", "shared", "share", (F.col("spare") <= 0).alias("one"))
 
 
 def similarity_components(docs: DataFrame, size: int = 4, percent: int = 85, cost: int = COST) -> DataFrame:
@@ -315,8 +426,8 @@ def similarity_components(docs: DataFrame, size: int = 4, percent: int = 85, cos
     )
     some = base.where("sid IS NOT NULL")
     first = some.select("sid", "n", "prefix").dropDuplicates(["sid"])
-    keys = stored(keys_of(first, rule, START), "keys")
-    pairs, dear = probed(keys, rule, cost)
+    keys = stored(keys_of(first, rule, START, 1), "keys")
+    pairs, dear = probed(keys, rule, cost, 1)
     pairs, dear = stored(pairs, "pairs"), stored(dear, "dear")
 
     named = some.groupBy("sid").agg(F.min(F.struct("doc_id", "doc_hash")).alias("doc"))
@@ -335,15 +446,15 @@ def similarity_components(docs: DataFrame, size: int = 4, percent: int = 85, cos
 
     some_dear = not dear.isEmpty()
     longer = sets.where("dear")
-    for part in LEVELS if some_dear else ():
+    for part, share in LEVELS if some_dear else ():
         prefixes = longer.select("sid", "n", "shingles").mapInArrow(Lengthened(rule, part), "sid long, n long, prefix array<long>")
-        keys = stored(keys_of(prefixes, rule, part), "keys")
-        more, dear = probed(keys, rule, cost)
+        keys = stored(keys_of(prefixes, rule, part, share), "keys")
+        more, dear = probed(keys, rule, cost, share)
         pairs, dear = pairs.unionAll(stored(more, "pairs")), stored(dear, "dear")
         longer = sets.join(dear, "sid", "left_semi")
     edges = stored(verified(pairs.distinct(), sets, rule), "links")
     if some_dear:
-        edges = families(stored(keys.join(dear, "sid", "left_semi").select("token", *SET), "family"), sets, edges, rule)
+        edges = families(stored(keys.where("one").join(dear, "sid", "left_semi").select("token", "sid", "n", "m"), "family"), sets, edges, rule)
 
     of = components(edges).withColumnRenamed("node", "sid")
     least = some.groupBy("sid").agg(F.min("doc_id").alias("least")).join(of, "sid", "left").withColumn("component", F.coalesce("component", "sid"))

@@ -53,6 +53,58 @@ def test_like_brute_force(spark, size, percent):
     assert got == brute(rows, size, percent)
 
 
+def spied(monkeypatch, name):
+    """Counts the rows of the first argument of each call of ``jaccard.<name>``."""
+    counts, real = [], getattr(jaccard, name)
+
+    def spy(rows, *rest):
+        counts.append(rows.where(rest[0]).count() if name == "counted" else rows.count())
+        return real(rows, *rest)
+
+    monkeypatch.setattr(jaccard, name, spy)
+    return counts
+
+
+def test_passage_of_unlinked_documents_is_no_square(spark, monkeypatch):
+    """2,000 documents that are mostly one passage, with no link: pairs met and verified are few."""
+    passage = prose(80, 93)
+    rows = [(k, passage + " " + " ".join(f"own{k}x{j}" for j in range(13))) for k in range(2000)]
+    met, verified = spied(monkeypatch, "counted"), spied(monkeypatch, "verified")
+    out = jaccard.similarity_components(docs_of(spark, rows), 4, 85).collect()
+    assert [r["component_id"] for r in sorted(out)] == list(range(2000))
+    assert sum(met) <= 4000 and sum(verified) <= 8000
+
+
+def test_families_without_their_original(spark, monkeypatch):
+    """Near copies with one to four edits, whose original isn't there, like brute force; pairs are far fewer than all."""
+    base = prose(81, 150)
+    rows = [(k, edited(base, 1 + k % 4, 900 + k)) for k in range(400)]
+    verified = spied(monkeypatch, "verified")
+    out = jaccard.similarity_components(docs_of(spark, rows), 4, 85, cost=8).collect()
+    got = sorted((False, r["doc_id"], r["n_shingles"], False, r["component_id"]) for r in out)
+    assert got == brute(rows, 4, 85)
+    assert sum(verified) < 400 * 399 // 2 // 8
+
+
+def test_differences_say_the_same_as_sets():
+    """Two sets link exactly if their common differences from a third make up for both excesses; else both link with it."""
+    import numpy as np
+
+    rng = random.Random(6)
+    rule = jaccard.Rule(4, 85)
+    for _ in range(2000):
+        p = set(range(rng.randint(1, 90)))
+        a, b = ({x for x in p if rng.random() > 0.06} | set(rng.sample(range(100, 112), rng.randint(0, 5))) for _ in range(2))
+        if not a or not b:
+            continue
+        excess = [185 * len(s ^ p) - 15 * len(s) for s in (a, b)]
+        linked = rule.linked(len(a & b), len(a), len(b))
+        assert linked == (2 * 185 * len((a ^ p) & (b ^ p)) >= sum(excess))
+        if sum(excess) <= 0:
+            assert all(rule.linked(len(s & p), len(s), len(p)) for s in (a, b))
+        assert np.all([(e <= 15 * len(p)) == rule.linked(len(s & p), len(s), len(p)) for e, s in zip(excess, (a, b))])
+
+
 def test_keys_of_linked_sets_always_meet():
     """At every level two sets that link share one of the rarest keys, whatever the frequencies."""
     import numpy as np
@@ -70,7 +122,7 @@ def test_keys_of_linked_sets_always_meet():
         if not rule.linked(len(a & b), len(a), len(b)):
             continue
         frequency = {x: rng.choice([2, 2, 3, 50]) if x in a & b else 1 for x in a | b}
-        for part in (0.0, jaccard.START, 0.2, *jaccard.LEVELS):
+        for part in (0.0, jaccard.START, *(part for part, _ in jaccard.LEVELS)):
             keys = []
             for s in (a, b):
                 prefix = sorted(s)[: rule.prefix(len(s), part)]
