@@ -285,10 +285,25 @@ def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
-def open_keys(keys: DataFrame, edges: DataFrame, typical: Column, columns: tuple[str, ...]) -> DataFrame:
+class Links:
+    """Links found so far, and the component of each linked set; renewed only where there are new links."""
+
+    def __init__(self, edges: DataFrame):
+        self.edges = edges
+        self.of = stored(components(edges).withColumnRenamed("node", "sid"), "components")
+
+    def add(self, new: DataFrame) -> None:
+        if not new.isEmpty():
+            self.__init__(self.edges.unionAll(new))
+
+    def labelled(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (sid) with their component; what has no link is its own."""
+        return rows.join(self.of, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+
+
+def open_keys(keys: DataFrame, links: Links, typical: Column, columns: tuple[str, ...]) -> DataFrame:
     """The rows of ``keys`` (token, sid, columns) whose key is in two components, with theirs and the key's two most typical sets of different ones."""
-    of = components(edges).withColumnRenamed("node", "sid")
-    labelled = stored(keys.join(of, "sid", "left").withColumn("component", F.coalesce("component", "sid")), "labelled")
+    labelled = stored(links.labelled(keys), "labelled")
     best = F.max(F.struct(typical.alias("typical"), "sid", *columns, "component"))
     first = labelled.groupBy("token").agg(best.alias("first"))
     others = labelled.join(first, "token")
@@ -296,49 +311,54 @@ def open_keys(keys: DataFrame, edges: DataFrame, typical: Column, columns: tuple
     return others.join(second, "token")
 
 
-def with_stars(keys: DataFrame, sets: DataFrame, edges: DataFrame, rule: Rule, typical: Column, columns: tuple[str, ...], fits: Column) -> DataFrame:
-    """All edges, after a few rounds that compare every set with one of another component for each of its keys; linear in the keys."""
-    tried = None
-    for _ in range(STAR_ROUNDS):
-        rows = open_keys(keys, edges, typical, columns)
-        stars = [
-            rows.where(F.col("component") != F.col(f"{star}.component")).select(set_of("a", *columns), F.col(star).alias("b"))
-            for star in ("first", "second")
-        ]
-        met = as_pairs(stars[0].unionAll(stars[1]), fits).distinct()
-        new = stored(met if tried is None else met.join(tried, ["a", "b"], "left_anti"), "met")
-        tried = new if tried is None else tried.unionAll(new)
-        edges = edges.unionAll(stored(verified(new, sets, rule), "links"))
-    return edges
+def stars(keys: DataFrame, links: Links, typical: Column, columns: tuple[str, ...], fits: Column) -> DataFrame:
+    """Pairs (a, b) of every set with one of another component for each of its keys; linear in the keys."""
+    rows = open_keys(keys, links, typical, columns)
+    a = [rows.where(F.col("component") != F.col(f"{s}.component")).select(set_of("a", *columns), F.col(s).alias("b")) for s in ("first", "second")]
+    return as_pairs(a[0].unionAll(a[1]), fits).distinct()
 
 
-def families(keys: DataFrame, sets: DataFrame, edges: DataFrame, rule: Rule) -> DataFrame:
-    """All edges, with the links among the sets of ``keys`` (token, sid, n, m) that join two components.
+def families(keys: DataFrame, sets: DataFrame, links: Links, rule: Rule) -> None:
+    """Adds to ``links`` those among the sets of ``keys`` (token, sid, n, m) that join two components.
 
     Rounds of stars join what is alike.  The sets of keys still open are then
-    keyed by their differences from the key's most typical set; once more rounds of
-    stars, and the pairs across components with enough common differences are
+    keyed by their differences from the key's most typical set; once more a round
+    of stars, and the pairs across components with enough common differences are
     compared one by one.
     """
-    typical = F.col("m") / F.col("n")
-    edges = with_stars(keys, sets, edges, rule, typical, ("n", "m"), may_link(rule))
-    rows = open_keys(keys, edges, typical, ("n", "m"))
-    with_pivot = rows.select(F.col("first.sid").alias("pivot"), "sid").where("pivot <> sid").distinct()
-    apart = stored(differences(with_pivot, sets, rule), "apart")
-    edges = edges.unionAll(apart.where("linked").select(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b")))
+
+    def verify(pairs: DataFrame) -> None:
+        if not pairs.isEmpty():
+            links.add(stored(verified(pairs, sets, rule), "links"))
+
+    typical, columns = F.col("m") / F.col("n"), ("n", "m")
+    tried = None
+    for _ in range(STAR_ROUNDS):
+        met = stars(keys, links, typical, columns, may_link(rule))
+        new = stored(met if tried is None else met.join(tried, ["a", "b"], "left_anti"), "met")
+        tried = new if tried is None else tried.unionAll(new)
+        verify(new)
+    rows = open_keys(keys, links, typical, columns).select(F.col("first.sid").alias("pivot"), "sid").where("pivot <> sid")
+    apart = stored(differences(rows.distinct(), sets, rule), "apart")
+    if apart.isEmpty():
+        return
+    # the sets linked with a pivot that isn't in their component yet
+    near = links.labelled(apart.where("linked").select("pivot", "sid"))
+    pivots = links.labelled(near.select(F.col("pivot").alias("sid")).distinct()).select(F.col("sid").alias("pivot"), F.col("component").alias("other"))
+    near = near.join(pivots, "pivot").where("component <> other")
+    links.add(stored(near.select(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b")), "links"))
+
     keys = stored(difference_keys(apart, rule), "family")
-    one = keys.where("one").drop("one")
-    edges = with_stars(one, sets, edges, rule, -F.col("excess"), ("excess", "shared"), may_share(rule))
+    least_apart, columns = -F.col("excess"), ("excess", "shared", "share")
+    verify(stored(stars(keys.where("one").drop("one", "pivot"), links, least_apart, columns, may_share(rule)), "met"))
     # what is left: pairs of different components with as many common keys as both ask for
-    columns = ("excess", "shared", "share")
-    rows = open_keys(keys, edges, -F.col("excess"), columns)
+    rows = open_keys(keys, links, least_apart, columns)
     least = F.when(F.col("component") != F.col("first.component"), F.col("first.excess")).otherwise(F.col("second.excess"))
     hopeful = 2 * (100 + rule.percent) * F.col("shared") >= F.col("excess") + least
     left = stored(rows.where(hopeful).select("token", set_of("a", *columns, "component")), "left")
     met = left.join(left.select("token", F.col("a").alias("b")), "token")
     apart_only = (F.col("a.sid") < F.col("b.sid")) & (F.col("a.component") != F.col("b.component"))
-    pairs = stored(counted(met, may_share(rule) & apart_only), "met")
-    return edges.unionAll(stored(verified(pairs, sets, rule), "links"))
+    verify(stored(counted(met, may_share(rule) & apart_only), "met"))
 
 
 @dataclass(frozen=True)
@@ -452,12 +472,11 @@ def similarity_components(docs: DataFrame, size: int = 4, percent: int = 85, cos
         more, dear = probed(keys, rule, cost, share)
         pairs, dear = pairs.unionAll(stored(more, "pairs")), stored(dear, "dear")
         longer = sets.join(dear, "sid", "left_semi")
-    edges = stored(verified(pairs.distinct(), sets, rule), "links")
+    links = Links(stored(verified(pairs.distinct(), sets, rule), "links"))
     if some_dear:
-        edges = families(stored(keys.where("one").join(dear, "sid", "left_semi").select("token", "sid", "n", "m"), "family"), sets, edges, rule)
+        families(stored(keys.where("one").join(dear, "sid", "left_semi").select("token", "sid", "n", "m"), "family"), sets, links, rule)
 
-    of = components(edges).withColumnRenamed("node", "sid")
-    least = some.groupBy("sid").agg(F.min("doc_id").alias("least")).join(of, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    least = links.labelled(some.groupBy("sid").agg(F.min("doc_id").alias("least")))
     least = stored(least, "sets-of")
     named = least.join(least.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("sid", "component_id")
     return (
