@@ -289,12 +289,15 @@ class Links:
     """Links found so far, and the component of each linked set; renewed only where there are new links."""
 
     def __init__(self, edges: DataFrame):
+        self.renew(edges)
+
+    def renew(self, edges: DataFrame) -> None:
         self.edges = edges
         self.of = stored(components(edges).withColumnRenamed("node", "sid"), "components")
 
     def add(self, new: DataFrame) -> None:
         if not new.isEmpty():
-            self.__init__(self.edges.unionAll(new))
+            self.renew(self.edges.unionAll(new))
 
     def labelled(self, rows: DataFrame) -> DataFrame:
         """``rows`` (sid) with their component; what has no link is its own."""
