@@ -100,6 +100,17 @@ def candles(
     )
 
 
+def candle_bars(candles: DataFrame) -> DataFrame:
+    """Candles under the names that windows and indicators expect of bars; the start of the window is the date."""
+    return candles.select(
+        "symbol",
+        F.lit(None).cast("string").alias("sector"),
+        F.col("candle_start").alias("date"),
+        F.col("close").alias("day_close"),
+        F.col("volume").alias("total_volume"),
+    )
+
+
 def sector_daily(ticks: DataFrame) -> DataFrame:
     """Mean change, volume and number of ticks per sector and date."""
     return (

@@ -3,6 +3,10 @@
 Each indicator is an aggregate over the symbol's bars: positions come from one
 window, and the recurrences are weighted sums (see ``functions.smoothing``), so
 all of them come out of a single aggregation on the window's own partitioning.
+
+With ``width`` (days; see ``operators.pieces``) a series is cut by time and
+handled by many tasks, whatever its length: positions come from counts per
+stretch, and the weighted sums are added up per task before they meet.
 """
 
 from __future__ import annotations
@@ -12,6 +16,7 @@ from pyspark.sql import functions as F
 
 from quotewell.functions.signals import classify_signal
 from quotewell.functions.smoothing import signal_weight, smoothing_weight, span_rate, stable_block
+from quotewell.operators.pieces import located
 from quotewell.operators.windows import by_symbol
 
 
@@ -24,12 +29,14 @@ def series_from_arrays(df: DataFrame, prices: str = "prices") -> DataFrame:
     return df.select("symbol", F.posexplode_outer(prices).alias("date", "day_close"))
 
 
-def positioned(bars: DataFrame, value: str = "day_close") -> DataFrame:
+def positioned(bars: DataFrame, value: str = "day_close", width: float | None = None) -> DataFrame:
     """Bars with zero-based position among those that have a price, their number, the price and its change.
 
     Bars without a price have no position and count for nothing.
     """
     price = F.col(value)
+    if width is not None:
+        return located(bars, width, value).withColumns({"_price": price, "_change": price - F.col("_before")})
     so_far = by_symbol().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = by_symbol().rowsBetween(Window.unboundedPreceding, -1)
     return bars.withColumns(
@@ -104,54 +111,63 @@ def _named(columns: dict[str, Column]) -> list[Column]:
     return [column.alias(name) for name, column in columns.items()]
 
 
-def rsi(bars: DataFrame, period: int = 14) -> DataFrame:
+def rsi(bars: DataFrame, period: int = 14, width: float | None = None) -> DataFrame:
     """Relative strength index; NULL with fewer than ``period + 1`` bars."""
-    parts = positioned(bars).groupBy("symbol").agg(*_named(_rsi_parts(period)))
+    parts = positioned(bars, width=width).groupBy("symbol").agg(*_named(_rsi_parts(period)))
     return parts.select("symbol", _rsi_value().alias("rsi"))
 
 
-def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
+def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, width: float | None = None) -> DataFrame:
     """MACD line, signal line and histogram; NULL with fewer than ``slow`` bars.
 
     While there are too few points for a signal line it equals the MACD line.
     """
-    parts = positioned(bars).groupBy("symbol").agg(*_named(_macd_parts(fast, slow, signal)))
+    parts = positioned(bars, width=width).groupBy("symbol").agg(*_named(_macd_parts(fast, slow, signal)))
     return parts.select("symbol", *_named(_macd_values()))
 
 
-def bollinger(bars: DataFrame, period: int = 20, deviations: float = 2.0) -> DataFrame:
+def bollinger(bars: DataFrame, period: int = 20, deviations: float = 2.0, width: float | None = None) -> DataFrame:
     """Mean of the last bars and bands around it; NULL with fewer than ``period`` bars."""
-    parts = positioned(bars).groupBy("symbol").agg(*_named(_band_parts(period)))
+    parts = positioned(bars, width=width).groupBy("symbol").agg(*_named(_band_parts(period)))
     return parts.select("symbol", *_named(_band_values(deviations)))
 
 
-def ema(bars: DataFrame, period: int, value: str = "day_close") -> DataFrame:
+def _numbered(bars: DataFrame, period: int, value: str, block: int) -> DataFrame:
+    """Bars from the ``period``-th on with number, block and, for the first of them, the mean up to it."""
+    seed = F.avg(value).over(by_symbol().rowsBetween(1 - period, Window.currentRow))
+    number = (F.row_number().over(by_symbol()) - period).alias("_i")
+    numbered = bars.select("symbol", "date", value, number, seed.alias("_mean")).where(F.col("_i") >= 0)
+    return numbered.withColumn("_block", F.floor(F.col("_i") / block))
+
+
+def _numbered_in_pieces(bars: DataFrame, period: int, value: str, block: int, width: float) -> DataFrame:
+    """The same from counts per stretch of time; the mean comes from the ``period`` first rows of each symbol."""
+    placed = located(bars.select("symbol", "date", value), width).withColumn("_i", F.col("_pos") - (period - 1))
+    means = placed.where("_i <= 0").groupBy("_of").agg(F.avg(value).alias("_mean")).withColumn("_block", F.lit(0).cast("long"))
+    numbered = placed.where("_i >= 0").withColumn("_block", F.floor(F.col("_i") / block))
+    return numbered.join(means, ["_of", "_block"], "left").select("symbol", "date", value, "_i", "_mean", "_block")
+
+
+def ema(bars: DataFrame, period: int, value: str = "day_close", width: float | None = None) -> DataFrame:
     """The exponential moving average at every bar from the ``period``-th on.
 
     The running sum is scaled block by block to stay in double precision; what
-    earlier blocks pass on comes from a table of their last values.
+    earlier blocks pass on comes from a table of their last values, which is all
+    of a symbol that one task sees if ``width`` is given.
     """
     rate = span_rate(period)
     keep = F.lit(1.0 - rate)
     block = stable_block(rate)
 
-    seed = F.avg(value).over(by_symbol().rowsBetween(1 - period, Window.currentRow))
-    started = (
-        bars.select(
-            "symbol",
-            "date",
-            value,
-            (F.row_number().over(by_symbol()) - period).alias("_i"),
-            seed.alias("_mean"),
-        )
-        .where(F.col("_i") >= 0)
-        .withColumns(
-            {
-                "_term": F.when(F.col("_i") == 0, F.col("_mean")).otherwise(rate * F.col(value)),
-                "_block": F.floor(F.col("_i") / block),
-                "_in": F.col("_i") % block,
-            }
-        )
+    if width is None:
+        numbered = _numbered(bars, period, value, block)
+    else:
+        numbered = _numbered_in_pieces(bars, period, value, block, width)
+    started = numbered.withColumns(
+        {
+            "_term": F.when(F.col("_i") == 0, F.col("_mean")).otherwise(rate * F.col(value)),
+            "_in": F.col("_i") % block,
+        }
     )
     within = Window.partitionBy("symbol", "_block").orderBy("date")
     scaled = F.sum(F.col("_term") * F.pow(keep, -F.col("_in"))).over(within)
@@ -172,11 +188,11 @@ def ema(bars: DataFrame, period: int, value: str = "day_close") -> DataFrame:
     )
 
 
-def technical_indicators(bars: DataFrame) -> DataFrame:
+def technical_indicators(bars: DataFrame, width: float | None = None) -> DataFrame:
     """All indicators with the latest close, date and sector of each symbol."""
     last = F.struct("date", "sector", "day_close")
     parts = (
-        positioned(bars)
+        positioned(bars, width=width)
         .groupBy("symbol")
         .agg(
             F.max(F.when(F.col("_pos") == F.col("_len") - 1, last)).alias("_last"),
@@ -204,6 +220,6 @@ def with_signal(indicators: DataFrame) -> DataFrame:
     )
 
 
-def market_signals(bars: DataFrame) -> DataFrame:
+def market_signals(bars: DataFrame, width: float | None = None) -> DataFrame:
     """Technical indicators and the trading signal per symbol."""
-    return with_signal(technical_indicators(bars))
+    return with_signal(technical_indicators(bars, width))

@@ -329,6 +329,28 @@ ORACLE_SQL["signal_distribution"] = _sql(
     "SELECT signal, count(*) AS symbol_count FROM signals GROUP BY signal", BARS, *ALL_SIGNALS, recursive=True
 )
 
+# --- Series without a daily bound -------------------------------------------
+
+CANDLE_BARS = """
+bars AS (
+  SELECT symbol, CAST(NULL AS VARCHAR) AS sector, candle_start AS date, close AS day_close, volume AS total_volume,
+         row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY symbol) AS len,
+         close - lag(close) OVER w AS change,
+         coalesce((close - lag(close) OVER w) / nullif(lag(close) OVER w, 0) * 100, 0.0) AS avg_change_pct
+  FROM candles WINDOW w AS (PARTITION BY symbol ORDER BY candle_start))"""
+OF_CANDLES = (RAW, ENRICHED, CANDLES, CANDLE_BARS)
+ORACLE_SQL["candle_averages"] = _sql("SELECT * EXCLUDE (sector) FROM averages", *OF_CANDLES, AVERAGES)
+ORACLE_SQL["candle_spikes"] = _sql("SELECT * EXCLUDE (sector) FROM spikes", *OF_CANDLES, SPIKES)
+ORACLE_SQL["candle_change"] = _sql("SELECT symbol, date, day_close, avg_change_pct FROM bars", *OF_CANDLES)
+ORACLE_SQL["candle_ema"] = _sql(
+    f"""SELECT symbol, date, day_close, {_half_up('ema', 4)} AS ema_12
+    FROM fast JOIN bars USING (symbol, pos)""",
+    *OF_CANDLES,
+    _ema("fast", "bars", "day_close", 0, 12),
+    recursive=True,
+)
+ORACLE_SQL["candle_signals"] = _sql("SELECT * EXCLUDE (sector) FROM signals", *OF_CANDLES, *ALL_SIGNALS, recursive=True)
+
 # --- News -------------------------------------------------------------------
 
 HEADLINE = "split_part(text, chr(10), 1)"

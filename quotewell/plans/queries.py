@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quotewell.functions import text
 from quotewell.functions.signals import volume_category
-from quotewell.operators import bronze, gold, indicators, news, serving, silver, windows
+from quotewell.operators import bronze, gold, indicators, news, pieces, serving, silver, windows
 from quotewell.plans import layers
 from quotewell.plans.parameters import BOOSTS, DAMPENERS, FIRST_SYMBOL, LEXICON, SECOND_SYMBOL
 from quotewell.session import scratch_dir
@@ -57,13 +57,13 @@ def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.valid(enriched_of(spark, sf_dir))
 
 
-def pieces(spark: SparkSession) -> int:
+def spread_over(spark: SparkSession) -> int:
     """Into how many pieces queries deal the text tables, which come as files that cannot be cut."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def scored_news(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return news.news_silver(src.raw_news(spark, sf_dir, pieces(spark)), LEXICON, BOOSTS, DAMPENERS)
+    return news.news_silver(src.raw_news(spark, sf_dir, spread_over(spark)), LEXICON, BOOSTS, DAMPENERS)
 
 
 def articles_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -344,12 +344,53 @@ def market_signals_short(spark, sf_dir):
     return indicators.market_signals(src.part_bars(spark, sf_dir))
 
 
+# --- Series without a daily bound -------------------------------------------
+
+#: Candles are cut into stretches of so many days.
+_WEEK = 7
+
+
+def _candle_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.candle_bars(gold.candles(silver_of(spark, sf_dir)))
+
+
+@query
+def candle_averages(spark, sf_dir):
+    """Moving averages over one-minute candles; 49 rows before each are needed."""
+    averages = pieces.over_blocks(_candle_bars(spark, sf_dir), windows.moving_averages, halo=49, width=_WEEK)
+    return averages.drop("sector")
+
+
+@query
+def candle_spikes(spark, sf_dir):
+    """Volume of one-minute candles against the twenty before."""
+    return pieces.over_blocks(_candle_bars(spark, sf_dir), windows.volume_spikes, halo=20, width=_WEEK).drop("sector")
+
+
+@query
+def candle_change(spark, sf_dir):
+    """Change from candle to candle."""
+    bars = _candle_bars(spark, sf_dir).select("symbol", "date", "day_close")
+    return pieces.over_blocks(bars, windows.daily_change, halo=1, width=_WEEK)
+
+
+@query
+def candle_ema(spark, sf_dir):
+    return rounded(indicators.ema(_candle_bars(spark, sf_dir), 12, width=_WEEK), "ema_12", digits=4)
+
+
+@query
+def candle_signals(spark, sf_dir):
+    """Indicators and signal per symbol from its one-minute candles."""
+    return indicators.market_signals(_candle_bars(spark, sf_dir), width=_WEEK).drop("sector")
+
+
 # --- Text -------------------------------------------------------------------
 
 
 @query
 def clean_text(spark, sf_dir):
-    return src.given(spark, sf_dir, "pages", pieces(spark)).select("page_id", text.clean_text(F.col("html")).alias("clean"))
+    return src.given(spark, sf_dir, "pages", spread_over(spark)).select("page_id", text.clean_text(F.col("html")).alias("clean"))
 
 
 @query
@@ -366,7 +407,7 @@ def dampen(spark, sf_dir):
 
 @query
 def polarity(spark, sf_dir):
-    return rounded(news.polarity(src.given(spark, sf_dir, "documents", pieces(spark)), LEXICON), "model_a", "model_b")
+    return rounded(news.polarity(src.given(spark, sf_dir, "documents", spread_over(spark)), LEXICON), "model_a", "model_b")
 
 
 @query
@@ -382,7 +423,7 @@ def polarity_by_table(spark, sf_dir):
             ((F.length("word") % 9 - 4) / 4.0).alias("tone"),
         )
     )
-    return rounded(news.polarity_by_table(src.given(spark, sf_dir, "documents", pieces(spark)), lexicon), "model_a", "model_b")
+    return rounded(news.polarity_by_table(src.given(spark, sf_dir, "documents", spread_over(spark)), lexicon), "model_a", "model_b")
 
 
 def _benchmark_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -399,33 +440,33 @@ def _benchmark_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def boost_by_table(spark, sf_dir):
     """Boosts for a table of thousands of phrases, each looked for where its rarest word is."""
-    docs = src.given(spark, sf_dir, "documents", pieces(spark))
+    docs = src.given(spark, sf_dir, "documents", spread_over(spark))
     return rounded(news.boost_by_table(docs, _benchmark_phrases(spark, sf_dir)), "boost", digits=6)
 
 
 @query
 def dampen_by_table(spark, sf_dir):
     """Scores scaled down where a text holds one of the longer phrases of the table."""
-    docs = src.given(spark, sf_dir, "documents", pieces(spark)).withColumn("score", F.col("n_chars") / 1000.0)
+    docs = src.given(spark, sf_dir, "documents", spread_over(spark)).withColumn("score", F.col("n_chars") / 1000.0)
     return rounded(news.dampen_by_table(docs, _benchmark_phrases(spark, sf_dir).where("length(phrase) > 20")), "score", digits=6)
 
 
 @query
 def score_article(spark, sf_dir):
-    scored = news.score_articles(src.raw_news(spark, sf_dir, pieces(spark)), LEXICON, BOOSTS, DAMPENERS)
+    scored = news.score_articles(src.raw_news(spark, sf_dir, spread_over(spark)), LEXICON, BOOSTS, DAMPENERS)
     return scored.select("doc_id", "sentiment_score", "sentiment_label", "confidence")
 
 
 @query
 def score_article_shipped(spark, sf_dir):
     """With the lexicon and the phrases that the library comes with."""
-    scored = news.score_articles(src.raw_news(spark, sf_dir, pieces(spark)))
+    scored = news.score_articles(src.raw_news(spark, sf_dir, spread_over(spark)))
     return scored.select("doc_id", "sentiment_score", "sentiment_label", "confidence")
 
 
 @query
 def score_article_weighted(spark, sf_dir):
-    scored = news.score_articles(src.raw_news(spark, sf_dir, pieces(spark)), LEXICON, BOOSTS, DAMPENERS, weights=(0.6, 0.4))
+    scored = news.score_articles(src.raw_news(spark, sf_dir, spread_over(spark)), LEXICON, BOOSTS, DAMPENERS, weights=(0.6, 0.4))
     return scored.select("doc_id", "sentiment_score", "sentiment_label", "confidence")
 
 
