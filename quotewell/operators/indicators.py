@@ -199,14 +199,21 @@ def technical_indicators(bars: DataFrame, width: float | None = None) -> DataFra
             *_named({**_rsi_parts(14), **_macd_parts(12, 26, 9), **_band_parts(20)}),
         )
     )
+    last = {name: F.col(f"_last.{field}") for name, field in (("sector", "sector"), ("latest_date", "date"), ("latest_close", "day_close"))}
+    return of_parts(parts.withColumns(last))
+
+
+def of_parts(parts: DataFrame, *also: str) -> DataFrame:
+    """Indicators out of the averages and bands that they are made of."""
     return parts.select(
         "symbol",
-        F.col("_last.sector").alias("sector"),
-        F.col("_last.date").alias("latest_date"),
-        F.col("_last.day_close").alias("latest_close"),
+        "sector",
+        "latest_date",
+        "latest_close",
         _rsi_value().alias("rsi"),
         *_named(_macd_values()),
         *_named(_band_values(2.0)),
+        *also,
     )
 
 

@@ -31,7 +31,7 @@ def _quoted(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _moment(rows: DataFrame, order: str, width: float) -> tuple[Column, int]:
+def moment(rows: DataFrame, order: str, width: float) -> tuple[Column, int]:
     """The order column as a whole number, and the width of a piece in its unit."""
     kind = rows.schema[order].dataType
     if isinstance(kind, DateType):
@@ -56,7 +56,7 @@ def located(rows: DataFrame, width: float, value: str | None = None, order: str
     Without ``value`` every row counts, and ``_before`` is NULL.  The rows are
     shuffled once; symbols meet in one task only with one row per stretch.
     """
-    at, unit = _moment(rows, order, width)
+    at, unit = moment(rows, order, width)
     key = F.coalesce(F.concat(F.lit("="), F.col("symbol").cast("string")), F.lit(""))
     counted = F.lit(1) if value is None else F.col(value)
     shown = F.lit(None).cast("double") if value is None else F.col(value)

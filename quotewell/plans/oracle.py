@@ -322,6 +322,7 @@ ORACLE_SQL["bollinger"] = _sql("SELECT * FROM bands", BARS, BANDS)
 ORACLE_SQL["classify_signal"] = _sql("SELECT symbol, signal FROM signals", BARS, *ALL_SIGNALS, recursive=True)
 ORACLE_SQL["technical_indicators"] = _sql("SELECT * FROM indicators", BARS, *ALL_SIGNALS, recursive=True)
 ORACLE_SQL["market_signals"] = _sql("SELECT * FROM signals", BARS, *ALL_SIGNALS, recursive=True)
+ORACLE_SQL["stream_signals"] = ORACLE_SQL["market_signals"]
 ORACLE_SQL["market_signals_short"] = _sql(
     "SELECT * FROM signals", PART_BARS, *ALL_SIGNALS, recursive=True
 )

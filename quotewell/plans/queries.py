@@ -672,6 +672,17 @@ def stream_quality_counts(spark, sf_dir):
     )
 
 
+@query
+def stream_signals(spark, sf_dir):
+    """Indicators and signals that follow a stream of daily bars, delivered in three parts."""
+    bars = src.bars(spark, sf_dir).select("symbol", "date", "sector", "day_close")
+    landed, out, state = (scratch_dir(spark, f"followed-{part}") for part in ("bars", "signals", "state"))
+    for delivery in ("date < '1994-01-01'", "date >= '1994-01-01' AND date < '1997-01-01'", "date >= '1997-01-01'"):
+        bars.where(delivery).write.mode("append").parquet(landed)
+        signals = jobs.run_signals(readers.table_stream(spark, landed, bars.schema), out, state)
+    return signals
+
+
 @query
 def stream_news(spark, sf_dir):
     landed = landing.write_overwrite(src.raw_news(spark, sf_dir), scratch_dir(spark, "landed-news"))

@@ -16,6 +16,7 @@ from pyspark.sql.types import IntegerType, StructType
 from quotewell.operators import bronze, gold, news, silver
 from quotewell.operators.silver import TICK_RULES, Rule
 from quotewell.sources import readers
+from quotewell.streaming import running
 
 
 def run_to_parquet(stream: DataFrame, out: str, checkpoint: str, partition_by: Sequence[str] = ()) -> str:
@@ -101,6 +102,13 @@ def run_news(stream: DataFrame, out: str, checkpoint: str, **scoring) -> str:
     return run_to_parquet(news.news_silver(bronze.bronze_news(stream), **scoring), out, checkpoint)
 
 
+def run_signals(bars: DataFrame, out: str, checkpoint: str, order: str = "date") -> DataFrame:
+    """Follow a stream of bars; returns the indicators and signals at each symbol's newest bar."""
+    rows = running.follow(bars, order)
+    run_to_parquet(rows, out, checkpoint)
+    return running.newest(readers.table_so_far(bars.sparkSession, out, rows.schema))
+
+
 def first_seen(
     stream: DataFrame, key: str = "headline", time: str = "ingest_time", within: str = "1 day", lanes: int = 8
 ) -> DataFrame:
