@@ -4,9 +4,10 @@ Equal vectors are folded first.  A rotation to principal axes, which changes no
 product, puts most of every vector into few leading dimensions.  Vectors are cut
 into ranges along the first axis, large ranges into chunks, and every chunk
 meets the chunks of all ranges near enough to hold a partner; such a meeting is
-one task of bounded size.  In it, tiles of products are accumulated over leading
+one task of bounded size.  In it, tiles of products are made of leading
 dimensions, the rest is bounded by the product of the suffix norms, and only
-pairs that can still reach the threshold go on.  A task returns counts of links
+pairs that can still reach the threshold go on.  The first bound of a tile is one
+product of matrices in single precision, lowered by the most it can be off.  A task returns counts of links
 and a spanning forest, not the links.
 """
 
@@ -27,7 +28,7 @@ from quotewell.llm.graph import components, local_components
 
 THRESHOLD = 0.9
 #: Vectors in a chunk, in a tile, in the sample that the axes and ranges are fitted on, and the most ranges.
-CHUNK, TILE, SAMPLE, RANGES = 4096, 1024, 10_000, 1024
+CHUNK, TILE, SAMPLE, RANGES = 8192, 1024, 10_000, 1024
 #: Products closer to the threshold than this are decided by exactly rounded sums.
 CLOSE = 1e-9
 
@@ -71,23 +72,24 @@ def linked_pairs(x: np.ndarray, y: np.ndarray, axes: np.ndarray, threshold: floa
     """Index pairs (into x, into y) of cosine at least ``threshold``, a tile at a time."""
     rx, ry = unit(x) @ axes, unit(y) @ axes
     d = rx.shape[1]
-    steps = sorted({max(1, d // 8), max(1, d // 4), max(1, d // 2), d})
+    steps = [max(1, 3 * d // 8), max(1, d // 2), d]
     order_x, order_y = np.argsort(rx[:, 0], kind="stable"), np.argsort(ry[:, 0], kind="stable")
     apart = math.sqrt(max(0.0, 2 - 2 * threshold)) + CLOSE
     tails = [tuple(np.sqrt(np.maximum(0.0, (r[:, k:] ** 2).sum(axis=1))) for r in (rx, ry)) for k in steps]
+    # leading dimensions and suffix norm as one row, so that one product in single precision is the bound, but for its rounding
+    bound_x, bound_y = (np.column_stack([r[:, : steps[0]], t]).astype(np.float32) for r, t in zip((rx, ry), tails[0]))
+    least = np.float32(threshold - CLOSE - (d + 16) * 2.0**-22)
     for at_x in range(0, len(x), TILE):
         own_x = order_x[at_x : at_x + TILE]
-        a = rx[own_x]
+        a, bound_a = rx[own_x], bound_x[own_x]
         for at_y in range(0, len(y), TILE):
             own_y = order_y[at_y : at_y + TILE]
             b = ry[own_y]
             if a[0, 0] - b[-1, 0] > apart or b[0, 0] - a[-1, 0] > apart:
                 continue
-            k, (tail_x, tail_y) = steps[0], tails[0]
-            product = a[:, :k] @ b[:, :k].T
-            i, j = np.nonzero(product + np.outer(tail_x[own_x], tail_y[own_y]) >= threshold - CLOSE)
-            product = product[i, j]
-            for low, high, (tail_x, tail_y) in zip(steps, steps[1:], tails[1:]):
+            i, j = np.divmod(np.flatnonzero(bound_a @ bound_y[own_y].T >= least), len(b))
+            product = np.zeros(len(i))
+            for low, high, (tail_x, tail_y) in zip([0, *steps[1:]], steps[1:], tails[1:]):
                 if not len(i):
                     break
                 if 8 * len(i) > product_size(a, b):

@@ -47,3 +47,17 @@ def test_no_rows_and_no_good_rows(spark):
     assert vectors.near_duplicates(spark.createDataFrame([], schema)).count() == 0
     (row,) = vectors.near_duplicates(spark.createDataFrame([(7, None)], schema)).collect()
     assert (row["n_links"], row["component_id"], row["kept"]) == (0, 7, True)
+
+
+def test_few_pairs_outlive_the_first_bound(monkeypatch):
+    """What is multiplied pair by pair is a small part of all pairs, where vectors have no structure."""
+    x = np.random.default_rng(7).normal(size=(1500, 64))
+    x[700:710] = x[:10] + np.random.default_rng(8).normal(size=(10, 64)) * 0.05
+    _, axes = np.linalg.eigh(vectors.unit(x).T @ vectors.unit(x))
+    met, plain = [], np.einsum
+    monkeypatch.setattr(vectors, "product_size", lambda a, b: float("inf"))
+    monkeypatch.setattr(vectors.np, "einsum", lambda how, a, b: met.append(len(a)) or plain(how, a, b))
+    found = {(int(p), int(q)) for i, j in vectors.linked_pairs(x, x, np.ascontiguousarray(axes[:, ::-1])) for p, q in zip(i, j)}
+    u = vectors.unit(x)
+    assert found == set(map(tuple, np.argwhere(u @ u.T >= 0.9).tolist()))
+    assert sum(met) < 0.01 * len(x) ** 2
