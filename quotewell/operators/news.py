@@ -76,30 +76,27 @@ def _as_words(text: Column) -> Column:
 def phrases_found(docs: DataFrame, phrases: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, phrase) for each phrase of a table (``phrase``) of any size that occurs in a text as a run of whole words.
 
-    No text is compared with every phrase.  A phrase is looked for where its
-    rarest word is: the words of each text are counted once each, a phrase meets
-    only the texts that hold the word fewest texts have, and only there is the
-    whole run looked for.  Case and what stands between words don't count;
-    phrases that are equal in that sense are one.  ``key`` must tell texts apart.
-    Null and empty texts and phrases match nothing.
+    No text is compared with every phrase, nor with those it has a word of: its
+    distinct runs of as many words as some phrase has meet the phrases by
+    equality, so what is shuffled or kept follows the words, whatever words the
+    phrases share.  Every length of phrase is one more pass over a text.  Case and
+    what stands between words don't count; phrases that are equal in that sense
+    are one.  ``key`` must tell texts apart.  Null and empty texts and phrases
+    match nothing.
     """
     listed = phrases.select(F.trim(_as_words(F.col("phrase"))).alias("phrase")).where("phrase <> ''").distinct()
-    parts = listed.select("phrase", F.explode(F.array_distinct(F.split("phrase", " "))).alias("word"))
-    held = docs.select(key, F.explode(F.array_distinct(words(F.col(text)))).alias("word")).where("word <> ''")
-    asked = held.join(parts.select("word").distinct(), "word", "left_semi")
-    common = asked.groupBy("word").agg(F.count("*").alias("_texts"))
-    complete = parts.join(common, "word", "left").groupBy("phrase").agg(F.min(F.coalesce("_texts", F.lit(0))).alias("_texts"))
-    # among words that are equally rare any will do; the hash makes it one
-    rarest = (
-        parts.join(common, "word")
-        .join(complete.where("_texts > 0"), ["phrase", "_texts"])
-        .groupBy("phrase")
-        .agg(F.min(F.xxhash64("word")).alias("_block"))
+    sizes = F.size(F.split("phrase", " "))
+    lengths = sorted(r["n"] for r in listed.select(sizes.alias("n")).distinct().collect())  # at most as many as the longest phrase has words
+    last = F.size("_words") - F.col("_n") + 1
+    runs = F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice("_words", i, F.col("_n")), " "))
+    held = (
+        docs.where(F.col(key).isNotNull())
+        .select(key, F.filter(words(F.col(text)), lambda w: w != "").alias("_words"))
+        .select(key, "_words", F.explode(F.array(*map(F.lit, lengths)).cast("array<int>")).alias("_n"))
+        .where(last >= 1)
+        .select(key, F.explode(F.array_distinct(runs)).alias("phrase"))
     )
-    candidates = asked.withColumn("_block", F.xxhash64("word")).join(rarest, "_block").select(key, "phrase").distinct()
-    whole = docs.select(key, _as_words(F.col(text)).alias("_text"))
-    there = F.contains("_text", F.concat(F.lit(" "), F.col("phrase"), F.lit(" ")))
-    return candidates.join(whole, key).where(there).select(key, "phrase")
+    return held.join(listed, "phrase").select(key, "phrase")
 
 
 def boost_by_table(

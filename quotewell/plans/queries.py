@@ -439,7 +439,7 @@ def _benchmark_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def boost_by_table(spark, sf_dir):
-    """Boosts for a table of thousands of phrases, each looked for where its rarest word is."""
+    """Boosts for a table of thousands of phrases, each looked for among the runs of as many words."""
     docs = src.given(spark, sf_dir, "documents", spread_over(spark))
     return rounded(news.boost_by_table(docs, _benchmark_phrases(spark, sf_dir)), "boost", digits=6)
 

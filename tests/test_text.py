@@ -181,3 +181,23 @@ def test_phrase_table_equals_a_plain_search(spark):
     listed = sorted({" ".join(rng.choices(some, k=rng.randint(1, 4))) for _ in range(300)})
     found = news.phrases_found(spark.createDataFrame(texts, "doc_id int, text string"), spark.createDataFrame([(p,) for p in listed], "phrase string"))
     assert sorted(map(tuple, found.collect())) == sorted((k, p) for k, t in texts for p in listed if f" {p} " in f" {t} ")
+
+
+def test_phrases_of_common_words_meet_only_texts_that_hold_them(spark):
+    """No step has rows for each text and each phrase it has a word of."""
+    some = [f"w{chr(97 + k // 20)}{chr(97 + k % 20)}" for k in range(60)]
+    docs = spark.createDataFrame([(k, " ".join(some[k % 7 :] + some[: k % 7])) for k in range(100)], "doc_id int, text string")
+    phrases = spark.createDataFrame([(f"{a} {b}",) for a in some for b in some], "phrase string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = news.phrases_found(docs, phrases)
+        assert len(found.collect()) == 100 * 59
+        nodes, rows = [found._jdf.queryExecution().executedPlan()], []
+        while nodes:
+            node = nodes.pop()
+            nodes += [node.children().apply(k) for k in range(node.children().size())]
+            count = node.metrics().get("numOutputRows")
+            rows.append(count.get().value() if count.isDefined() else 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert 100 * 59 <= max(rows) <= 2 * 100 * 60
