@@ -31,7 +31,7 @@ def _piece(value: Column, cuts: Column) -> Column:
     )
 
 
-def rank_within(df: DataFrame, groups: Sequence[str], value: str, largest: int = LARGEST) -> DataFrame:
+def rank_within(df: DataFrame, groups: Sequence[str], value: str, largest: int = LARGEST, counted: Sequence[str] | None = None) -> DataFrame:
     """Adds ``rank`` (falling value, ties share a rank, NaN first, NULL last) and ``size`` of the group.
 
     A window ranks every range of every group alone, and the rows of the ranges
@@ -40,13 +40,15 @@ def rank_within(df: DataFrame, groups: Sequence[str], value: str, largest: int =
     at their own approximate quantiles, whatever their distribution; a value with
     very many rows is a cut, whose rows share one rank and are dealt to many
     tasks.  There are at most as many large groups as rows / ``largest``, with
-    STEPS cuts each at most, which is what is broadcast.
+    STEPS cuts each at most, which is what is broadcast.  ``counted`` names the columns
+    that counting may share with ranking, if a value made of them by a window is not
+    to be made for the count as well; all by default.
     """
     groups = list(groups)
     rows = df.withColumn("_value", F.col(value).cast("double") + 0.0)  # -0.0 equals 0.0
     number = F.col("_value")
-    # A hash of all columns keeps every use of ``rows`` alike, so that what was shuffled for one serves the others.
-    alike = F.max(F.xxhash64(*[F.col(f"`{c}`") for c, kind in rows.dtypes if "map<" not in kind])).alias("_alike")
+    # A hash of the columns keeps every use of ``rows`` alike, so that what was shuffled for one serves the others.
+    alike = F.max(F.xxhash64(*[F.col(f"`{c}`") for c, kind in rows.dtypes if "map<" not in kind and (counted is None or c in counted)])).alias("_alike")
     large = rows.groupBy(*groups).agg(F.count("*").alias("_size"), alike).where((F.col("_size") > largest) & F.col("_alike").isNotNull())
     large = large.drop("_alike")
     finite = F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)

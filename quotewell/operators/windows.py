@@ -78,7 +78,10 @@ def daily_change(bars: DataFrame, value: str = "day_close", name: str = "avg_cha
 
 def sector_rankings(bars: DataFrame) -> DataFrame:
     """Rank, group size and percentile (best is 100) by change within sector and date."""
-    ranked = rank_within(bars, ("sector", "date"), "avg_change_pct")
+    # Counting and ranking need the same columns of the bars, which are made and shuffled once; what the change is made of does for counting.
+    own = ["symbol", "sector", "date", *[c for c in ("day_close",) if c in bars.columns]]
+    counted = own if "day_close" in own else None
+    ranked = rank_within(bars.select(*own, "avg_change_pct"), ("sector", "date"), "avg_change_pct", counted=counted)
     share = 1 - (F.col("rank") - 1) / F.col("size")
     return ranked.select(
         "symbol",

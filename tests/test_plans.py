@@ -67,6 +67,15 @@ def test_ranking_shuffles_its_rows_once(spark, stored):
     assert len(re.findall(r"Exchange (?:hash|range)partitioning", final)) == 1 and "Join" not in final
 
 
+def test_ranking_makes_its_bars_once(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(windows.sector_rankings(src.bars(spark, SF_DIR)))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(re.findall(r"FileScan parquet \[[^]]*l_shipdate", text)) == 1
+
+
 def test_scans_read_only_what_is_needed(stored):
     (schema,) = set(re.findall(r"ReadSchema: struct<([^>]*)>", plan(indicators.rsi(stored))))
     assert {c.split(":")[0] for c in schema.split(",")} == {"symbol", "date", "day_close"}
