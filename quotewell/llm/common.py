@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotewell.session import scratch_dir
 
+BATCH_SIZE = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared scratch folder and read back: cuts lineage, survives lost executors."""
@@ -19,6 +22,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """Arrow batches of about ``size`` bytes for what is planned inside, unless the session sets a size of its own.
+
+    Spark cuts batches by rows alone, and holds each several times: outside of
+    the heap while it is written, and in the Python worker.
+    """
+    if spark.conf.get(BATCH_SIZE, None) is not None:
+        yield
+        return
+    spark.conf.set(BATCH_SIZE, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_SIZE)
+
+
 def texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, text) only, null texts as empty ones; whatever else the table has, under any name, is left behind."""
     return docs.select(

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quotewell.llm.common import bit_map, in_slices, stored, texts
+from quotewell.llm.common import batches_of, bit_map, in_slices, stored, texts
 from quotewell.llm.graph import components
 from quotewell.llm.shingles import WordHashes, blank_words, shingle_hashes
 
@@ -47,6 +47,8 @@ START, LEVELS = 0.04, ((0.2, 2), (1.0, 4))
 #: Bits of the map that tells which texts' whole sets are wanted; its size is fixed.
 MAP_BITS = 24
 SKETCH_BITS = 1024
+#: Bytes of an Arrow batch: of pairs with whole sets, 10,000 rows would be 60 MB, and more with longer texts.
+BATCH = 4 << 20
 #: Rounds in which large families are joined before pairs are compared.
 STAR_ROUNDS = 2
 #: Common differences asked for before two sets of a family are compared, where a link takes so many.
@@ -439,7 +441,12 @@ def similarity_components(docs: DataFrame, size: int = 4, percent: int = 85, cos
     of their own, linked if not empty.  Texts are read whole; other columns are
     left behind.
     """
-    rule = Rule(size, percent)
+    with batches_of(docs.sparkSession, BATCH):
+        return grouped(docs, Rule(size, percent), cost)
+
+
+def grouped(docs: DataFrame, rule: Rule, cost: int) -> DataFrame:
+    """What ``similarity_components`` returns; all Python work is done when it does."""
     rows = texts(docs).withColumn("doc_hash", F.xxhash64("text"))
     base = stored(
         rows.select("doc_id", "doc_hash", "text").mapInArrow(

@@ -159,3 +159,28 @@ def test_columns_say_the_same_as_numbers(spark):
         n = F.col("id")
         for r in spark.range(1, 300).select("id", rule.prefix_of(n, part).alias("p"), rule.keys_of(n, part).alias("k")).collect():
             assert (r["p"], r["k"]) == (rule.prefix(r["id"], part), rule.keys(r["id"], part))
+
+
+def test_arrow_batches_are_bounded_by_bytes(spark, monkeypatch):
+    """Pairs with whole sets travel in small batches, and the session is left as it was."""
+    from quotewell.llm.common import BATCH_SIZE, batches_of
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    wide = spark.range(0, 2000, 1, 1).selectExpr("repeat('x', 5000) AS t")
+    with batches_of(spark, 1 << 20):
+        assert max(r["n"] for r in wide.mapInArrow(sizes, "n long").collect()) < 1.1 * (1 << 20)
+    seen, verified = [], jaccard.verified
+    monkeypatch.setattr(jaccard, "verified", lambda *given: seen.append(spark.conf.get(BATCH_SIZE, None)) or verified(*given))
+    jaccard.similarity_components(docs_of(spark, [(1, "a b c d e f"), (2, "a b c d e f g")])).collect()
+    assert set(seen) == {str(jaccard.BATCH)} and spark.conf.get(BATCH_SIZE, None) is None
+    spark.conf.set(BATCH_SIZE, "12345")
+    try:
+        with batches_of(spark, 1 << 20):
+            assert spark.conf.get(BATCH_SIZE) == "12345"
+    finally:
+        spark.conf.unset(BATCH_SIZE)
