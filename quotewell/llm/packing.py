@@ -46,10 +46,16 @@ SCHEMA = T.StructType(
 )
 #: ASCII marks that may follow a word and then form one pre-token of their own; the apostrophe is not among them.
 TRAILING = ",.!?;:#$%&*)]}-"
+#: Chunks after which a worker's cache of ids drops its older half.
+CACHED = 600_000
 
 
-class WordEncoder:
-    """Ids of texts as packed little-endian uint32, encoding each distinct blank-free chunk once.
+def packed_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class WordEncoder(dict):
+    """Ids of blank-free chunks as packed little-endian uint32, each computed when first met, in a cache of bounded size.
 
     The tokenizer's pre-tokens never cross white space, and a word of Latin
     letters followed by ASCII marks is two pre-tokens, so ids of chunks are ids
@@ -57,13 +63,13 @@ class WordEncoder:
     straight to the tokenizer's model; any other chunk to the whole tokenizer.
     """
 
-    def __init__(self, path: str, cached: int = 600_000) -> None:
+    def __init__(self, path: str, cached: int = CACHED) -> None:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
+        super().__init__({"": b""})
         self.tokenizer, self.cached = Tokenizer.from_file(path), cached
         self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {"": b""}
         self.before: dict[str, bytes] = {}
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {i: level.pre_tokenize_str(chr(i))[0][0] for i in range(0x80, 0x130) if chr(i).isalpha()}
@@ -73,35 +79,28 @@ class WordEncoder:
         """Letters that stay one pre-token when normalised: up to U+012F, before the dotted capital I."""
         return word.isalpha() and (word.isascii() or max(word) < "\u0130")
 
-    def one(self, chunk: str) -> bytes:
-        if self.plain(chunk):
-            word = chunk.lower()
-            ids = [t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.letters))]
-        else:
-            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def learn(self, chunk: str) -> bytes:
-        """Ids of a chunk that is not in the cache, which then holds it."""
+    def __missing__(self, chunk: str) -> bytes:
         ids = self.before.get(chunk)
         if ids is None:
-            word = chunk.rstrip(TRAILING)
-            if len(word) < len(chunk) and self.plain(word):
-                marks = chunk[len(word) :]
-                ids = (self.known.get(word) or self.learn(word)) + (self.known.get(marks) or self.learn(marks))
+            word = chunk if chunk.isalpha() else chunk.rstrip(TRAILING)
+            if not self.plain(word):
+                ids = packed_ids(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+            elif len(word) < len(chunk):
+                ids = self[word] + self[chunk[len(word) :]]
+            elif word != (lower := word.lower()):
+                ids = self[lower]
             else:
-                ids = self.one(chunk)
-        self.known[chunk] = ids
+                ids = packed_ids([t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.letters))])
+        self[chunk] = ids
         return ids
 
     def encode(self, batch: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").split(" ") for text in batch]
-        if len(self.known) > self.cached:  # the older half of the cache goes
-            self.before, self.known = self.known, {"": b""}
-        for chunk in set().union(*split).difference(self.known):
-            self.learn(chunk)
-        get = self.known.__getitem__
-        return [b"".join(map(get, chunks)) for chunks in split]
+        if len(self) > self.cached:  # the older half of the cache goes
+            self.before = dict(self)
+            self.clear()
+            self[""] = b""
+        get = self.__getitem__
+        return [b"".join(map(get, text.replace("\n", " ").split(" "))) for text in batch]
 
 
 ENCODERS: dict[str, WordEncoder] = {}

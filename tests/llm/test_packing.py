@@ -49,6 +49,22 @@ def test_words_that_the_fast_path_must_not_touch():
         assert list(np.frombuffer(ids, "<u4")) == expected_ids(text)[:-1]
 
 
+def test_a_word_is_tokenized_once_whatever_its_case_and_marks():
+    class Counted:
+        def __init__(self, model):
+            self.model, self.words = model, []
+
+        def tokenize(self, word):
+            self.words.append(word)
+            return self.model.tokenize(word)
+
+    encoder = packing.WordEncoder(PATH)
+    encoder.model = Counted(encoder.model)
+    text = "Window window, WINDOW. window"
+    assert list(np.frombuffer(encoder.encode([text, text])[1], "<u4")) == expected_ids(text)[:-1]
+    assert encoder.model.words == ["window"]
+
+
 def test_tiers_and_chunks():
     lengths = [5000, 1, 700, 300, 2048, 90, 2047, 1025]
     windows = packing.pack_lengths(lengths)
