@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -13,6 +13,21 @@ from pyspark.sql import functions as F
 from quotewell.session import scratch_dir
 
 BATCH_SIZE = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: What a worker process keeps between tasks: one thing at a time.
+KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]) -> object:
+    """What this worker process keeps between tasks as ``name``, made if it isn't there; anything else kept goes."""
+    if name not in KEPT:
+        KEPT.clear()
+        KEPT[name] = make()
+    return KEPT[name]
+
+
+def release() -> None:
+    """Frees what an earlier operator has left in this worker process, which Spark uses again for other work."""
+    KEPT.clear()
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

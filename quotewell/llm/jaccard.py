@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quotewell.llm.common import batches_of, bit_map, in_slices, stored, texts
+from quotewell.llm.common import batches_of, bit_map, in_slices, release, stored, texts
 from quotewell.llm.graph import components
 from quotewell.llm.shingles import WordHashes, blank_words, shingle_hashes
 
@@ -113,6 +113,7 @@ class Prefixes:
     rule: Rule
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         known = WordHashes()
         for batch in in_slices(batches):
             sizes, ids, prefixes = [], [], []
@@ -139,6 +140,7 @@ class Sets:
     wanted: bytes
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         known = WordHashes()
         present = np.unpackbits(np.frombuffer(self.wanted, np.uint8), bitorder="little").astype(bool)
         for batch in batches:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotewell.llm.common import in_slices, texts
+from quotewell.llm.common import in_slices, kept, texts
 
 TIERS = (256, 512, 1024, 2048)
 #: Pieces of (document, start, length) in the order in which they lie in a window.
@@ -103,14 +103,9 @@ class WordEncoder(dict):
         return [b"".join(map(get, text.replace("\n", " ").split(" "))) for text in batch]
 
 
-ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
-    """One encoder per worker process, kept between tasks."""
-    if path not in ENCODERS:
-        ENCODERS[path] = WordEncoder(path)
-    return ENCODERS[path]
+    """One encoder per worker process, kept between tasks until an operator that keeps nothing runs there."""
+    return kept(f"encoder {path}", lambda: WordEncoder(path))
 
 
 class Rests:

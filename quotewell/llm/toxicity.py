@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotewell.llm.common import in_slices, stored, texts
+from quotewell.llm.common import in_slices, release, stored, texts
 
 WORDS = re.compile(r"[^\W\d_]+")
 #: A clause ends at a mark of punctuation or at a line's end; the apostrophe and the hyphen are inside words.
@@ -135,6 +135,7 @@ MAX_SEEN = 300_000
 
 def word_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, text, text_hash) to (doc_id, text_hash, distinct words): all that counting needs, and less to shuffle than the text."""
+    release()
     for batch in in_slices(batches):
         bags = [" ".join(set(WORDS.findall(text.lower()))) for text in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
@@ -238,6 +239,7 @@ class Measure:
     grammar: Grammar
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         seen: dict[str, float] = {}
         for batch in in_slices(batches):
             if len(seen) > MAX_SEEN:
@@ -271,6 +273,7 @@ class Score:
     name: str
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         seen: dict[str, float] = {}
         for batch in in_slices(batches):
             if len(seen) > MAX_SEEN:

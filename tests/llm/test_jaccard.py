@@ -1,9 +1,13 @@
+import gc
 import itertools
 import random
+import weakref
 
+import public_tokenizers
+import pyarrow as pa
 import pytest
 
-from quotewell.llm import jaccard
+from quotewell.llm import jaccard, packing, toxicity
 from quotewell.llm.graph import components, local_components
 from quotewell.llm.shingles import WordHashes, blank_words
 from tests.llm.samples import docs_of, odd_texts, prose
@@ -184,3 +188,20 @@ def test_arrow_batches_are_bounded_by_bytes(spark, monkeypatch):
             assert spark.conf.get(BATCH_SIZE) == "12345"
     finally:
         spark.conf.unset(BATCH_SIZE)
+
+
+@pytest.mark.parametrize(
+    "work, row",
+    [
+        (jaccard.Prefixes(jaccard.Rule(5, 80)), {"doc_id": [1], "doc_hash": [2], "text": ["a b c"]}),
+        (jaccard.Sets(jaccard.Rule(5, 80), b"\xff" * (1 << (jaccard.MAP_BITS - 3))), {"doc_id": [1], "doc_hash": [2], "text": ["a b c"]}),
+        (toxicity.word_sets, {"doc_id": [1], "text": ["a b c"], "text_hash": [2]}),
+    ],
+)
+def test_what_packing_keeps_in_a_worker_goes_when_it_does_other_work(work, row):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder = weakref.ref(packing.encoder(path))
+    assert packing.encoder(path) is encoder()  # kept between tasks
+    assert sum(b.num_rows for b in work(iter([pa.RecordBatch.from_pydict(row)]))) == 1
+    gc.collect()
+    assert encoder() is None
