@@ -69,11 +69,12 @@ def rank_within(df: DataFrame, groups: Sequence[str], value: str, largest: int =
     )
     shared = F.col("_cuts").isNotNull() & (F.col("_piece") % 2 != 0)
     laned = pieced.withColumn("_lane", F.when(shared, F.pmod(F.monotonically_increasing_id(), F.lit(LANES))).otherwise(0))
-    inside = Window.partitionBy(*groups, "_piece", "_lane")
+    inside = Window.partitionBy(*groups, "_piece", "_lane").orderBy(F.desc_nulls_last("_value"))
     ranked = laned.withColumns(
         {
-            "_before": F.when(shared, 0).otherwise(F.rank().over(inside.orderBy(F.desc_nulls_last("_value"))) - 1),
-            "_together": F.count("*").over(inside),
+            "_before": F.when(shared, 0).otherwise(F.rank().over(inside) - 1),
+            # in the order of the ranks, so that one window has both
+            "_together": F.count("*").over(inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
         }
     )
     return (

@@ -81,7 +81,8 @@ def sector_rankings(bars: DataFrame) -> DataFrame:
     # Counting and ranking need the same columns of the bars, which are made and shuffled once; what the change is made of does for counting.
     own = ["symbol", "sector", "date", *[c for c in ("day_close",) if c in bars.columns]]
     counted = own if "day_close" in own else None
-    ranked = rank_within(bars.select(*own, "avg_change_pct"), ("sector", "date"), "avg_change_pct", counted=counted)
+    # The date comes first, since sorting tells most rows apart by the first column alone.
+    ranked = rank_within(bars.select(*own, "avg_change_pct"), ("date", "sector"), "avg_change_pct", counted=counted)
     share = 1 - (F.col("rank") - 1) / F.col("size")
     return ranked.select(
         "symbol",

@@ -99,10 +99,12 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars per supplier, with the supplier's region as sector.
 
     The sector is joined after the trades are folded to bars, when there is
-    less to join.
+    less to join, and by hash among the bars shuffled by symbol: the change needs
+    that shuffle anyway, and nothing is sorted or broadcast however many suppliers
+    there are.
     """
-    daily = _daily(trades(spark, sf_dir, "l_suppkey")).join(supplier_regions(spark, sf_dir), "symbol", "left")
-    return daily_change(daily)
+    daily = _daily(trades(spark, sf_dir, "l_suppkey"))
+    return daily_change(daily.join(supplier_regions(spark, sf_dir).hint("shuffle_hash"), "symbol", "left"))
 
 
 def part_bars(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -76,6 +76,18 @@ def test_ranking_makes_its_bars_once(spark):
     assert len(re.findall(r"FileScan parquet \[[^]]*l_shipdate", text)) == 1
 
 
+def test_ranking_folds_and_sorts_its_bars_once(spark):
+    """Counting and ranking share the bars shuffled by symbol, and one window has both rank and size."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(windows.sector_rankings(src.bars(spark, SF_DIR)))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(re.findall(r"HashAggregate\(keys=\[symbol[^]]*\], functions=\[max_by\(", text)) == 1
+    assert "SortMergeJoin" not in text and len(re.findall(r"Exchange hashpartitioning\(symbol#\d+, \d+\), ENSURE[^\n]*\n[^\n]*HashAggregate", text)) == 1
+    assert len(re.findall(r"Window \[rank\([^\n]*count\(1\)", text)) == 1
+
+
 def test_scans_read_only_what_is_needed(stored):
     (schema,) = set(re.findall(r"ReadSchema: struct<([^>]*)>", plan(indicators.rsi(stored))))
     assert {c.split(":")[0] for c in schema.split(",")} == {"symbol", "date", "day_close"}
